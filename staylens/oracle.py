@@ -269,7 +269,7 @@ SELECT listing_neighbourhood, active_n, all_n, {r6('active_n', 'all_n')} AS acti
        {r6('active_n', 'all_n', True)} AS active_listing_rate FROM g"""
     q["expr_lateral_alias"] = _with() + """
 SELECT listing_neighbourhood, CAST(sum(30 - availability_30) AS BIGINT) AS total_staying,
-       CAST(sum(price) AS BIGINT) AS price,
+       CAST(sum(price) AS BIGINT) AS total_price,
        CAST(sum(30 - availability_30) * sum(price) AS DOUBLE) AS revenue
 FROM listing_d WHERE has_availability = 't' GROUP BY listing_neighbourhood"""
     q["agg_count_nonnull"] = _with() + """

@@ -138,8 +138,8 @@ def _expr_lateral_alias(c: Ctx) -> DataFrame:
     return c.spark.sql(
         """SELECT listing_neighbourhood,
                   sum(30 - availability_30) AS total_staying,
-                  sum(price) AS price,
-                  CAST(total_staying AS DECIMAL(38,0)) * CAST(price AS DECIMAL(38,0)) AS revenue
+                  sum(price) AS total_price,
+                  CAST(total_staying AS DECIMAL(38,0)) * CAST(total_price AS DECIMAL(38,0)) AS revenue
            FROM {listing}
            WHERE has_availability = 't'
            GROUP BY listing_neighbourhood""", listing=c.listing_d())
