@@ -13,11 +13,13 @@ sum of products ``listing_part * host_part``:
   sum(x) over joined rows         = sum(sum_x_per_listing * h_rows)
   avg(x)                          = the two sums above divided
   min / max(x)                    = min / max over listing groups that join
-  median(x)                       = weighted percentile(x, 0.5, l_rows * h_rows)
+  median(x)                       = weighted percentile over (keys, month, x)
+                                    with weight sum(l_rows * h_rows)
   count(distinct host attribute)  = distinct over (listing keys) x (host attrs)
 
 The joined size drops from sum(n_l * n_h) per id to
-sum(distinct listing groups * distinct host groups) per id.
+sum(distinct listing groups * distinct host groups) per id; only the median
+needs listing groups down to the individual price.
 """
 from __future__ import annotations
 
@@ -38,49 +40,52 @@ def host_months(host_d: DataFrame) -> DataFrame:
         "host_is_superhost", "host_neighbourhood")
 
 
+def _host_month_counts(host_d: DataFrame) -> DataFrame:
+    return (host_months(host_d)
+            .groupBy("listing_id", MONTH)
+            .agg(F.count(F.lit(1)).alias("h_rows"),
+                 F.count("host_is_superhost").alias("h_sup_known"),
+                 F.count_if(is_true_flag("host_is_superhost")).alias("h_sup_t")))
+
+
 def keyed_month_stats(listing_d: DataFrame, host_d: DataFrame,
                       keys: Sequence[str]) -> DataFrame:
     """Per (keys, s_date) over listing x host joined rows, every group kept
     (null keys included): active/all/inactive counts, superhost counts, and
-    the active listings' price statistics, staying nights and rating.
+    the active listings' min/max/avg price, price sum, nights and rating.
 
-    The listing side is collapsed per (listing_id, keys, price) so the exact
-    median can be taken as a weighted percentile.
+    Both sides collapse to one row per (listing_id, keys) and per
+    (listing_id, s_date); nothing here needs the individual prices.
     """
     keys = list(keys)
     active = is_true_flag("has_availability")
-    lp = (listing_d
+    act_price = F.when(active, F.col("price"))
+    l1 = (listing_d
           .select("listing_id", *keys, "price", "has_availability",
                   "availability_30", "review_scores_rating")
-          .groupBy("listing_id", *keys, "price")
+          .groupBy("listing_id", *keys)
           .agg(F.count(F.lit(1)).alias("l_rows"),
                F.count_if(active).alias("l_act"),
                F.count_if(is_false_flag("has_availability")).alias("l_inact"),
+               F.min(act_price).alias("l_min_price"),
+               F.max(act_price).alias("l_max_price"),
+               F.sum(act_price).alias("l_price_sum"),
+               F.count(act_price).alias("l_price_n"),
                F.sum(F.when(active, stay_days("availability_30"))).alias("l_act_stay"),
                F.sum(F.when(active, F.col("review_scores_rating"))).alias("l_act_rating_sum"),
                F.count(F.when(active, F.col("review_scores_rating"))).alias("l_act_rating_n")))
-    hm = (host_months(host_d)
-          .groupBy("listing_id", MONTH)
-          .agg(F.count(F.lit(1)).alias("h_rows"),
-               F.count("host_is_superhost").alias("h_sup_known"),
-               F.count_if(is_true_flag("host_is_superhost")).alias("h_sup_t")))
-
-    j = lp.join(hm, "listing_id")
+    j = l1.join(_host_month_counts(host_d), "listing_id")
     h = F.col("h_rows")
-    act_w = F.col("l_act") * h
-    act_price = F.when(F.col("l_act") > 0, F.col("price"))
-    priced_w = F.when(F.col("price").isNotNull(), act_w)
     return j.groupBy(*keys, MONTH).agg(
-        F.sum(act_w).alias("active_listing_count"),
+        F.sum(F.col("l_act") * h).alias("active_listing_count"),
         F.sum(F.col("l_rows") * h).alias("all_listing_count"),
         F.sum(F.col("l_inact") * h).alias("inactive_listing_count"),
         F.sum(F.col("l_rows") * F.col("h_sup_known")).alias("all_count_host_is_superhost"),
         F.sum(F.col("l_rows") * F.col("h_sup_t")).alias("count_host_is_superhost"),
-        F.min(act_price).alias("min_price"),
-        F.max(act_price).alias("max_price"),
-        F.sum(F.when(F.col("l_act") > 0, F.col("price") * act_w)).alias("price"),
-        F.sum(priced_w).alias("_priced_w"),
-        F.percentile(F.col("price"), F.lit(0.5), act_w).alias("median_price"),
+        F.min("l_min_price").alias("min_price"),
+        F.max("l_max_price").alias("max_price"),
+        F.sum(F.col("l_price_sum") * h).alias("price"),
+        F.sum(F.col("l_price_n") * h).alias("_price_n"),
         F.sum(F.col("l_act_stay") * h).alias("total_staying"),
         F.sum(F.col("l_act_rating_sum") * h).alias("_rating_sum"),
         F.sum(F.col("l_act_rating_n") * h).alias("_rating_n"),
@@ -88,12 +93,38 @@ def keyed_month_stats(listing_d: DataFrame, host_d: DataFrame,
         *keys, MONTH, "active_listing_count", "all_listing_count",
         "inactive_listing_count", "all_count_host_is_superhost",
         "count_host_is_superhost", "min_price", "max_price",
-        _safe_avg("price", "_priced_w").alias("avg_price"),
-        "median_price",
+        _safe_avg("price", "_price_n").alias("avg_price"),
         _safe_avg("_rating_sum", "_rating_n").alias("avg_review_scores_rating"),
         "total_staying", "price")
 
 
+def keyed_month_median_price(listing_d: DataFrame, host_d: DataFrame,
+                             keys: Sequence[str], only_active: bool = True,
+                             drop_null_keys: bool = True) -> DataFrame:
+    """Exact median price per (keys, s_date) over joined (active) rows.
+
+    Each listing price is repeated once per joined host row, so the median is
+    a weighted one: the listing side collapses to (listing_id, keys, price)
+    with a row count, the host side to (listing_id, s_date) with a row count,
+    and percentile(price, 0.5, l_n * h_n) runs on the joined pairs. Its
+    partial aggregation keeps one price -> weight map per group and task, so
+    the shuffle carries at most one entry per distinct price and group.
+    """
+    keys = list(keys)
+    lsrc = listing_d.filter(is_true_flag("has_availability")) if only_active else listing_d
+    lsrc = lsrc.filter(F.col("price").isNotNull())
+    hsrc = host_months(host_d)
+    if drop_null_keys:
+        lsrc = lsrc.filter(_all_not_null(keys))
+        hsrc = hsrc.filter(F.col(MONTH).isNotNull())
+    lp = lsrc.groupBy("listing_id", *keys, "price").agg(F.count(F.lit(1)).alias("l_n"))
+    hm = hsrc.groupBy("listing_id", MONTH).agg(F.count(F.lit(1)).alias("h_n"))
+    weighted = lp.join(hm, "listing_id")
+    return (weighted.groupBy(*keys, MONTH)
+                    .agg(F.percentile("price", F.lit(0.5), F.col("l_n") * F.col("h_n"))
+                          .alias("median_price")))
+
+
 def monthly_activity(listing_d: DataFrame, host_d: DataFrame) -> DataFrame:
     """Per s_date over all joined rows: active and inactive listing counts.
     The listing side collapses to one row per id, so this costs one small

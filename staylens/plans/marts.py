@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from staylens.functions import hundred, is_false_flag, is_true_flag, month_of, ratio6, stay_days, to_number
 from staylens.operators.argmax import argmax_with_ties
 from staylens.operators.fanout import (
-    MONTH, keyed_month_distinct_hosts, keyed_month_stats, monthly_activity, pair_counts)
+    MONTH, keyed_month_distinct_hosts, keyed_month_median_price, keyed_month_stats,
+    monthly_activity, pair_counts)
 from staylens.operators.series import month_change_series
 
 NEIGHBOURHOOD_KEYS = ("listing_neighbourhood",)
@@ -67,8 +68,10 @@ def listing_mart(listing_d: DataFrame, host_d: DataFrame, keys: Sequence[str],
                         & (F.col("active_listing_count") > 0)
                         & (F.col("count_host_is_superhost") > 0))
     hosts = keyed_month_distinct_hosts(listing_d, host_d, keys)
+    median = keyed_month_median_price(listing_d, host_d, keys)
     series = month_change_series(monthly_activity(listing_d, host_d))
     groups = (kept.join(hosts, keys + [MONTH], "left")
+                  .join(median, keys + [MONTH], "left")
                   .withColumn("distinct_host_count",
                               F.coalesce("distinct_host_count", F.lit(0).cast("bigint")))
                   .join(series.select(MONTH, "active_percentage_change",
