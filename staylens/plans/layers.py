@@ -1,6 +1,214 @@
-"""Layers: raw -> staging -> warehouse -> mart, reset and export."""
+"""Layers of the job as parquet tables under one shared root:
+
+  <root>/raw/<table>  <root>/staging/<table>  <root>/datawarehouse/<table>
+  <root>/datamart/<table>
+
+Every write is a full refresh (overwrite); partitioned tables overwrite only
+the partitions present in the new data (one snapshot file = one partition),
+which is the per-file truncate-and-load of the modelled job. Exports write
+CSV part files from the executors (no collect), with a leading zero-based row
+number column in the mart's order.
+"""
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from staylens.schemas import LAYERS
+
+STAGING_PREFIX = "stg_"
+
+
+class Warehouse:
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def path(self, layer: str, table: str) -> str:
+        if layer not in LAYERS:
+            raise ValueError(f"unknown layer {layer!r}; expected one of {LAYERS}")
+        return f"{self.root}/{layer}/{table.lower()}"
+
+    def _fs(self):
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        root = jvm.org.apache.hadoop.fs.Path(self.root)
+        return jvm, root.getFileSystem(conf)
+
+    def exists(self, layer: str, table: str) -> bool:
+        jvm, fs = self._fs()
+        return bool(fs.exists(jvm.org.apache.hadoop.fs.Path(self.path(layer, table) + "/_SUCCESS")))
+
+    def tables(self, layer: str) -> list[str]:
+        jvm, fs = self._fs()
+        p = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{layer}")
+        if not fs.exists(p):
+            return []
+        return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
+
+    def write(self, layer: str, table: str, df: DataFrame,
+              partition_by: Iterable[str] | None = None) -> DataFrame:
+        """Full refresh of a table (dynamic partition overwrite when
+        partitioned); returns the table as written."""
+        w = df.write.mode("overwrite").format("parquet")
+        parts = list(partition_by or [])
+        if parts:
+            w = w.partitionBy(*parts).option("partitionOverwriteMode", "dynamic")
+        w.save(self.path(layer, table))
+        return self.read(layer, table)
+
+    def read(self, layer: str, table: str) -> DataFrame:
+        return self.spark.read.parquet(self.path(layer, table))
+
+    def copy(self, src_layer: str, dst_layer: str, tables: Iterable[str],
+             rename: Callable[[str], str] = lambda t: t) -> dict[str, DataFrame]:
+        """CREATE OR REPLACE dst.t AS SELECT * FROM src.t, for each table."""
+        return {rename(t): self.write(dst_layer, rename(t), self.read(src_layer, t))
+                for t in tables}
+
+    def promote(self, tables: Iterable[str]) -> dict[str, DataFrame]:
+        """Staging -> warehouse, dropping the 'stg_' prefix."""
+        return self.copy("staging", "datawarehouse", tables,
+                         lambda t: t[len(STAGING_PREFIX):] if t.startswith(STAGING_PREFIX) else t)
+
+    def truncate(self, layer: str, table: str) -> None:
+        """TRUNCATE TABLE IF EXISTS: keep the schema, drop every row."""
+        if self.exists(layer, table):
+            empty = self.spark.createDataFrame([], self.read(layer, table).schema)
+            empty.write.mode("overwrite").parquet(self.path(layer, table))
+
+    def reset(self) -> list[str]:
+        """Truncate every existing table of every layer."""
+        done = []
+        for layer in LAYERS:
+            for t in self.tables(layer):
+                self.truncate(layer, t)
+                done.append(f"{layer}.{t}")
+        return done
+
+
+def with_row_number(df: DataFrame, order: list, col: str = "row_no") -> DataFrame:
+    """Zero-based row number in ``order`` without a single-partition window:
+    a range-partitioned sort, then per-partition offsets (see
+    operators.surrogate)."""
+    from staylens.operators.surrogate import with_surrogate_id
+    numbered = with_surrogate_id(df.orderBy(*order), id_col="_rn1")
+    return numbered.select((F.col("_rn1") - 1).alias(col), *df.columns)
+
+
+def export_csv(df: DataFrame, path: str, order: list) -> None:
+    """Mart -> CSV with a header, an unnamed leading row-number column and
+    upper-case column names (the published file layout)."""
+    numbered = with_row_number(df, order)
+    out = numbered.select(F.col("row_no").alias(""),
+                          *[F.col(c).alias(c.upper()) for c in df.columns])
+    out.write.mode("overwrite").option("header", True).csv(path)
+
+
+def read_export(spark: SparkSession, path: str, schema) -> DataFrame:
+    return spark.read.schema(schema).option("header", True).csv(path)
+
+
+# ---------------------------------------------------------------------------
+# Registered write/read-back queries (scratch folder next to the checkpoints)
+# ---------------------------------------------------------------------------
+def _register():
+    from pyspark.sql import types as T
+
+    from staylens import registry
+    from staylens.functions import month_of
+    from staylens.plans import marts, star
+    from staylens.session import new_scratch_dir
+    from staylens.sources import csv_ingest
+
+    def _month_table(snapshot: DataFrame) -> DataFrame:
+        m = month_of("scraped_date")
+        name = F.concat(F.lit("listing_"), F.substring(m, 6, 2), F.lit("_"), F.substring(m, 1, 4))
+        return snapshot.withColumn(csv_ingest.TABLE_COL, name)
+
+    def _roundtrip(c: registry.Ctx) -> tuple[DataFrame, DataFrame]:
+        root = new_scratch_dir(c.spark, "csv")
+        csv_ingest.write_csv_tables(_month_table(c.snapshot()), root)
+        return csv_ingest.load_snapshots(c.spark, root)
+
+    @registry.register("src_csv_roundtrip")
+    def _src_csv_roundtrip(c: registry.Ctx) -> DataFrame:
+        """Snapshot rows written as one CSV folder per month table, then
+        discovered, named and parsed back by the tolerant loader."""
+        loaded, _ = _roundtrip(c)
+        return loaded
+
+    @registry.register("union_all_snapshots")
+    def _union_all_snapshots(c: registry.Ctx) -> DataFrame:
+        """All monthly files appended in one scan (UNION ALL of the month
+        tables); rows and summed price per source table."""
+        loaded, _ = _roundtrip(c)
+        return (loaded.groupBy(csv_ingest.TABLE_COL)
+                 .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("price").alias("sum_price")))
+
+    @registry.register("src_load_reject_count")
+    def _src_load_reject_count(c: registry.Ctx) -> DataFrame:
+        """Loaded and rejected rows per source table of the tolerant load."""
+        loaded, rejected = _roundtrip(c)
+        a = loaded.groupBy(csv_ingest.TABLE_COL).agg(F.count(F.lit(1)).alias("n_loaded"))
+        b = rejected.groupBy(csv_ingest.TABLE_COL).agg(F.count(F.lit(1)).alias("n_rejected"))
+        return (a.join(b, csv_ingest.TABLE_COL, "full")
+                 .select(csv_ingest.TABLE_COL,
+                         F.coalesce("n_loaded", F.lit(0).cast("bigint")).alias("n_loaded"),
+                         F.coalesce("n_rejected", F.lit(0).cast("bigint")).alias("n_rejected")))
+
+    @registry.register("layer_copy_raw_to_staging")
+    def _layer_copy_raw_to_staging(c: registry.Ctx) -> DataFrame:
+        """Raw snapshot table copied to staging (select *), read back."""
+        wh = Warehouse(c.spark, new_scratch_dir(c.spark, "wh"))
+        wh.write("raw", "listing_snapshots", _month_table(c.snapshot()),
+                 partition_by=[csv_ingest.TABLE_COL])
+        return wh.copy("raw", "staging", ["listing_snapshots"])["listing_snapshots"]
+
+    @registry.register("layer_promote_staging_to_dw")
+    def _layer_promote_staging_to_dw(c: registry.Ctx) -> DataFrame:
+        """Listing dimension built in staging and promoted to the warehouse
+        (prefix dropped), read back without its opaque id."""
+        wh = Warehouse(c.spark, new_scratch_dir(c.spark, "wh"))
+        wh.write("staging", "stg_listing_d", star.listing_dim(c.snapshot(), with_id=True))
+        promoted = wh.promote(["stg_listing_d"])["listing_d"]
+        return promoted.drop("id")
+
+    @registry.register("export_host_mart")
+    def _export_host_mart(c: registry.Ctx) -> DataFrame:
+        """Mart 3 exported as CSV with its row-number column, read back."""
+        mart = marts.host_neighbourhood_mart(c.listing_d(), c.host_d())
+        path = new_scratch_dir(c.spark, "export") + "/dm_host_neighbourhood"
+        export_csv(mart, path, ["host_neighbourhood_lga", "s_date"])
+        schema = T.StructType([
+            T.StructField("row_no", T.LongType()),
+            T.StructField("host_neighbourhood_lga", T.StringType()),
+            T.StructField("s_date", T.StringType()),
+            T.StructField("distinct_host_count", T.LongType()),
+            T.StructField("average_estimated_revenue", T.DecimalType(38, 0)),
+            T.StructField("average_revenue_p_host", T.DecimalType(38, 6))])
+        return read_export(c.spark, path, schema)
+
+
+_register()
+
 
 def layer_oracle_sql(with_prefix) -> dict[str, str]:
-    return {}
+    from staylens import oracle
+    month_table = ("'listing_' || substr(left(scraped_date, 7), 6, 2) || '_' || "
+                   "substr(left(scraped_date, 7), 1, 4)")
+    q = {}
+    q["src_csv_roundtrip"] = with_prefix() + f"\nSELECT *, {month_table} AS source_table FROM snapshot"
+    q["union_all_snapshots"] = with_prefix() + f"""
+SELECT {month_table} AS source_table, count(*) AS n_rows, CAST(sum(price) AS BIGINT) AS sum_price
+FROM snapshot GROUP BY 1"""
+    q["src_load_reject_count"] = with_prefix() + f"""
+SELECT {month_table} AS source_table, count(*) AS n_loaded, CAST(0 AS BIGINT) AS n_rejected
+FROM snapshot GROUP BY 1"""
+    q["layer_copy_raw_to_staging"] = q["src_csv_roundtrip"]
+    q["layer_promote_staging_to_dw"] = with_prefix() + "\nSELECT * FROM listing_d"
+    mart3 = oracle._host_mart_sql()
+    q["export_host_mart"] = (f"SELECT row_number() OVER (ORDER BY host_neighbourhood_lga, s_date) - 1"
+                             f" AS row_no, * FROM (\n{mart3}\n) m")
+    return q
