@@ -103,7 +103,7 @@ def export_csv(df: DataFrame, path: str, order: list) -> None:
     numbered = with_row_number(df, order)
     out = numbered.select(F.col("row_no").alias(""),
                           *[F.col(c).alias(c.upper()) for c in df.columns])
-    out.write.mode("overwrite").option("header", True).csv(path)
+    out.write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
 
 
 def read_export(spark: SparkSession, path: str, schema) -> DataFrame:

@@ -1,0 +1,161 @@
+"""Hand-computed cases (FIXTURES.md §4); every mart case runs under both the
+literal (naive) plan and the pre-aggregated plan."""
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from staylens.operators import fanout
+from staylens.plans import adhoc, marts, star
+from staylens.registry import presentable
+from tests.helpers import dims, rows_of, snap_row as r
+
+M1, M2, M3 = "2020-05", "2020-06", "2020-07"
+STRATEGIES = ["naive", "preaggregate"]
+
+
+def mart1(spark, rows, strategy):
+    ld, hd = dims(spark, rows)
+    out = marts.listing_neighbourhood_mart(ld, hd, include_keys=True, strategy=strategy)
+    return {(x["listing_neighbourhood"], x["s_date"]): x for x in rows_of(out)}
+
+
+D1 = [
+    r(1, M1, "A", active="t", superhost="t", price=100),
+    r(2, M1, "A", active="f", superhost="f", price=300),
+    r(3, M1, "A", active="f", superhost="f"),
+    r(4, M1, "B", active="t", superhost="t", price=50),
+    r(5, M1, "B", active="t", superhost=None, price=70),
+    r(6, M1, "C", active="t", superhost="f"),
+    r(7, M2, "A", active="t", superhost="t"),
+    r(8, M2, "A", active="f", superhost="f"),
+    r(9, M3, "A", active="t", superhost="t"),
+]
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_rates_groups_and_series(spark, strategy):
+    m = mart1(spark, D1, strategy)
+    assert set(m) == {("A", M1), ("B", M1), ("A", M2)}          # C: no superhost; M3: no inactive
+    assert m[("A", M1)]["active_listing_rate"] == Decimal("33.333300")
+    assert m[("A", M1)]["superhost_rate"] == Decimal("33.333300")
+    assert m[("B", M1)]["superhost_rate"] == Decimal("100.000000")  # null flag not in denominator
+    assert m[("A", M1)]["active_percentage_change"] is None        # first month
+    assert m[("A", M2)]["active_percentage_change"] == Decimal("-75.000000")   # 4 -> 1
+    assert m[("A", M2)]["inactive_percentage_change"] == Decimal("-50.000000")  # 2 -> 1
+    b = m[("B", M1)]
+    assert (b["min_price"], b["max_price"], b["avg_price"], b["median_price"]) == (50, 70, 60.0, 60.0)
+    assert b["distinct_host_count"] == 1
+    assert b["total_staying"] == 40 and b["average_estimated_revenue"] == Decimal(40 * 120)
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_falling_counts(spark, strategy):
+    rows = [r(i, M1, "A", superhost="t") for i in (1, 2, 3)] + [r(10, M1, "Z", active="f")]
+    rows += [r(i, M2, "A", superhost="t") for i in (4, 5)] + [r(11, M2, "Z", active="f")]
+    m = mart1(spark, rows, strategy)
+    assert m[("A", M2)]["active_percentage_change"] == Decimal("-33.333300")
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_fan_out_is_reproduced(spark, strategy):
+    rows = [r(1, M1, "A", superhost="t", price=10), r(1, M2, "A", superhost="t", price=30),
+            r(900, M1, "Z", active="f"), r(901, M2, "Z", active="f")]
+    ld, hd = dims(spark, rows)
+    assert marts.joined_listings(ld, hd, ["price"]).filter("listing_id = 1").count() == 4
+    stats = {(x["listing_neighbourhood"], x["s_date"]): x
+             for x in rows_of(fanout.keyed_month_stats(ld, hd, ["listing_neighbourhood"]))}
+    assert stats[("A", M1)]["all_listing_count"] == 2 and stats[("A", M2)]["all_listing_count"] == 2
+    m = mart1(spark, rows, strategy)
+    # each month mixes the prices of both snapshots of listing 1
+    assert m[("A", M1)]["avg_price"] == 20.0 and m[("A", M2)]["median_price"] == 20.0
+
+
+def mart3(spark, rows, strategy):
+    ld, hd = dims(spark, rows)
+    out = marts.host_neighbourhood_mart(ld, hd, strategy=strategy)
+    return {(x["host_neighbourhood_lga"], x["s_date"]): x for x in rows_of(out)}
+
+
+D4 = [
+    r(1, M1, "X", host="h1", host_nb="H1", avail=20, price=10),
+    r(2, M1, "Y", host="h2", host_nb="H1", avail=10, price=5),
+    r(3, M1, "X", host="h3", host_nb=None),
+    r(4, M1, "W", host=None, host_nb="H2", avail=0, price=7),
+]
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_host_mart_ties_nulls_and_zero_hosts(spark, strategy):
+    ld, hd = dims(spark, D4)
+    mapping = {(x["host_neighbourhood"], x["host_neighbourhood_lga"])
+               for x in rows_of(marts.host_lga_mapping(ld, hd))}
+    assert mapping == {("H1", "X"), ("H1", "Y"), ("H2", "W")}   # tie kept, null area dropped
+    m = mart3(spark, D4, strategy)
+    assert set(m) == {("X", M1), ("Y", M1), ("W", M1)}
+    assert m[("X", M1)]["distinct_host_count"] == 1                # h3 (null area) not counted
+    assert m[("X", M1)]["average_estimated_revenue"] == Decimal(10 * 10)
+    assert m[("X", M1)]["average_revenue_p_host"] == Decimal("100.000000")
+    assert m[("W", M1)]["distinct_host_count"] == 0
+    assert m[("W", M1)]["average_revenue_p_host"] is None         # no division by zero
+
+
+def _lga_inputs(spark, suburbs):
+    lga = spark.createDataFrame([(10001, "Inner West"), (10002, "Other")], "lga_code long, lga_name string")
+    sub = spark.createDataFrame(suburbs, "lga_name string, suburb_name string")
+    from staylens import schemas
+    cen_cols = ["lga_code_2016"] + schemas.CENSUS_COUNT_COLUMNS + schemas.CENSUS_MEDIAN_COLUMNS
+    c = spark.createDataFrame(
+        [tuple([10001] + [1] * len(schemas.CENSUS_COUNT_COLUMNS) + [1000, 1000, 1, 1, 1, 1.0, 1, 1.0])],
+        cen_cols)
+    c = c.select(*[F.col(x).cast("double" if x.startswith("average") else "bigint") for x in cen_cols])
+    return star.lga_dim(lga), star.suburb_dim(sub), c
+
+
+def test_suburb_join_folds_case(spark):
+    lga, sub, _ = _lga_inputs(spark, [("INNER WEST", "Leichhardt"), ("other", "Town")])
+    got = {(x["lga_name"], x["suburb_name"]) for x in rows_of(star.lga_with_suburbs(lga, sub))}
+    assert got == {("Inner West", "Leichhardt"), ("Other", "Town")}
+
+
+def test_listing_lga_match_is_case_sensitive(spark):
+    lga, _, _ = _lga_inputs(spark, [])
+    ld, _ = dims(spark, [r(1, M1, "inner west"), r(2, M1, "Inner West")])
+    assert [x["listing_id"] for x in rows_of(star.listing_with_lga(ld, lga))] == [2]
+
+
+def test_suburb_fan_out_doubles_sums_keeps_averages(spark):
+    rows = [r(1, M1, "Inner West", price=100, avail=10, rating=80.0),
+            r(2, M1, "Inner West", price=50, avail=20, rating=91.0)]
+    ld, _ = dims(spark, rows)
+    out = {}
+    for n, subs in (("one", [("inner west", "A")]), ("two", [("inner west", "A"), ("INNER WEST", "B")])):
+        lga, sub, cen = _lga_inputs(spark, subs)
+        out[n] = rows_of(presentable(adhoc.lga_revenue(ld, lga, cen, sub)))[0]
+    one, two = out["one"], out["two"]
+    assert two["total_staying"] == 2 * one["total_staying"] == 60
+    assert two["price"] == 2 * one["price"] == 300
+    assert two["age_0_4_yr_m"] == 2 * one["age_0_4_yr_m"] == 4
+    assert two["avg_review_scores_rating"] == one["avg_review_scores_rating"] == 85.5
+    mort = {}
+    for n, subs in (("one", [("inner west", "A")]), ("two", [("inner west", "A"), ("inner west", "B")])):
+        lga, sub, cen = _lga_inputs(spark, subs)
+        mort[n] = rows_of(adhoc.revenue_vs_mortgage(ld, lga, cen, sub))[0]
+    assert mort["two"]["median_mortgage_annaully"] == 2 * mort["one"]["median_mortgage_annaully"] == 4000
+
+
+def test_review_scores_round_half_up_into_dimension(spark):
+    ld, _ = dims(spark, [r(1, M1, rating=2.5), r(2, M1, rating=3.49), r(3, M1, rating=None)])
+    got = {x["listing_id"]: x["review_scores_rating"] for x in rows_of(ld)}
+    assert got == {1: 3, 2: 3, 3: None}
+
+
+def test_host_same_vs_different(spark):
+    rows = [r(1, M1, "A", host="h1", host_nb="A"), r(2, M1, "B", host="h1", host_nb="A"),
+            r(3, M1, "A", host="h2", host_nb="A"), r(4, M1, "A", host="h3", host_nb=None),
+            r(5, M2, "B", host="h2", host_nb="A")]
+    from tests.helpers import snapshot_df
+    s = snapshot_df(spark, rows)
+    assert [(x["host_name"], x["same_neighbourhood"], x["different_neighbourhood"])
+            for x in rows_of(adhoc.host_same_vs_different(s))] == [("h1", 1, 1), ("h2", 1, 1)]
+    assert [x["host_name"] for x in rows_of(adhoc.host_same_vs_different(s, M1))] == ["h1"]
