@@ -39,7 +39,8 @@ def _not_null(cols: Sequence[str]):
     return cond
 
 
-def _finish(groups: DataFrame, keys: Sequence[str], include_keys: bool) -> DataFrame:
+def _finish(groups: DataFrame, keys: Sequence[str], include_keys: bool,
+            ordered: bool = False) -> DataFrame:
     out = groups.select(
         *keys, MONTH,
         (ratio6("active_listing_count", "all_listing_count") * hundred()).alias("active_listing_rate"),
@@ -49,20 +50,25 @@ def _finish(groups: DataFrame, keys: Sequence[str], include_keys: bool) -> DataF
          .alias("superhost_rate"),
         "total_staying",
         (to_number("total_staying") * to_number("price")).alias("average_estimated_revenue"))
-    ordered = out.orderBy(*keys, MONTH)
-    return ordered if include_keys else ordered.select(*MART_COLUMNS)
+    if ordered:
+        out = out.orderBy(*keys, MONTH)
+    return out if include_keys else out.select(*MART_COLUMNS)
 
 
 def listing_mart(listing_d: DataFrame, host_d: DataFrame, keys: Sequence[str],
-                 include_keys: bool = False, strategy: str = "preaggregate") -> DataFrame:
+                 include_keys: bool = False, strategy: str = "preaggregate",
+                 ordered: bool = False) -> DataFrame:
     """Mart over listing x host rows grouped by (keys, month): active rate,
     price statistics, distinct hosts, rating, global month-over-month change
     of active and inactive counts, superhost rate, nights and revenue.
     A group is kept only if it has an active listing, a superhost, non-null
-    keys and a month present in the global change series."""
+    keys and a month present in the global change series.
+
+    ``ordered=True`` sorts by (keys, month) even when the keys are not
+    output; a stored table does not keep an order, so the export sorts."""
     keys = list(keys)
     if strategy == "naive":
-        return _listing_mart_naive(listing_d, host_d, keys, include_keys)
+        return _listing_mart_naive(listing_d, host_d, keys, include_keys, ordered)
     stats = keyed_month_stats(listing_d, host_d, keys)
     kept = stats.filter(_not_null(keys + [MONTH])
                         & (F.col("active_listing_count") > 0)
@@ -76,15 +82,17 @@ def listing_mart(listing_d: DataFrame, host_d: DataFrame, keys: Sequence[str],
                               F.coalesce("distinct_host_count", F.lit(0).cast("bigint")))
                   .join(series.select(MONTH, "active_percentage_change",
                                       "inactive_percentage_change"), MONTH))
-    return _finish(groups, keys, include_keys)
+    return _finish(groups, keys, include_keys, ordered)
 
 
-def listing_neighbourhood_mart(listing_d, host_d, include_keys=False, strategy="preaggregate"):
-    return listing_mart(listing_d, host_d, NEIGHBOURHOOD_KEYS, include_keys, strategy)
+def listing_neighbourhood_mart(listing_d, host_d, include_keys=False, strategy="preaggregate",
+                               ordered=False):
+    return listing_mart(listing_d, host_d, NEIGHBOURHOOD_KEYS, include_keys, strategy, ordered)
 
 
-def property_type_mart(listing_d, host_d, include_keys=False, strategy="preaggregate"):
-    return listing_mart(listing_d, host_d, PROPERTY_KEYS, include_keys, strategy)
+def property_type_mart(listing_d, host_d, include_keys=False, strategy="preaggregate",
+                       ordered=False):
+    return listing_mart(listing_d, host_d, PROPERTY_KEYS, include_keys, strategy, ordered)
 
 
 def joined_listings(listing_d: DataFrame, host_d: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -94,7 +102,7 @@ def joined_listings(listing_d: DataFrame, host_d: DataFrame, cols: Sequence[str]
     return listing_d.select("listing_id", *cols).join(h, "listing_id")
 
 
-def _listing_mart_naive(listing_d, host_d, keys, include_keys):
+def _listing_mart_naive(listing_d, host_d, keys, include_keys, ordered=False):
     rows = joined_listings(listing_d, host_d, list(dict.fromkeys(
         [*keys, "price", "has_availability", "availability_30", "review_scores_rating"])))
     g = keys + [MONTH]
@@ -119,7 +127,7 @@ def _listing_mart_naive(listing_d, host_d, keys, include_keys):
     groups = (alc.join(alcc, g).join(sh, g)
                  .join(series.select(MONTH, "active_percentage_change",
                                      "inactive_percentage_change"), MONTH))
-    return _finish(groups, keys, include_keys)
+    return _finish(groups, keys, include_keys, ordered)
 
 
 def host_lga_mapping(listing_d: DataFrame, host_d: DataFrame) -> DataFrame:
@@ -137,7 +145,7 @@ HOST_MART_COLUMNS = ["host_neighbourhood_lga", MONTH, "distinct_host_count",
 
 
 def host_neighbourhood_mart(listing_d: DataFrame, host_d: DataFrame,
-                            strategy: str = "preaggregate") -> DataFrame:
+                            strategy: str = "preaggregate", ordered: bool = False) -> DataFrame:
     """Per (mapped LGA, month) over joined rows whose listing lies in the LGA
     its host neighbourhood maps to: distinct hosts, revenue (nights x price)
     and revenue per host (six digits, null when no host has a name)."""
@@ -160,16 +168,20 @@ def host_neighbourhood_mart(listing_d: DataFrame, host_d: DataFrame,
                             month_of("scraped_date").alias(MONTH))
               .groupBy("listing_id", "host_neighbourhood", MONTH, "host_name")
               .agg(F.count(F.lit(1)).alias("h_rows")))
-        pairs = l2.join(h4, "listing_id")
-        cond = ((pairs.host_neighbourhood == mapping.host_neighbourhood)
-                & (pairs.listing_neighbourhood == mapping.host_neighbourhood_lga))
-        agg = (pairs.join(mapping, cond).groupBy("host_neighbourhood_lga", MONTH)
+        # the mapping (at most a few LGAs per host neighbourhood) is applied to
+        # the host side first, so the join on (listing_id, LGA) only yields
+        # pairs that survive the filter instead of every listing x host pair
+        h_mapped = h4.join(mapping, "host_neighbourhood")
+        pairs = l2.join(h_mapped,
+                        (l2.listing_id == h_mapped.listing_id)
+                        & (l2.listing_neighbourhood == h_mapped.host_neighbourhood_lga))
+        agg = (pairs.groupBy("host_neighbourhood_lga", MONTH)
                     .agg(F.count_distinct("host_name").alias("distinct_host_count"),
                          F.sum(F.col("l_stay") * F.col("h_rows")).alias("total_staying"),
                          F.sum(F.col("l_price") * F.col("h_rows")).alias("price")))
     revenue = to_number("total_staying") * to_number("price")
-    return (agg.select("host_neighbourhood_lga", MONTH, "distinct_host_count",
-                       revenue.alias("average_estimated_revenue"))
-               .withColumn("average_revenue_p_host",
-                           ratio6("average_estimated_revenue", "distinct_host_count"))
-               .orderBy("host_neighbourhood_lga", MONTH))
+    out = (agg.select("host_neighbourhood_lga", MONTH, "distinct_host_count",
+                      revenue.alias("average_estimated_revenue"))
+              .withColumn("average_revenue_p_host",
+                          ratio6("average_estimated_revenue", "distinct_host_count")))
+    return out.orderBy("host_neighbourhood_lga", MONTH) if ordered else out

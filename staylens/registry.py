@@ -219,7 +219,8 @@ def _argmax_with_ties(c: Ctx) -> DataFrame:
 @register("sort_by_hidden_key")
 def _sort_by_hidden_key(c: Ctx) -> DataFrame:
     """Mart 1 in its published shape: ordered by keys that are not output."""
-    return marts.listing_neighbourhood_mart(c.listing_d(), c.host_d(), include_keys=False)
+    return marts.listing_neighbourhood_mart(c.listing_d(), c.host_d(), include_keys=False,
+                                            ordered=True)
 
 
 # --------------------------------------------------------------------------
