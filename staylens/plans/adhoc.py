@@ -69,13 +69,20 @@ def best_listing_type(listing_d: DataFrame) -> DataFrame:
                         F.col("revenue").desc_nulls_first()))
 
 
-def host_same_vs_different(snapshot: DataFrame, month: str | None = None) -> DataFrame:
+def host_same_vs_different(snapshot: DataFrame, month: str | None = None,
+                           source_table: str | None = None) -> DataFrame:
     """Hosts with listings both inside and outside their own neighbourhood,
-    from one snapshot month ('yyyy-MM') or all rows (month=None).
+    from one snapshot: a month ('yyyy-MM'), or a source table (e.g.
+    'listing_01_2021', the raw layer's partition column, so only that
+    partition is read), or all rows when both are None.
 
     The modelled SQL orders by a column that does not exist; here the order is
     (same + different) desc, host name asc."""
-    src = snapshot if month is None else snapshot.filter(month_of("scraped_date") == month)
+    src = snapshot
+    if source_table is not None:
+        src = src.filter(F.col("source_table") == source_table)
+    if month is not None:
+        src = src.filter(month_of("scraped_date") == month)
     same = F.col("host_neighbourhood") == F.col("listing_neighbourhood")
     diff = F.col("host_neighbourhood") != F.col("listing_neighbourhood")
     g = (src.filter(F.col("host_name").isNotNull())

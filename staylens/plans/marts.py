@@ -50,8 +50,8 @@ def _finish(groups: DataFrame, keys: Sequence[str], include_keys: bool,
          .alias("superhost_rate"),
         "total_staying",
         (to_number("total_staying") * to_number("price")).alias("average_estimated_revenue"))
-    if ordered:
-        out = out.orderBy(*keys, MONTH)
+    if ordered:   # ascending, nulls last, as the source warehouse sorts
+        out = out.orderBy(*[F.col(k).asc_nulls_last() for k in [*keys, MONTH]])
     return out if include_keys else out.select(*MART_COLUMNS)
 
 
@@ -184,4 +184,5 @@ def host_neighbourhood_mart(listing_d: DataFrame, host_d: DataFrame,
                       revenue.alias("average_estimated_revenue"))
               .withColumn("average_revenue_p_host",
                           ratio6("average_estimated_revenue", "distinct_host_count")))
-    return out.orderBy("host_neighbourhood_lga", MONTH) if ordered else out
+    order = [F.col("host_neighbourhood_lga").asc_nulls_last(), F.col(MONTH).asc_nulls_last()]
+    return out.orderBy(*order) if ordered else out

@@ -10,6 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from staylens.plans import marts, star
 from staylens.plans.layers import Warehouse, export_csv
@@ -90,6 +91,6 @@ def run_pipeline(spark: SparkSession, source_root: str, warehouse_root: str,
     if export_root:                                                   # 9
         for name, df in built.items():
             path = f"{export_root.rstrip('/')}/{name}"
-            export_csv(df, path, MART_ORDER[name])
+            export_csv(df, path, [F.col(c).asc_nulls_last() for c in MART_ORDER[name]])
             exports[name] = path
     return PipelineResult(wh, rejected, built, exports)

@@ -122,6 +122,30 @@ def load_reference(spark: SparkSession, root: str, name: str) -> tuple[DataFrame
     return parse_typed(text, schema)
 
 
+def infer_raw_schema(spark: SparkSession, paths: Sequence[str],
+                     sampling_ratio: float = 1.0) -> T.StructType:
+    """Schema of an arbitrary CSV file set, for files without a declared
+    schema: inferred column types widened the way the raw layer stores them
+    (integers -> bigint, floating -> double, dates and timestamps -> text,
+    since dates stay text in every layer). Inference reads the sampled rows
+    once; declared schemas (schemas.RAW_SCHEMAS, SNAPSHOT_SCHEMA) skip it."""
+    paths = _existing(spark, paths)
+    inferred = (spark.read.option("header", True).option("inferSchema", True)
+                .option("samplingRatio", sampling_ratio)
+                .option("recursiveFileLookup", True).csv(list(paths)).schema)
+    widened = []
+    for f in inferred.fields:
+        t = f.dataType
+        if isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+            t = T.LongType()
+        elif isinstance(t, (T.FloatType, T.DoubleType, T.DecimalType)):
+            t = T.DoubleType()
+        elif not isinstance(t, T.BooleanType):
+            t = T.StringType()
+        widened.append(T.StructField(f.name.lower(), t, True))
+    return T.StructType(widened)
+
+
 def write_csv_tables(df: DataFrame, root: str, table_col: str = TABLE_COL) -> None:
     """Write one folder of CSV part files per table name (header, '"' quotes);
     ``table_name_of`` reads the folder name back as the table name."""

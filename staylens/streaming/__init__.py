@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The modelled job is a manually triggered batch full refresh of monthly
+snapshot files; it has no streams, watermarks, windows over event time or
+state, so nothing here is built. New monthly files are picked up by the next
+batch run (``plans.pipeline.run_pipeline``), whose partitioned raw table
+overwrites only the months present in the new files.
+"""

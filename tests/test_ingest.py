@@ -51,3 +51,31 @@ def test_table_name_rule(spark):
                                 ("file:/w/nsw_lga_code/part-0000.csv",)], "p string")
     names = [r.n for r in df.select(csv_ingest.table_name_of(F.col("p")).alias("n")).collect()]
     assert names == ["listing_05_2020", "Census_01", "listing_07_2020", "nsw_lga_code"]
+
+
+def test_infer_raw_schema_widens(spark, tmpdir_path):
+    from pyspark.sql import types as T
+    with open(f"{tmpdir_path}/extra.csv", "w") as fh:
+        fh.write("Code,Ratio,Day,Name\n1,0.5,2020-01-02,a\n2,1.5,2020-01-03,b\n")
+    s = csv_ingest.infer_raw_schema(spark, [f"{tmpdir_path}/*.csv"])
+    assert [(f.name, f.dataType) for f in s.fields] == [
+        ("code", T.LongType()), ("ratio", T.DoubleType()), ("day", T.StringType()),
+        ("name", T.StringType())]
+
+
+def test_partition_pruning_for_one_snapshot(spark, tmpdir_path):
+    from staylens.plans import adhoc
+    from staylens.plans.layers import Warehouse
+    from tests.helpers import snapshot_df, snap_row as r
+    from pyspark.sql import functions as F
+    rows = [r(1, "2021-01", "A", host="h1", host_nb="A"), r(2, "2021-01", "B", host="h1", host_nb="A"),
+            r(3, "2021-02", "B", host="h2", host_nb="A"), r(4, "2021-02", "A", host="h2", host_nb="A")]
+    s = snapshot_df(spark, rows).withColumn(
+        "source_table", F.concat(F.lit("listing_"), F.substring("scraped_date", 6, 2), F.lit("_"),
+                                 F.substring("scraped_date", 1, 4)))
+    wh = Warehouse(spark, f"{tmpdir_path}/wh")
+    raw = wh.write("raw", "listing_snapshots", s, partition_by=["source_table"])
+    q = adhoc.host_same_vs_different(raw, source_table="listing_01_2021")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(source_table" in plan and "listing_01_2021" in plan
+    assert [x.host_name for x in q.collect()] == ["h1"]
