@@ -2,14 +2,21 @@
 
 The warehouse filled ids from a counter (start 1, step 1). Here every row is
 tagged with ``monotonically_increasing_id`` (partition index in the upper 31
-bits, position in the lower 33), the tagged rows are checkpointed so a retry
-cannot re-number them, per-partition row counts (one row per partition) are
-turned into offsets, and ``id = offset + position + 1``. Two passes, no
-shuffle of the data, and the broadcast offset table is bounded by the number
-of partitions.
+bits, position in the lower 33), per-partition row counts (one row per
+partition) are turned into offsets, and ``id = offset + position + 1``. Two
+passes, no shuffle of the data, and the broadcast offset table is bounded by
+the number of partitions.
+
+Both passes must see every row at the same position. That holds for a plan
+without a shuffle (file scans, projections, filters, broadcast joins: a
+retried task re-reads the same split in the same order). After a shuffle the
+order inside a partition depends on fetch order, so such inputs are
+checkpointed first (reliable checkpoint in ``spark.checkpoint.dir``).
 """
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,11 +24,19 @@ from staylens.session import ensure_checkpoint_dir
 
 _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
+_SHUFFLE = re.compile(r"(?<!Broadcast)Exchange ")
+
+
+def has_shuffle(df: DataFrame) -> bool:
+    """True when the physical plan moves rows between partitions."""
+    return bool(_SHUFFLE.search(df._jdf.queryExecution().executedPlan().toString()))
 
 
 def with_surrogate_id(df: DataFrame, id_col: str = "id") -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    tagged = df.withColumn("_sk_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
+    tagged = df.withColumn("_sk_mid", F.monotonically_increasing_id())
+    if has_shuffle(df):
+        ensure_checkpoint_dir(df.sparkSession)
+        tagged = tagged.checkpoint(eager=True)
     part = F.shiftrightunsigned(F.col("_sk_mid"), _POS_BITS)
     counts = tagged.groupBy(part.alias("_sk_part")).agg(F.count(F.lit(1)).alias("_sk_n"))
     before = Window.orderBy("_sk_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -19,3 +19,17 @@ def test_row_number_follows_order(spark):
     df = spark.range(0, 200, 1, 5).select((F.lit(199) - F.col("id")).alias("k"))
     rows = with_row_number(df, ["k"]).collect()
     assert all(r.row_no == r.k for r in rows)
+
+
+def test_shuffled_input_is_checkpointed_scan_is_not(spark, tmpdir_path):
+    from staylens.operators.surrogate import has_shuffle
+    spark.range(0, 100, 1, 4).select(F.col("id").alias("v")).write.parquet(f"{tmpdir_path}/t")
+    scan = spark.read.parquet(f"{tmpdir_path}/t").filter("v % 2 = 0")
+    assert not has_shuffle(scan)
+    shuffled = scan.groupBy((F.col("v") % 7).alias("k")).count()
+    assert has_shuffle(shuffled)
+    for df in (scan, shuffled):
+        out = with_surrogate_id(df)
+        n = df.count()
+        r = out.agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count_distinct("id").alias("d")).first()
+        assert (r.lo, r.hi, r.d) == (1, n, n)
