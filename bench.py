@@ -15,6 +15,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
+    "mart_active_listings",
     "mart_listing_neighbourhood",
     "mart_property_type",
     "mart_host_neighbourhood",

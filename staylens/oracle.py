@@ -333,6 +333,18 @@ FROM pc"""
     q["argmax_with_ties"] = _with(*_COUNT_HOST) + """
 SELECT host_neighbourhood, host_neighbourhood_lga, counting FROM lga_host"""
     q["sort_by_hidden_key"] = _mart_sql(["listing_neighbourhood"], include_keys=False)
+    q["mart_active_listings"] = _with("""
+listings AS (
+  SELECT L.listing_id, L.listing_neighbourhood, L.price, L.has_availability, L.availability_30,
+         L.review_scores_rating, H.host_name, left(H.scraped_date, 7) AS s_date
+  FROM listing_d L JOIN host_d H ON L.listing_id = H.listing_id
+)""") + """
+SELECT listing_neighbourhood, s_date, count(listing_id) AS active_listing_count,
+       min(price) AS min_price, max(price) AS max_price, avg(price) AS avg_price,
+       median(price) AS median_price, count(DISTINCT host_name) AS distinct_host_count,
+       avg(review_scores_rating) AS avg_review_scores_rating,
+       CAST(sum(30 - availability_30) AS BIGINT) AS total_staying, CAST(sum(price) AS BIGINT) AS price
+FROM listings WHERE has_availability = 't' GROUP BY listing_neighbourhood, s_date"""
     q["mart_listing_neighbourhood"] = _mart_sql(["listing_neighbourhood"])
     q["mart_property_type"] = _mart_sql(["property_type", "room_type", "accommodates"])
     q["mart_host_neighbourhood"] = _host_mart_sql()

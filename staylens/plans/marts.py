@@ -85,6 +85,44 @@ def listing_mart(listing_d: DataFrame, host_d: DataFrame, keys: Sequence[str],
     return _finish(groups, keys, include_keys, ordered)
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str) -> DataFrame:
+    """Join on equal-or-both-null columns (GROUP BY treats nulls as one group)."""
+    r = right.select(*[F.col(c).alias(f"_r_{c}") if c in cols else F.col(c) for c in right.columns])
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & left[c].eqNullSafe(r[f"_r_{c}"])
+    return left.join(r, cond, how).drop(*[f"_r_{c}" for c in cols])
+
+
+def active_listing_stats(listing_d: DataFrame, host_d: DataFrame, keys: Sequence[str],
+                         strategy: str = "preaggregate") -> DataFrame:
+    """The marts' active-listing aggregates per (keys, month) over the joined
+    rows, every group kept (null keys included): count, min/max/avg/median
+    price, distinct hosts, average rating, nights and price sum."""
+    keys = list(keys)
+    g = keys + [MONTH]
+    if strategy == "naive":
+        rows = joined_listings(listing_d, host_d, list(dict.fromkeys(
+            [*keys, "price", "has_availability", "availability_30", "review_scores_rating"])))
+        return (rows.filter(is_true_flag("has_availability")).groupBy(*g).agg(
+            F.count("listing_id").alias("active_listing_count"),
+            F.min("price").alias("min_price"), F.max("price").alias("max_price"),
+            F.avg("price").alias("avg_price"), F.median("price").alias("median_price"),
+            F.count_distinct("host_name").alias("distinct_host_count"),
+            F.avg("review_scores_rating").alias("avg_review_scores_rating"),
+            F.sum(stay_days("availability_30")).alias("total_staying"),
+            F.sum("price").alias("price")))
+    stats = keyed_month_stats(listing_d, host_d, keys).filter(F.col("active_listing_count") > 0)
+    hosts = keyed_month_distinct_hosts(listing_d, host_d, keys, drop_null_keys=False)
+    median = keyed_month_median_price(listing_d, host_d, keys, drop_null_keys=False)
+    out = _join_null_safe(_join_null_safe(stats, hosts, g, "left"), median, g, "left")
+    return out.select(*g, "active_listing_count", "min_price", "max_price", "avg_price",
+                      "median_price",
+                      F.coalesce("distinct_host_count", F.lit(0).cast("bigint"))
+                       .alias("distinct_host_count"),
+                      "avg_review_scores_rating", "total_staying", "price")
+
+
 def listing_neighbourhood_mart(listing_d, host_d, include_keys=False, strategy="preaggregate",
                                ordered=False):
     return listing_mart(listing_d, host_d, NEIGHBOURHOOD_KEYS, include_keys, strategy, ordered)

@@ -226,6 +226,14 @@ def _sort_by_hidden_key(c: Ctx) -> DataFrame:
 # --------------------------------------------------------------------------
 # Marts
 # --------------------------------------------------------------------------
+@register("mart_active_listings")
+def _mart_active_listings(c: Ctx) -> DataFrame:
+    """The marts' active-listing aggregates per (listing neighbourhood, month)
+    over listing x host rows: count, price min/max/avg/median, distinct hosts,
+    rating, nights, price sum."""
+    return marts.active_listing_stats(c.listing_d(), c.host_d(), marts.NEIGHBOURHOOD_KEYS)
+
+
 @register("mart_listing_neighbourhood")
 def _mart_listing_neighbourhood(c: Ctx) -> DataFrame:
     """Mart 1 per (listing neighbourhood, month), keys included."""

@@ -68,3 +68,11 @@ def test_mart2_equivalent(spark, rows):
 def test_mart3_equivalent(spark, rows):
     a, b = _both(lambda l, h, s: marts.host_neighbourhood_mart(l, h, s), spark, rows)
     assert a == b
+
+
+@SETTINGS
+@given(rows=snapshots())
+def test_active_listing_stats_equivalent(spark, rows):
+    a, b = _both(lambda l, h, s: marts.active_listing_stats(l, h, ["listing_neighbourhood"], s),
+                 spark, rows)
+    assert a == b
