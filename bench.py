@@ -3,7 +3,7 @@
 Each query is planned and fully executed into the no-op sink (no collect),
 file reads included; the raw snapshot every query reads is built from the
 driver tables once and timed as ``stage_raw_snapshot``. A warm-up pass on
-the smallest data set runs first (untimed). Prints one JSON line.
+sf0.01 runs first (untimed). Prints one JSON line.
 """
 from __future__ import annotations
 
@@ -45,9 +45,9 @@ def main() -> None:
                                "spark.sql.adaptive.coalescePartitions.enabled": "false",
                                "spark.sql.files.openCostInBytes": "128k"})
     qs = registry.queries()
-    # Warm-up, not timed: JIT-compile the operators once on the smallest data
+    # Warm-up, not timed: JIT-compile the operators once on a smaller data
     # set, so the first timed query does not pay the JVM warm-up alone.
-    warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
+    warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.01")
     if os.path.isdir(warm_dir) and warm_dir.rstrip("/") != sf_dir.rstrip("/"):
         for n in names:
             qs[n](spark, warm_dir).write.format("noop").mode("overwrite").save()

@@ -17,6 +17,11 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.parquet.filterPushdown": "true",
+    # The exact median is a percentile aggregate (ObjectHashAggregate) whose
+    # per-group state is a value -> weight map. Keep up to 4096 groups per
+    # task in hash mode before falling back to sort-based aggregation (the
+    # default 128 sorts every input row of the marts' percentile stage).
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
 }
 
 
