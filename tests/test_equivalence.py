@@ -76,3 +76,20 @@ def test_active_listing_stats_equivalent(spark, rows):
     a, b = _both(lambda l, h, s: marts.active_listing_stats(l, h, ["listing_neighbourhood"], s),
                  spark, rows)
     assert a == b
+
+
+@SETTINGS
+@given(rows=snapshots())
+def test_distinct_hosts_same_with_and_without_broadcast(spark, rows):
+    from staylens.operators import fanout
+    ld, hd = dims(spark, rows)
+    keys = ["property_type", "room_type"]
+    with_bc = _norm(rows_of(fanout.keyed_month_distinct_hosts(ld, hd, keys, drop_null_keys=False)))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert not fanout.fits_broadcast(ld)
+        without = _norm(rows_of(fanout.keyed_month_distinct_hosts(ld, hd, keys, drop_null_keys=False)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert with_bc == without

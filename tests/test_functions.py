@@ -3,7 +3,6 @@ import os
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from staylens.functions import lga_code_of, month_of, pct_change, ratio6, hundred
 
