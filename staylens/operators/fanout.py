@@ -153,14 +153,9 @@ def keyed_month_distinct_hosts(listing_d: DataFrame, host_d: DataFrame,
     if drop_null_keys:
         hsrc = hsrc.filter(F.col(MONTH).isNotNull())
     hd = hsrc.select("listing_id", MONTH, "host_name").distinct()
-    if fits_broadcast(ld):
-        # Small listing side: broadcast it (size checked above) and keep the
-        # host side partitioned by (month, host), so every
-        # (keys, month, host) triple is produced inside one task and is
-        # de-duplicated there; only distinct triples' counts are shuffled.
-        joined = hd.repartition(MONTH, "host_name").join(F.broadcast(ld), "listing_id")
-    else:
-        joined = ld.join(hd, "listing_id")
+    # Partial aggregation on (keys, month, host) runs right after the join, so
+    # a hot (keys, month) group is spread over its hosts before the shuffle.
+    joined = ld.join(hd, "listing_id")
     return (joined.groupBy(*keys, MONTH)
                   .agg(F.count_distinct("host_name").alias("distinct_host_count")))
 
@@ -176,25 +171,6 @@ def pair_counts(listing_d: DataFrame, host_d: DataFrame) -> DataFrame:
               .agg(F.sum(F.col("l_rows") * F.col("h_rows")).alias("counting")))
 
 
-def _size_conf(text: str) -> int:
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
-             "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
-    t = text.strip().lower()
-    num = t.rstrip("bkmgt")
-    unit = t[len(num):] or "b"
-    return int(float(num) * units[unit])
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Spark's own size estimate of ``df`` is within the session's
-    autoBroadcastJoinThreshold (the planner's broadcast test)."""
-    limit = _size_conf(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10m"))
-    if limit < 0:
-        return False
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return size <= limit
-
-
 def _safe_avg(num: str, den: str):
     return F.col(num).cast("double") / F.nullif(F.col(den), F.lit(0)).cast("double")
 

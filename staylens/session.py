@@ -62,10 +62,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """A shared folder for intermediate tables: next to the checkpoint dir,
-    which a cluster places on shared storage."""
+    """A shared folder for intermediate tables: inside the session's
+    checkpoint directory, which a cluster places on shared storage."""
     base = ensure_checkpoint_dir(spark)
-    return base.rstrip("/") + "-staylens"
+    return base.rstrip("/") + "/staylens-scratch"
 
 
 def new_scratch_dir(spark: SparkSession, tag: str) -> str:
