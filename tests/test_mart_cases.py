@@ -159,3 +159,14 @@ def test_host_same_vs_different(spark):
     assert [(x["host_name"], x["same_neighbourhood"], x["different_neighbourhood"])
             for x in rows_of(adhoc.host_same_vs_different(s))] == [("h1", 1, 1), ("h2", 1, 1)]
     assert [x["host_name"] for x in rows_of(adhoc.host_same_vs_different(s, M1))] == ["h1"]
+
+
+def test_ordered_host_mart_puts_null_month_last(spark):
+    rows = [r(1, M2, "X", host="h1", host_nb="H1"), r(2, M1, "X", host="h2", host_nb="H1"),
+            r(3, M1, "X", host="h3", host_nb="H1")]
+    rows[2]["scraped_date"] = None          # a host row without a scrape date
+    ld, hd = dims(spark, rows)
+    out = rows_of(marts.host_neighbourhood_mart(ld, hd, ordered=True))
+    assert [x["s_date"] for x in out] == [M1, M2, None]
+    # the null month is its own group (GROUP BY keeps it)
+    assert out[-1]["distinct_host_count"] == 1
