@@ -49,7 +49,10 @@ def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     sn = nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("s_nation"))
     cn = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("c_nation"))
 
-    rows = (li.join(orders, li.l_orderkey == orders.o_orderkey)
+    # lineitem x orders is a shuffle join at any real scale; saying so keeps
+    # the remaining (broadcast) joins spread over the shuffle's partitions
+    # instead of the scan's, which can be a single row group
+    rows = (li.join(orders.hint("shuffle_hash"), li.l_orderkey == orders.o_orderkey)
               .join(part, li.l_partkey == part.p_partkey)
               .join(supp, li.l_suppkey == supp.s_suppkey)
               .join(sn, "s_nationkey")
