@@ -47,6 +47,16 @@ def load_raw(spark: SparkSession, wh: Warehouse, source_root: str) -> dict[str,
         ok, bad = csv_ingest.load_reference(spark, source_root, name)
         wh.write("raw", name, ok.drop(csv_ingest.TABLE_COL))
         rejected[name] = bad
+    # any other CSV file is loaded too, with an inferred (widened) schema
+    known = {n.lower() for n in REFERENCE_TABLES}
+    for name, paths in sorted(csv_ingest.list_tables(spark, source_root).items()):
+        if "listing" in name or name.lower() in known:
+            continue
+        schema = csv_ingest.infer_raw_schema(spark, paths)
+        ok, bad = csv_ingest.parse_typed(
+            csv_ingest.read_text_fields(spark, paths, schema.fieldNames()), schema)
+        wh.write("raw", name, ok.drop(csv_ingest.TABLE_COL))
+        rejected[name] = bad
     return rejected
 
 

@@ -59,6 +59,25 @@ def _existing(spark: SparkSession, patterns: Sequence[str]) -> list[str]:
     return keep
 
 
+def list_tables(spark: SparkSession, root: str) -> dict[str, list[str]]:
+    """Table name -> file paths under ``root`` (metadata only: the file
+    listing, as the modelled job globs its data folder)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    tables: dict[str, list[str]] = {}
+    for pattern in csv_globs(root):
+        path = jvm.org.apache.hadoop.fs.Path(pattern)
+        for st in path.getFileSystem(conf).globStatus(path) or []:
+            p = st.getPath().toString()
+            base = p.rsplit("/", 1)[-1]
+            if base.startswith("part-"):
+                name = p.rsplit("/", 2)[-2].split("=")[-1]
+            else:
+                name = base.split(".", 1)[0]
+            tables.setdefault(name, []).append(p)
+    return tables
+
+
 def read_text_fields(spark: SparkSession, paths: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """All fields as text, by position, plus the source table name."""
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns])

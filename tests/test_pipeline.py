@@ -37,6 +37,8 @@ def _sources(root):
     _write(f"{root}/nsw_lga_code.csv", ["LGA_CODE", "LGA_NAME"], [[10001, "Inner West"], [10002, "Ryde"]])
     _write(f"{root}/nsw_lga_suburb.csv", ["LGA_NAME", "SUBURB_NAME"],
            [["INNER WEST", "LEICHHARDT"], ["INNER WEST", "ANNANDALE"], ["RYDE", "RYDE"]])
+    _write(f"{root}/listings/extra_rates.csv", ["Code", "Rate", "Day"],
+           [[1, 0.5, "2020-01-02"], [2, 1.5, "2020-01-03"]])
 
 
 def _snap(wh, layer, name):
@@ -49,6 +51,10 @@ def test_pipeline_end_to_end_and_idempotent(spark, tmpdir_path):
     res = pipeline.run_pipeline(spark, src, wh_root, out)
     wh = res.warehouse
     assert wh.read("raw", pipeline.SNAPSHOT_TABLE).count() == 6
+    extra = wh.read("raw", "extra_rates")          # undeclared file: inferred, widened
+    assert [(f.name, f.dataType.simpleString()) for f in extra.schema.fields] == [
+        ("code", "bigint"), ("rate", "double"), ("day", "string")]
+    assert extra.count() == 2
     assert sorted(wh.tables("datawarehouse")) == sorted(
         t[len("stg_"):] for t in pipeline.STAGE_TABLES)
     # fact: listing x host on listing_id, x suburbs of the LGA
