@@ -2,10 +2,9 @@
 
 Marts 1 and 2 share one builder over different listing keys; mart 3 maps each
 host neighbourhood to the listing LGA where its listings are most frequent.
-``strategy='preaggregate'`` (default) never builds the listing x host join
-row by row (see operators.fanout); ``strategy='naive'`` states the same query
-literally over the joined rows and is kept for equivalence tests and the
-bench comparison.
+None of them builds the listing x host join row by row (see
+operators.fanout); the literal statement over the joined rows lives in
+tests/brute.py as the brute-force reference on small fixtures.
 """
 from __future__ import annotations
 
@@ -56,8 +55,7 @@ def _finish(groups: DataFrame, keys: Sequence[str], include_keys: bool,
 
 
 def listing_mart(listing_d: DataFrame, host_d: DataFrame, keys: Sequence[str],
-                 include_keys: bool = False, strategy: str = "preaggregate",
-                 ordered: bool = False) -> DataFrame:
+                 include_keys: bool = False, ordered: bool = False) -> DataFrame:
     """Mart over listing x host rows grouped by (keys, month): active rate,
     price statistics, distinct hosts, rating, global month-over-month change
     of active and inactive counts, superhost rate, nights and revenue.
@@ -67,8 +65,6 @@ def listing_mart(listing_d: DataFrame, host_d: DataFrame, keys: Sequence[str],
     ``ordered=True`` sorts by (keys, month) even when the keys are not
     output; a stored table does not keep an order, so the export sorts."""
     keys = list(keys)
-    if strategy == "naive":
-        return _listing_mart_naive(listing_d, host_d, keys, include_keys, ordered)
     stats = keyed_month_stats(listing_d, host_d, keys)
     kept = stats.filter(_not_null(keys + [MONTH])
                         & (F.col("active_listing_count") > 0)
@@ -94,24 +90,13 @@ def _join_null_safe(left: DataFrame, right: DataFrame, cols: Sequence[str], how:
     return left.join(r, cond, how).drop(*[f"_r_{c}" for c in cols])
 
 
-def active_listing_stats(listing_d: DataFrame, host_d: DataFrame, keys: Sequence[str],
-                         strategy: str = "preaggregate") -> DataFrame:
+def active_listing_stats(listing_d: DataFrame, host_d: DataFrame,
+                         keys: Sequence[str]) -> DataFrame:
     """The marts' active-listing aggregates per (keys, month) over the joined
     rows, every group kept (null keys included): count, min/max/avg/median
     price, distinct hosts, average rating, nights and price sum."""
     keys = list(keys)
     g = keys + [MONTH]
-    if strategy == "naive":
-        rows = joined_listings(listing_d, host_d, list(dict.fromkeys(
-            [*keys, "price", "has_availability", "availability_30", "review_scores_rating"])))
-        return (rows.filter(is_true_flag("has_availability")).groupBy(*g).agg(
-            F.count("listing_id").alias("active_listing_count"),
-            F.min("price").alias("min_price"), F.max("price").alias("max_price"),
-            F.avg("price").alias("avg_price"), F.median("price").alias("median_price"),
-            F.count_distinct("host_name").alias("distinct_host_count"),
-            F.avg("review_scores_rating").alias("avg_review_scores_rating"),
-            F.sum(stay_days("availability_30")).alias("total_staying"),
-            F.sum("price").alias("price")))
     stats = keyed_month_stats(listing_d, host_d, keys).filter(F.col("active_listing_count") > 0)
     hosts = keyed_month_distinct_hosts(listing_d, host_d, keys, drop_null_keys=False)
     median = keyed_month_median_price(listing_d, host_d, keys, drop_null_keys=False)
@@ -123,49 +108,12 @@ def active_listing_stats(listing_d: DataFrame, host_d: DataFrame, keys: Sequence
                       "avg_review_scores_rating", "total_staying", "price")
 
 
-def listing_neighbourhood_mart(listing_d, host_d, include_keys=False, strategy="preaggregate",
-                               ordered=False):
-    return listing_mart(listing_d, host_d, NEIGHBOURHOOD_KEYS, include_keys, strategy, ordered)
+def listing_neighbourhood_mart(listing_d, host_d, include_keys=False, ordered=False):
+    return listing_mart(listing_d, host_d, NEIGHBOURHOOD_KEYS, include_keys, ordered)
 
 
-def property_type_mart(listing_d, host_d, include_keys=False, strategy="preaggregate",
-                       ordered=False):
-    return listing_mart(listing_d, host_d, PROPERTY_KEYS, include_keys, strategy, ordered)
-
-
-def joined_listings(listing_d: DataFrame, host_d: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """The literal listing x host join on listing_id (month from the host row)."""
-    h = host_d.select("listing_id", "host_name", "host_is_superhost", "host_neighbourhood",
-                      month_of("scraped_date").alias(MONTH))
-    return listing_d.select("listing_id", *cols).join(h, "listing_id")
-
-
-def _listing_mart_naive(listing_d, host_d, keys, include_keys, ordered=False):
-    rows = joined_listings(listing_d, host_d, list(dict.fromkeys(
-        [*keys, "price", "has_availability", "availability_30", "review_scores_rating"])))
-    g = keys + [MONTH]
-    active_rows = rows.filter(is_true_flag("has_availability"))
-    alc = active_rows.groupBy(*g).agg(
-        F.count("listing_id").alias("active_listing_count"),
-        F.min("price").alias("min_price"), F.max("price").alias("max_price"),
-        F.avg("price").alias("avg_price"), F.median("price").alias("median_price"),
-        F.count_distinct("host_name").alias("distinct_host_count"),
-        F.avg("review_scores_rating").alias("avg_review_scores_rating"),
-        F.sum(stay_days("availability_30")).alias("total_staying"),
-        F.sum("price").alias("price"))
-    alcc = rows.groupBy(*g).agg(
-        F.count("listing_id").alias("all_listing_count"),
-        F.count("host_is_superhost").alias("all_count_host_is_superhost"))
-    sh = (rows.filter(is_true_flag("host_is_superhost")).groupBy(*g)
-              .agg(F.count("host_is_superhost").alias("count_host_is_superhost")))
-    act = active_rows.groupBy(MONTH).agg(F.count("listing_id").alias("active_listing_count"))
-    inact = (rows.filter(is_false_flag("has_availability")).groupBy(MONTH)
-                 .agg(F.count("listing_id").alias("inactive_listing_count")))
-    series = month_change_series(act.join(inact, MONTH))
-    groups = (alc.join(alcc, g).join(sh, g)
-                 .join(series.select(MONTH, "active_percentage_change",
-                                     "inactive_percentage_change"), MONTH))
-    return _finish(groups, keys, include_keys, ordered)
+def property_type_mart(listing_d, host_d, include_keys=False, ordered=False):
+    return listing_mart(listing_d, host_d, PROPERTY_KEYS, include_keys, ordered)
 
 
 def host_lga_mapping(listing_d: DataFrame, host_d: DataFrame) -> DataFrame:
@@ -183,40 +131,30 @@ HOST_MART_COLUMNS = ["host_neighbourhood_lga", MONTH, "distinct_host_count",
 
 
 def host_neighbourhood_mart(listing_d: DataFrame, host_d: DataFrame,
-                            strategy: str = "preaggregate", ordered: bool = False) -> DataFrame:
+                            ordered: bool = False) -> DataFrame:
     """Per (mapped LGA, month) over joined rows whose listing lies in the LGA
     its host neighbourhood maps to: distinct hosts, revenue (nights x price)
     and revenue per host (six digits, null when no host has a name)."""
     mapping = host_lga_mapping(listing_d, host_d).filter(
         F.col("host_neighbourhood_lga").isNotNull()).drop("counting")
-    if strategy == "naive":
-        rows = joined_listings(listing_d, host_d,
-                               ["listing_neighbourhood", "price", "availability_30"])
-        cond = ((rows.host_neighbourhood == mapping.host_neighbourhood)
-                & (rows.listing_neighbourhood == mapping.host_neighbourhood_lga))
-        agg = (rows.join(mapping, cond).groupBy("host_neighbourhood_lga", MONTH)
-                   .agg(F.count_distinct("host_name").alias("distinct_host_count"),
-                        F.sum(stay_days("availability_30")).alias("total_staying"),
-                        F.sum("price").alias("price")))
-    else:
-        l2 = (listing_d.groupBy("listing_id", "listing_neighbourhood")
-              .agg(F.sum(stay_days("availability_30")).alias("l_stay"),
-                   F.sum("price").alias("l_price")))
-        h4 = (host_d.select("listing_id", "host_neighbourhood", "host_name",
-                            month_of("scraped_date").alias(MONTH))
-              .groupBy("listing_id", "host_neighbourhood", MONTH, "host_name")
-              .agg(F.count(F.lit(1)).alias("h_rows")))
-        # the mapping (at most a few LGAs per host neighbourhood) is applied to
-        # the host side first, so the join on (listing_id, LGA) only yields
-        # pairs that survive the filter instead of every listing x host pair
-        h_mapped = h4.join(mapping, "host_neighbourhood")
-        pairs = l2.join(h_mapped,
-                        (l2.listing_id == h_mapped.listing_id)
-                        & (l2.listing_neighbourhood == h_mapped.host_neighbourhood_lga))
-        agg = (pairs.groupBy("host_neighbourhood_lga", MONTH)
-                    .agg(F.count_distinct("host_name").alias("distinct_host_count"),
-                         F.sum(F.col("l_stay") * F.col("h_rows")).alias("total_staying"),
-                         F.sum(F.col("l_price") * F.col("h_rows")).alias("price")))
+    l2 = (listing_d.groupBy("listing_id", "listing_neighbourhood")
+          .agg(F.sum(stay_days("availability_30")).alias("l_stay"),
+               F.sum("price").alias("l_price")))
+    h4 = (host_d.select("listing_id", "host_neighbourhood", "host_name",
+                        month_of("scraped_date").alias(MONTH))
+          .groupBy("listing_id", "host_neighbourhood", MONTH, "host_name")
+          .agg(F.count(F.lit(1)).alias("h_rows")))
+    # the mapping (at most a few LGAs per host neighbourhood) is applied to
+    # the host side first, so the join on (listing_id, LGA) only yields
+    # pairs that survive the filter instead of every listing x host pair
+    h_mapped = h4.join(mapping, "host_neighbourhood")
+    pairs = l2.join(h_mapped,
+                    (l2.listing_id == h_mapped.listing_id)
+                    & (l2.listing_neighbourhood == h_mapped.host_neighbourhood_lga))
+    agg = (pairs.groupBy("host_neighbourhood_lga", MONTH)
+                .agg(F.count_distinct("host_name").alias("distinct_host_count"),
+                     F.sum(F.col("l_stay") * F.col("h_rows")).alias("total_staying"),
+                     F.sum(F.col("l_price") * F.col("h_rows")).alias("price")))
     revenue = to_number("total_staying") * to_number("price")
     out = (agg.select("host_neighbourhood_lga", MONTH, "distinct_host_count",
                       revenue.alias("average_estimated_revenue"))

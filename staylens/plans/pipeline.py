@@ -75,13 +75,13 @@ def build_star(wh: Warehouse) -> None:
     wh.write("staging", "stg_rental_f", fact)
 
 
-def build_marts(wh: Warehouse, strategy: str = "preaggregate") -> dict[str, DataFrame]:
+def build_marts(wh: Warehouse) -> dict[str, DataFrame]:
     """Stage 8: the three marts from the warehouse dimensions."""
     ld, hd = wh.read("datawarehouse", "listing_d"), wh.read("datawarehouse", "hosting_d")
     built = {
-        "dm_listing_neighbourhood": marts.listing_neighbourhood_mart(ld, hd, True, strategy),
-        "dm_property_type": marts.property_type_mart(ld, hd, True, strategy),
-        "dm_host_neighbourhood": marts.host_neighbourhood_mart(ld, hd, strategy),
+        "dm_listing_neighbourhood": marts.listing_neighbourhood_mart(ld, hd, True),
+        "dm_property_type": marts.property_type_mart(ld, hd, True),
+        "dm_host_neighbourhood": marts.host_neighbourhood_mart(ld, hd),
     }
     return {name: wh.write("datamart", name, df) for name, df in built.items()}
 

@@ -1,9 +1,10 @@
-"""Property: the pre-aggregated plans equal the literal plans on random
-snapshots with repeated ids, nulls and ties."""
+"""Property: the marts equal the brute-force statement (tests/brute.py) on
+random snapshots with repeated ids, nulls and ties."""
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from staylens.plans import marts
+from tests import brute
 from tests.helpers import dims, rows_of, snap_row
 
 MONTHS = ["2020-05", "2020-06", "2020-07", None]
@@ -40,9 +41,9 @@ def _norm(rows):
     return sorted((tuple(sorted(r.items())) for r in rows), key=lambda t: [key(v) for _, v in t])
 
 
-def _both(build, spark, rows):
+def _both(fast, slow, spark, rows):
     ld, hd = dims(spark, rows)
-    return _norm(rows_of(build(ld, hd, "naive"))), _norm(rows_of(build(ld, hd, "preaggregate")))
+    return _norm(rows_of(slow(ld, hd))), _norm(rows_of(fast(ld, hd)))
 
 
 SETTINGS = settings(max_examples=6, deadline=None,
@@ -52,29 +53,32 @@ SETTINGS = settings(max_examples=6, deadline=None,
 @SETTINGS
 @given(rows=snapshots())
 def test_mart1_equivalent(spark, rows):
-    a, b = _both(lambda l, h, s: marts.listing_neighbourhood_mart(l, h, True, s), spark, rows)
+    a, b = _both(lambda l, h: marts.listing_neighbourhood_mart(l, h, True),
+                 lambda l, h: brute.listing_mart(l, h, ["listing_neighbourhood"], True), spark, rows)
     assert a == b
 
 
 @SETTINGS
 @given(rows=snapshots())
 def test_mart2_equivalent(spark, rows):
-    a, b = _both(lambda l, h, s: marts.property_type_mart(l, h, True, s), spark, rows)
+    a, b = _both(lambda l, h: marts.property_type_mart(l, h, True),
+                 lambda l, h: brute.listing_mart(l, h, list(marts.PROPERTY_KEYS), True), spark, rows)
     assert a == b
 
 
 @SETTINGS
 @given(rows=snapshots())
 def test_mart3_equivalent(spark, rows):
-    a, b = _both(lambda l, h, s: marts.host_neighbourhood_mart(l, h, s), spark, rows)
+    a, b = _both(lambda l, h: marts.host_neighbourhood_mart(l, h),
+                 lambda l, h: brute.host_neighbourhood_mart(l, h), spark, rows)
     assert a == b
 
 
 @SETTINGS
 @given(rows=snapshots())
 def test_active_listing_stats_equivalent(spark, rows):
-    a, b = _both(lambda l, h, s: marts.active_listing_stats(l, h, ["listing_neighbourhood"], s),
-                 spark, rows)
+    a, b = _both(lambda l, h: marts.active_listing_stats(l, h, ["listing_neighbourhood"]),
+                 lambda l, h: brute.active_listing_stats(l, h, ["listing_neighbourhood"]), spark, rows)
     assert a == b
 
 

@@ -1,5 +1,5 @@
-"""Hand-computed cases (FIXTURES.md §4); every mart case runs under both the
-literal (naive) plan and the pre-aggregated plan."""
+"""Hand-computed cases (FIXTURES.md §4); every mart case runs on the library
+and on the brute-force statement (tests/brute.py)."""
 from decimal import Decimal
 
 import pytest
@@ -8,15 +8,19 @@ from pyspark.sql import functions as F
 from staylens.operators import fanout
 from staylens.plans import adhoc, marts, star
 from staylens.registry import presentable
+from tests import brute
 from tests.helpers import dims, rows_of, snap_row as r
 
 M1, M2, M3 = "2020-05", "2020-06", "2020-07"
-STRATEGIES = ["naive", "preaggregate"]
+STRATEGIES = ["brute", "library"]
 
 
 def mart1(spark, rows, strategy):
     ld, hd = dims(spark, rows)
-    out = marts.listing_neighbourhood_mart(ld, hd, include_keys=True, strategy=strategy)
+    if strategy == "brute":
+        out = brute.listing_mart(ld, hd, ["listing_neighbourhood"], include_keys=True)
+    else:
+        out = marts.listing_neighbourhood_mart(ld, hd, include_keys=True)
     return {(x["listing_neighbourhood"], x["s_date"]): x for x in rows_of(out)}
 
 
@@ -62,7 +66,7 @@ def test_fan_out_is_reproduced(spark, strategy):
     rows = [r(1, M1, "A", superhost="t", price=10), r(1, M2, "A", superhost="t", price=30),
             r(900, M1, "Z", active="f"), r(901, M2, "Z", active="f")]
     ld, hd = dims(spark, rows)
-    assert marts.joined_listings(ld, hd, ["price"]).filter("listing_id = 1").count() == 4
+    assert brute.joined_listings(ld, hd, ["price"]).filter("listing_id = 1").count() == 4
     stats = {(x["listing_neighbourhood"], x["s_date"]): x
              for x in rows_of(fanout.keyed_month_stats(ld, hd, ["listing_neighbourhood"]))}
     assert stats[("A", M1)]["all_listing_count"] == 2 and stats[("A", M2)]["all_listing_count"] == 2
@@ -73,7 +77,8 @@ def test_fan_out_is_reproduced(spark, strategy):
 
 def mart3(spark, rows, strategy):
     ld, hd = dims(spark, rows)
-    out = marts.host_neighbourhood_mart(ld, hd, strategy=strategy)
+    out = (brute.host_neighbourhood_mart(ld, hd) if strategy == "brute"
+           else marts.host_neighbourhood_mart(ld, hd))
     return {(x["host_neighbourhood_lga"], x["s_date"]): x for x in rows_of(out)}
 
 
