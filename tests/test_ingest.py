@@ -79,3 +79,20 @@ def test_partition_pruning_for_one_snapshot(spark, tmpdir_path):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(source_table" in plan and "listing_01_2021" in plan
     assert [x.host_name for x in q.collect()] == ["h1"]
+
+
+def test_list_tables_names_part_files_by_folder(spark, tmpdir_path):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(1, "listing_05_2020"), (2, "listing_06_2020"), (3, "listing_06_2020")],
+                               "k long, source_table string")
+    csv_ingest.write_csv_tables(df, f"{tmpdir_path}/w")
+    with open(f"{tmpdir_path}/w/nsw_lga_code.csv", "w") as fh:
+        fh.write("LGA_CODE,LGA_NAME\n1,A\n")
+    tables = csv_ingest.list_tables(spark, f"{tmpdir_path}/w")
+    assert set(tables) == {"listing_05_2020", "listing_06_2020", "nsw_lga_code"}
+    # the column-side rule agrees with the listing-side rule
+    back = spark.read.option("header", True).option("recursiveFileLookup", True).csv(
+        [p for ps in tables.values() for p in ps])
+    names = {r.n for r in back.select(csv_ingest.table_name_of(F.col("_metadata.file_path")).alias("n"))
+             .distinct().collect()}
+    assert names == set(tables)
