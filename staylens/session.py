@@ -5,9 +5,9 @@ what is unset so the same code runs on ``local[N]`` for tests and benches.
 """
 from __future__ import annotations
 
-import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -29,26 +29,28 @@ def get_session(master: str | None = None, app: str = "staylens",
                 shuffle_partitions: int | None = None,
                 driver_memory: str | None = None,
                 extra: dict[str, str] | None = None) -> SparkSession:
-    builder = SparkSession.builder.appName(app)
+    """Session with DEFAULTS for what is configured nowhere else; arguments win
+    over the configuration."""
+    wanted = dict(extra or {})
     if master:
-        builder = builder.master(master)
-    conf = dict(DEFAULTS)
+        wanted["spark.master"] = master
     if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+        wanted.setdefault("spark.sql.shuffle.partitions", str(shuffle_partitions))
     if driver_memory:
-        conf["spark.driver.memory"] = driver_memory
-    conf.update(extra or {})
-    for k, v in conf.items():
-        builder = builder.config(k, v)
-    spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+        wanted.setdefault("spark.driver.memory", driver_memory)
+    active = SparkSession.getActiveSession()
+    known = ({r["key"] for r in active.sql("SET").collect()} if active
+             else {k for k, _ in SparkConf().getAll()})
+    wanted |= {k: v for k, v in DEFAULTS.items() if k not in known and k not in wanted}
+    spark = SparkSession.builder.appName(app).config(map=wanted).getOrCreate()
     ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset
-    (local tests) fall back to a private scratch folder."""
+    """The cluster's ``spark.checkpoint.dir``. Where it is unset, a private
+    scratch folder serves a ``local[...]`` master (tests); on anything else the
+    other machines could not see it, so that is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -56,6 +58,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         configured = tempfile.mkdtemp(prefix="staylens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -72,9 +76,3 @@ def new_scratch_dir(spark: SparkSession, tag: str) -> str:
     import uuid
     return f"{scratch_root(spark)}/{tag}-{uuid.uuid4().hex[:12]}"
 
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
