@@ -1,12 +1,14 @@
 """One registered query per operator, over its whole table."""
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from staylens.llm import line_dedup, mixing
-from staylens.llm.common import table
+from staylens.llm import line_dedup, mixing, packing
+from staylens.llm.common import table, visible
+from staylens.session import ensure_checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,8 +24,23 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document in sequences of 2048 ids."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+def _query(f: Query) -> Query:
+    @functools.wraps(f)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        visible(spark)
+        ensure_checkpoint_dir(spark)
+        return f(spark, sf_dir)
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_mixing, op3_line_dedup)}
+    own = (op2_mixing, op3_line_dedup, op9_packing)
+    return {f.__name__: _query(f) for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
