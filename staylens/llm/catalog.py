@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from staylens.llm import line_dedup, mixing, packing
+from staylens.llm import jaccard_join, line_dedup, mixing, packing
 from staylens.llm.common import table, visible
 from staylens.session import ensure_checkpoint_dir
 
@@ -24,6 +24,11 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and link component of every document at Jaccard 0.85."""
+    return jaccard_join.link_components(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every piece of every document in sequences of 2048 ids."""
     return packing.pack_documents(table(spark, sf_dir, "documents"))
@@ -39,9 +44,10 @@ def _query(f: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    own = (op2_mixing, op3_line_dedup, op9_packing)
+    own = (op2_mixing, op3_line_dedup, op8_ngram_join, op9_packing)
     return {f.__name__: _query(f) for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": mixing.ORACLE, "op3_line_dedup": line_dedup.ORACLE}
+    return {"op2_mixing": mixing.ORACLE, "op3_line_dedup": line_dedup.ORACLE,
+            "op8_ngram_join": jaccard_join.ORACLE}
