@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from staylens.llm import jaccard_join, line_dedup, mixing, packing
+from staylens.llm import jaccard_join, line_dedup, mixing, packing, quality, toxicity
 from staylens.llm.common import table, visible
 from staylens.session import ensure_checkpoint_dir
 
@@ -24,6 +24,16 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and link component of every document at Jaccard 0.85."""
     return jaccard_join.link_components(table(spark, sf_dir, "documents"))
@@ -44,7 +54,7 @@ def _query(f: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    own = (op2_mixing, op3_line_dedup, op8_ngram_join, op9_packing)
+    own = (op2_mixing, op3_line_dedup, op4_toxicity, op7_quality, op8_ngram_join, op9_packing)
     return {f.__name__: _query(f) for f in own}
 
 

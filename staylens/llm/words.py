@@ -15,6 +15,8 @@ SLICE_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Everything but letters, digits and non-ASCII bytes.
+NO_LETTER = np.array([not (b >= 128 or chr(b).isalnum()) for b in range(256)])
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 _RNG = np.random.default_rng(20240731)
@@ -71,9 +73,10 @@ def slices(texts: Sequence[str | None], limit: int = SLICE_BYTES) -> Iterator[tu
         yield at, run
 
 
-def words_of(texts: list[bytes]) -> Words:
+def words_of(texts: list[bytes], between: np.ndarray = _SPACE) -> Words:
+    """Words of encoded texts; ``between`` marks the bytes that part words."""
     buf = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
-    inside = ~_SPACE[buf]
+    inside = ~between[buf]
     edge = np.flatnonzero(np.diff(np.concatenate(([False], inside)).astype(np.int8)))
     starts, ends = edge[0::2], edge[1::2]
     lengths = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
