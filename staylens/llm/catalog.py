@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from staylens.llm import jaccard_join, line_dedup, mixing, packing, quality, toxicity
+from staylens.llm import fingerprints, jaccard_join, line_dedup, mixing, packing, quality, toxicity
 from staylens.llm.common import table, visible
 from staylens.session import ensure_checkpoint_dir
 
@@ -44,6 +44,11 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def _query(f: Query) -> Query:
     @functools.wraps(f)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +59,8 @@ def _query(f: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    own = (op2_mixing, op3_line_dedup, op4_toxicity, op7_quality, op8_ngram_join, op9_packing)
+    own = (op2_mixing, op3_line_dedup, op4_toxicity, op7_quality, op8_ngram_join, op9_packing,
+           op10_fingerprints)
     return {f.__name__: _query(f) for f in own}
 
 

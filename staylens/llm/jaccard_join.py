@@ -146,8 +146,13 @@ def link_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
         "left_semi").select(F.col("doc_id").alias("id"), "key_hi", "n", "prefix", "pos", "shingles")
         .dropDuplicates(["id", "key_hi", "n"]), "class-sets")
     entries = sets.select("id", "n", F.explode(F.arrays_zip("prefix", "pos")).alias("e")).select(
-        F.col("e.prefix").alias("shingle"), "id", F.col("n").cast("int").alias("n"), F.col("e.pos").alias("pos"))
+        F.col("e.prefix").alias("shingle"), "id", "n", F.col("e.pos").alias("pos"))
+    return link_entries(entries, sets, members, percent)
 
+
+def link_entries(entries: DataFrame, sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, n_shingles, component_id) from index lists ``entries`` (shingle,
+    id, n, pos), whole sets (id, shingles) and ``members`` (doc_id, n, id)."""
     need = f"({percent} * (na + nb) + {99 + percent}) div {100 + percent}"
     fits = f"100 * least(na, nb) >= {percent} * greatest(na, nb) and least(na - pa, nb - pb) >= {need}"
     lead = (entries.groupBy("shingle").agg(F.min(F.struct("pos", F.xxhash64("id").alias("h"), "id", "n")).alias("l"))
