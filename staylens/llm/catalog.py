@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from staylens.llm import fingerprints, jaccard_join, line_dedup, mixing, packing, quality, toxicity
+from staylens.llm import fingerprints, jaccard_join, line_dedup, mixing, packing, quality, topk_search, toxicity
 from staylens.llm.common import table, visible
 from staylens.session import ensure_checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best inner products of every 20th vector against all others."""
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Slot of every document in the mix of sources to square-root weights."""
     return mixing.mix(table(spark, sf_dir, "documents")).select(
@@ -59,11 +64,11 @@ def _query(f: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    own = (op2_mixing, op3_line_dedup, op4_toxicity, op7_quality, op8_ngram_join, op9_packing,
+    own = (op1_topk_search, op2_mixing, op3_line_dedup, op4_toxicity, op7_quality, op8_ngram_join, op9_packing,
            op10_fingerprints)
     return {f.__name__: _query(f) for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": mixing.ORACLE, "op3_line_dedup": line_dedup.ORACLE,
+    return {"op1_topk_search": topk_search.ORACLE, "op2_mixing": mixing.ORACLE, "op3_line_dedup": line_dedup.ORACLE,
             "op8_ngram_join": jaccard_join.ORACLE}
