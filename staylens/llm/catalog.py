@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from staylens.llm import fingerprints, html_text, jaccard_join, line_dedup, mixing, packing, quality, topk_search, toxicity
+from staylens.llm import fingerprints, html_text, jaccard_join, line_dedup, lm_score, mixing, packing, quality, topk_search, toxicity
 from staylens.llm.common import table, visible
 from staylens.session import ensure_checkpoint_dir
 
@@ -39,6 +39,11 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document by the attention model and by word counts."""
+    return lm_score.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -70,7 +75,7 @@ def _query(f: Query) -> Query:
 
 def queries() -> dict[str, Query]:
     own = (op1_topk_search, op2_mixing, op3_line_dedup, op4_toxicity, op5_html_text,
-           op7_quality, op8_ngram_join, op9_packing,
+           op6_lm_score, op7_quality, op8_ngram_join, op9_packing,
            op10_fingerprints)
     return {f.__name__: _query(f) for f in own}
 
