@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from staylens.llm import fingerprints, html_text, jaccard_join, line_dedup, lm_score, mixing, packing, quality, topk_search, toxicity
 from staylens.llm.common import table, visible
 from staylens.session import ensure_checkpoint_dir
@@ -64,6 +65,11 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages of corpus_pipeline over all documents."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def _query(f: Query) -> Query:
     @functools.wraps(f)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +82,7 @@ def _query(f: Query) -> Query:
 def queries() -> dict[str, Query]:
     own = (op1_topk_search, op2_mixing, op3_line_dedup, op4_toxicity, op5_html_text,
            op6_lm_score, op7_quality, op8_ngram_join, op9_packing,
-           op10_fingerprints)
+           op10_fingerprints, pipeline)
     return {f.__name__: _query(f) for f in own}
 
 

@@ -101,7 +101,7 @@ def shingles(w: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     keys = mix64(np.arange(1, width + 1, dtype=np.uint64) * _STEP) | np.uint64(1)
     total = np.zeros(n, np.uint64)
-    for k in range(width):
+    for k in range(min(width, n)):
         total[: n - k] += w.hash[k:] * keys[k]
     ok = np.zeros(n, bool)
     if n >= width:

@@ -1,0 +1,26 @@
+import pytest
+from pyspark.sql import types as T
+
+from staylens.llm.common import visible
+
+# ``row``, ``key``, ``slot`` and ``lost`` are names that operators use inside
+DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
+                     T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
+                     T.StructField("n_chars", T.LongType()), T.StructField("row", T.StringType()),
+                     T.StructField("key", T.LongType()), T.StructField("lost", T.StringType()),
+                     T.StructField("block", T.LongType())])
+
+
+@pytest.fixture(autouse=True)
+def package_in_workers(spark):
+    visible(spark)
+
+
+@pytest.fixture()
+def documents(spark):
+    """Documents table with further columns of clashing names."""
+    def make(rows):
+        full = [(i, t, "en", s, None if t is None else len(t), "x", 1, "y", 2)
+                for i, t, s in ((*r, "src0")[:3] for r in rows)]
+        return spark.createDataFrame(full, DOCS)
+    return make
