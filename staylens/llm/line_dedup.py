@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from staylens.llm.common import stored
+
 MIN_SITES = 5
 #: 2**12 registers: 1.6 % standard error. Estimates within 10 % (at least 1.5)
 #: of the threshold, over six standard errors, are counted exactly.
@@ -43,13 +45,15 @@ def line_spread(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
                      F.min(F.struct("doc_id")).alias("keeper"))
                 .select("line_hash", "keeper", F.hll_sketch_estimate("sketch").alias("sites")))
     slack = max(1.5, MARGIN * min_sites)
-    candidates = sketched.where(F.col("sites") >= min_sites - slack)
+    # stored, so that the joins below stand apart from the aggregation: Spark can
+    # then split a very common line's rows or broadcast the few candidates
+    candidates = stored(sketched.where(F.col("sites") >= min_sites - slack), "lines")
     near = candidates.where(F.col("sites") <= min_sites + slack).select("line_hash")
     short = (lines.join(near, "line_hash", "left_semi")
              .select("line_hash", "source").distinct()
              .groupBy("line_hash").agg(F.count("source").alias("n"))
              .where(F.col("n") < min_sites).select("line_hash"))
-    return candidates.select("line_hash", "keeper").join(short, "line_hash", "left_anti")
+    return stored(candidates.select("line_hash", "keeper").join(short, "line_hash", "left_anti"), "spread")
 
 
 def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
