@@ -2,7 +2,7 @@
 
 Each query is planned and fully executed into the no-op sink (no collect),
 file reads included; the raw snapshot every query reads is built from the
-driver tables once and timed as ``stage_raw_snapshot``. A warm-up pass on
+driver tables, cached once and timed as ``stage_raw_snapshot``. A warm-up pass on
 sf0.01 runs first (untimed). Prints one JSON line.
 """
 from __future__ import annotations
@@ -34,16 +34,14 @@ def main() -> None:
     from staylens import registry
     from staylens.session import get_session
 
-    # Local sizing. AQE partition coalescing sizes partitions by shuffle bytes,
-    # but the fan-out joins multiply rows after those shuffles; on one machine
-    # with small inputs that leaves cores idle, so the bench keeps a fixed
-    # 2 partitions per core. (On a cluster reading 100 TB the byte-based
-    # coalescing keeps thousands of partitions and stays on.)
+    # Local sizing: 2 partitions per core. AQE coalescing stays on, as on a
+    # cluster; BENCH_COALESCE=false gives the figures without it.
     spark = get_session(f"local[{cpus}]", app="staylens-bench", shuffle_partitions=cpus * 2,
                         driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
                         extra={"spark.ui.showConsoleProgress": "false",
-                               "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                               "spark.sql.adaptive.coalescePartitions.enabled": os.environ.get("BENCH_COALESCE", "true"),
                                "spark.sql.files.openCostInBytes": "128k"})
+    spark.sparkContext.setLogLevel("ERROR")
     qs = registry.queries()
     # Warm-up, not timed: JIT-compile the operators once on a smaller data
     # set, so the first timed query does not pay the JVM warm-up alone.
@@ -53,10 +51,10 @@ def main() -> None:
             qs[n](spark, warm_dir).write.format("noop").mode("overwrite").save()
     spark.read.parquet(f"{sf_dir}/nation.parquet").count()
     times: dict[str, float] = {}
-    # the raw snapshot table every query reads (adapter joins, written once)
+    # the raw snapshot rows every query reads (adapter joins, cached once)
     from staylens.sources.testdata import staged_snapshot
     t0 = time.perf_counter()
-    staged_snapshot(spark, sf_dir)
+    staged_snapshot(spark, sf_dir).write.format("noop").mode("overwrite").save()
     times["stage_raw_snapshot"] = round(time.perf_counter() - t0, 3)
     for n in names:
         t0 = time.perf_counter()

@@ -20,15 +20,15 @@ def month_change_series(monthly: DataFrame, month: str = "s_date",
                           & (F.col(active) > 0) & (F.col(inactive) > 0))
     by_month = Window.orderBy(F.col(month).asc())
     return (both
-            .withColumn("active_original_value", F.lag(active, 1).over(by_month))
-            .withColumn("inactive_original_value", F.lag(inactive, 1).over(by_month))
+            .withColumn("active_before", F.lag(active, 1).over(by_month))
+            .withColumn("inactive_before", F.lag(inactive, 1).over(by_month))
             .select(
                 month,
-                F.col(active).alias("active_final_value"),
-                "active_original_value",
-                pct_change(F.col(active), F.col("active_original_value"))
+                F.col(active).alias("active_now"),
+                "active_before",
+                pct_change(F.col(active), F.col("active_before"))
                  .alias("active_percentage_change"),
-                F.col(inactive).alias("inactive_final_value"),
-                "inactive_original_value",
-                pct_change(F.col(inactive), F.col("inactive_original_value"))
+                F.col(inactive).alias("inactive_now"),
+                "inactive_before",
+                pct_change(F.col(inactive), F.col("inactive_before"))
                  .alias("inactive_percentage_change")))

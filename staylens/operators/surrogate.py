@@ -1,47 +1,32 @@
 """Surrogate keys 1..N without a single-partition sort.
 
-The warehouse filled ids from a counter (start 1, step 1). Here every row is
-tagged with ``monotonically_increasing_id`` (partition index in the upper 31
-bits, position in the lower 33), per-partition row counts (one row per
-partition) are turned into offsets, and ``id = offset + position + 1``. Two
-passes, no shuffle of the data, and the broadcast offset table is bounded by
-the number of partitions.
-
-Both passes must see every row at the same position. That holds for a plan
-without a shuffle (file scans, projections, filters, broadcast joins: a
-retried task re-reads the same split in the same order). After a shuffle the
-order inside a partition depends on fetch order, so such inputs are
-checkpointed first (reliable checkpoint in ``spark.checkpoint.dir``).
+The warehouse filled ids from a counter (start 1, step 1). Here the rows are
+written once, tagged with ``monotonically_increasing_id`` (partition index in the
+upper 31 bits, position in the lower 33), to a table in the shared scratch folder.
+Per-partition row counts of that table become offsets, and
+``id = offset + position + 1``. The tags are data by then: no later scan, split
+size or retried task can change them. The offsets hold one row per written
+partition and meet the rows in an ordinary join (broadcast under Spark's size
+threshold); the running sum over them is one small window.
 """
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from staylens.session import ensure_checkpoint_dir
+from staylens.session import stored
 
 _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
-_SHUFFLE = re.compile(r"(?<!Broadcast)Exchange ")
-
-
-def has_shuffle(df: DataFrame) -> bool:
-    """True when the physical plan moves rows between partitions."""
-    return bool(_SHUFFLE.search(df._jdf.queryExecution().executedPlan().toString()))
 
 
 def with_surrogate_id(df: DataFrame, id_col: str = "id") -> DataFrame:
-    tagged = df.withColumn("_sk_mid", F.monotonically_increasing_id())
-    if has_shuffle(df):
-        ensure_checkpoint_dir(df.sparkSession)
-        tagged = tagged.checkpoint(eager=True)
+    tagged = stored(df.withColumn("_sk_mid", F.monotonically_increasing_id()), "surrogate")
     part = F.shiftrightunsigned(F.col("_sk_mid"), _POS_BITS)
     counts = tagged.groupBy(part.alias("_sk_part")).agg(F.count(F.lit(1)).alias("_sk_n"))
     before = Window.orderBy("_sk_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         "_sk_part", F.coalesce(F.sum("_sk_n").over(before), F.lit(0)).alias("_sk_off"))
-    numbered = tagged.join(F.broadcast(offsets), part == F.col("_sk_part"))
+    numbered = tagged.join(offsets, part == F.col("_sk_part"))
     new_id = F.col("_sk_off") + F.col("_sk_mid").bitwiseAND(F.lit(_POS_MASK)) + F.lit(1)
     return numbered.select(new_id.cast("bigint").alias(id_col), *df.columns)

@@ -1,8 +1,9 @@
 """Independent SQL for every registered query (DuckDB dialect).
 
-Each statement restates the modelled SQL literally - the full listing x host
-join, separate CTEs per condition, self-join argmax - over the same adapter
-written in SQL. Six-digit HALF_UP ratios are computed with integers
+The statements follow the inventory's semantics: one joined relation of listing
+and host rows, one aggregate with FILTER clauses a mart, windows for the month
+series and the area mapping, dimensions joined after the aggregate - over the
+same adapter written in SQL. Six-digit HALF_UP ratios are computed with integers
 (round-half-up of |a| * 10^6 / b, sign restored) because the engine's own
 decimal division returns DOUBLE; decimals are presented as DOUBLE and sums as
 BIGINT on both sides.
@@ -140,98 +141,149 @@ def r6(a: str, b: str, times100: bool = False) -> str:
             f" AS DOUBLE) / 1000000.0::DOUBLE END)")
 
 
-def _mart_sql(keys: list[str], include_keys: bool = True) -> str:
-    kl = ", ".join(keys)
-    on = " AND ".join(f"alc.{k} = {{t}}.{k}" for k in keys + ["s_date"])
-    out_keys = ", ".join(f"alc.{k}" for k in keys) + ", alc.s_date, " if include_keys else ""
-    lcols = ", ".join(f"L.{k}" for k in keys)
-    return _with(f"""
-listings AS (
-  SELECT L.listing_id, {lcols}, L.price, L.has_availability, L.availability_30,
-         L.review_scores_rating, H.host_name, H.host_is_superhost, left(H.scraped_date, 7) AS s_date
-  FROM listing_d L JOIN host_d H ON L.listing_id = H.listing_id
-)""", f"""
-alc AS (
-  SELECT {kl}, s_date, count(listing_id) AS active_listing_count, min(price) AS min_price,
-         max(price) AS max_price, avg(price) AS avg_price, median(price) AS median_price,
-         count(DISTINCT host_name) AS distinct_host_count,
-         avg(review_scores_rating) AS avg_review_scores_rating,
-         sum(30 - availability_30) AS total_staying, sum(price) AS price
-  FROM listings WHERE has_availability = 't' GROUP BY {kl}, s_date
-)""", f"""
-alcc AS (
-  SELECT {kl}, s_date, count(listing_id) AS all_listing_count,
-         count(host_is_superhost) AS all_count_host_is_superhost
-  FROM listings GROUP BY {kl}, s_date
-)""", f"""
-sh AS (
-  SELECT {kl}, s_date, count(host_is_superhost) AS count_host_is_superhost
-  FROM listings WHERE host_is_superhost = 't' GROUP BY {kl}, s_date
-)""", """
-act AS (SELECT count(listing_id) AS active_listing_count, s_date FROM listings
-        WHERE has_availability = 't' GROUP BY s_date)""", """
-inact AS (SELECT count(listing_id) AS inactive_listing_count, s_date FROM listings
-          WHERE has_availability = 'f' GROUP BY s_date)""", """
-pc AS (
-  SELECT a.s_date, a.active_listing_count AS av,
-         lag(a.active_listing_count, 1) OVER (ORDER BY a.s_date) AS ap,
-         i.inactive_listing_count AS iv,
-         lag(i.inactive_listing_count, 1) OVER (ORDER BY i.s_date) AS ip
-  FROM act a JOIN inact i ON a.s_date = i.s_date
-)""") + f"""
-SELECT {out_keys}
-  {r6('alc.active_listing_count', 'alcc.all_listing_count', True)} AS active_listing_rate,
-  alc.min_price, alc.max_price, alc.avg_price, alc.median_price, alc.distinct_host_count,
-  alc.avg_review_scores_rating,
-  {r6('pc.av - pc.ap', 'pc.ap', True)} AS active_percentage_change,
-  {r6('pc.iv - pc.ip', 'pc.ip', True)} AS inactive_percentage_change,
-  {r6('sh.count_host_is_superhost', 'alcc.all_count_host_is_superhost', True)} AS superhost_rate,
-  CAST(alc.total_staying AS BIGINT) AS total_staying,
-  CAST(alc.total_staying * alc.price AS DOUBLE) AS average_estimated_revenue
-FROM alc
-JOIN alcc ON {on.format(t='alcc')}
-JOIN sh ON {on.format(t='sh')}
-JOIN pc ON alc.s_date = pc.s_date
-ORDER BY {', '.join('alc.' + k for k in keys)}, alc.s_date"""
-
-
-_COUNT_HOST = """
-listings AS (
-  SELECT L.listing_id, L.listing_neighbourhood, L.price, L.availability_30, H.host_name,
-         H.host_neighbourhood, left(H.scraped_date, 7) AS s_date
-  FROM listing_d L JOIN host_d H ON L.listing_id = H.listing_id
-)""", """
-count_host AS (
-  SELECT host_neighbourhood, listing_neighbourhood, count(*) AS counting FROM listings
-  GROUP BY host_neighbourhood, listing_neighbourhood
-)""", """
-max_host AS (
-  SELECT host_neighbourhood, max(counting) AS counting FROM count_host GROUP BY host_neighbourhood
+_PAIR = """
+pair AS (
+  SELECT ls.listing_neighbourhood, ls.property_type, ls.room_type, ls.accommodates, ls.price,
+         ls.has_availability = 't' AS is_open, ls.has_availability = 'f' AS is_shut,
+         30 - ls.availability_30 AS nights, ls.review_scores_rating AS rating,
+         hs.host_name, hs.host_neighbourhood, hs.host_is_superhost AS flag,
+         substr(hs.scraped_date, 1, 7) AS s_date
+  FROM listing_d AS ls INNER JOIN host_d AS hs USING (listing_id)
+)"""
+
+_CHANGE = """
+monthly AS (
+  SELECT s_date, count(*) FILTER (is_open) AS open_now, count(*) FILTER (is_shut) AS shut_now
+  FROM pair WHERE s_date IS NOT NULL GROUP BY s_date
+  HAVING bool_or(is_open) AND bool_or(is_shut)
 )""", """
-lga_host AS (
-  SELECT c1.host_neighbourhood, c1.listing_neighbourhood AS host_neighbourhood_lga, c1.counting
-  FROM count_host c1 JOIN max_host c2
-    ON c1.host_neighbourhood = c2.host_neighbourhood AND c1.counting = c2.counting
+change AS (
+  SELECT *, lag(open_now) OVER by_month AS open_before, lag(shut_now) OVER by_month AS shut_before
+  FROM monthly WINDOW by_month AS (ORDER BY s_date)
+)"""
+
+_HOME = """
+home AS (
+  SELECT host_neighbourhood, listing_neighbourhood, count(*) AS n
+  FROM pair WHERE host_neighbourhood IS NOT NULL GROUP BY 1, 2
+  QUALIFY count(*) = max(count(*)) OVER (PARTITION BY host_neighbourhood)
 )"""
 
 
+def _open_figures() -> str:
+    """Aggregates over the pairs whose listing is open."""
+    return """min(price) FILTER (is_open) AS min_price, max(price) FILTER (is_open) AS max_price,
+         avg(price) FILTER (is_open) AS avg_price, median(price) FILTER (is_open) AS median_price,
+         count(DISTINCT host_name) FILTER (is_open) AS distinct_host_count,
+         avg(rating) FILTER (is_open) AS avg_review_scores_rating,
+         sum(nights) FILTER (is_open) AS open_nights, sum(price) FILTER (is_open) AS open_price"""
+
+
+def _mart_columns(prefix: str = "") -> str:
+    return f"""{prefix}{r6('n_open', 'n_all', True)} AS active_listing_rate,
+       min_price, max_price, avg_price, median_price, distinct_host_count, avg_review_scores_rating,
+       {r6('open_now - open_before', 'open_before', True)} AS active_percentage_change,
+       {r6('shut_now - shut_before', 'shut_before', True)} AS inactive_percentage_change,
+       {r6('n_super', 'n_flagged', True)} AS superhost_rate,
+       CAST(open_nights AS BIGINT) AS total_staying,
+       CAST(open_nights * open_price AS DOUBLE) AS average_estimated_revenue"""
+
+
+def _mart_sql(keys: list[str], include_keys: bool = True, row_no: bool = False) -> str:
+    """One pass over the pairs a mart; groups need an open listing, a superhost,
+    known keys and a month of the change series."""
+    by = ", ".join(keys)
+    known = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    grouped = f"""
+grouped AS (
+  SELECT {by}, s_date, count(*) AS n_all, count(*) FILTER (is_open) AS n_open,
+         count(flag) AS n_flagged, count(*) FILTER (flag = 't') AS n_super,
+         {_open_figures()}
+  FROM pair WHERE {known} GROUP BY {by}, s_date
+  HAVING bool_or(is_open) AND bool_or(flag = 't')
+)"""
+    lead = f"{by}, s_date, " if include_keys else ""
+    if row_no:
+        lead = f"row_number() OVER (ORDER BY {by}, s_date) - 1 AS row_no, " + lead
+    return _with(_PAIR, *_CHANGE, grouped) + f"""
+SELECT {_mart_columns(lead)}
+FROM grouped INNER JOIN change USING (s_date)"""
+
+
 def _host_mart_sql() -> str:
-    return _with(*_COUNT_HOST, """
-per_lga AS (
-  SELECT host_neighbourhood_lga, s_date, count(DISTINCT host_name) AS distinct_host_count,
-         sum(30 - availability_30) AS total_staying, sum(price) AS price
-  FROM listings l JOIN lga_host lga
-    ON l.host_neighbourhood = lga.host_neighbourhood
-   AND l.listing_neighbourhood = lga.host_neighbourhood_lga
-  GROUP BY host_neighbourhood_lga, s_date
-)""") + f"""
+    per_area = """
+per_area AS (
+  SELECT listing_neighbourhood AS host_neighbourhood_lga, s_date,
+         count(DISTINCT host_name) AS distinct_host_count, sum(nights) * sum(price) AS revenue
+  FROM pair SEMI JOIN home USING (host_neighbourhood, listing_neighbourhood)
+  GROUP BY ALL
+)"""
+    return _with(_PAIR, _HOME, per_area) + f"""
 SELECT host_neighbourhood_lga, s_date, distinct_host_count,
-       CAST(total_staying * price AS DOUBLE) AS average_estimated_revenue,
-       {r6('total_staying * price', 'distinct_host_count')} AS average_revenue_p_host
-FROM per_lga ORDER BY host_neighbourhood_lga, s_date"""
+       CAST(revenue AS DOUBLE) AS average_estimated_revenue,
+       {r6('revenue', 'distinct_host_count')} AS average_revenue_p_host
+FROM per_area"""
 
 
-_AGES = list(schemas.ADHOC_AGE_COLUMNS)
+#: Listing rows per neighbourhood, and its LGA with census and number of suburbs.
+_AREA = """
+area AS (
+  SELECT lga_name AS listing_neighbourhood, lga_code,
+         (SELECT count(*) FROM suburb_d WHERE lower(suburb_d.lga_name) = lower(lga_d.lga_name)) AS n_suburbs
+  FROM lga_d
+)"""
+
+
+def _lga_revenue_sql(lead: str = "") -> str:
+    ages = ",\n       ".join(f"CAST({a} * n_rows * n_suburbs AS BIGINT) AS {a}" for a in schemas.ADHOC_AGE_COLUMNS)
+    return _with(_AREA, """
+per_nb AS (
+  SELECT listing_neighbourhood, count(*) AS n_rows, avg(review_scores_rating) AS rating,
+         avg(review_scores_cleanliness) AS clean, sum(30 - availability_30) AS nights, sum(price) AS paid
+  FROM listing_d WHERE has_availability = 't' GROUP BY 1
+)""") + f"""
+SELECT {lead}listing_neighbourhood, rating AS avg_review_scores_rating, clean AS review_scores_cleanliness,
+       {ages},
+       CAST(nights * n_suburbs AS BIGINT) AS total_staying, CAST(paid * n_suburbs AS BIGINT) AS price,
+       CAST(nights * n_suburbs * paid * n_suburbs AS DOUBLE) AS revenue
+FROM per_nb INNER JOIN area USING (listing_neighbourhood)
+INNER JOIN census_d ON census_d.lga_code_2016 = area.lga_code
+WHERE n_suburbs > 0"""
+
+
+def _mortgage_sql(lead: str = "") -> str:
+    return _with(_AREA, """
+per_nb AS (
+  SELECT listing_neighbourhood, count(*) AS n_rows, sum(30 - availability_30) AS nights, sum(price) AS paid
+  FROM listing_d GROUP BY 1
+)""") + f"""
+SELECT {lead}listing_neighbourhood,
+       CAST(median_mortgage_repay_monthly * n_rows * n_suburbs AS BIGINT) AS median_mortgage_annaully,
+       CAST(paid * n_suburbs * nights * n_suburbs AS DOUBLE) AS estimated_revenue
+FROM per_nb INNER JOIN area USING (listing_neighbourhood)
+INNER JOIN census_d ON census_d.lga_code_2016 = area.lga_code
+WHERE n_suburbs > 0"""
+
+
+def _best_type_sql(lead: str = "") -> str:
+    return _with() + f"""
+SELECT {lead}listing_neighbourhood, property_type, room_type, accommodates,
+       CAST(sum(30 - availability_30) AS BIGINT) AS total_staying, CAST(sum(price) AS BIGINT) AS price,
+       CAST(sum(30 - availability_30) * sum(price) AS DOUBLE) AS revenue
+FROM listing_d WHERE has_availability = 't'
+GROUP BY listing_neighbourhood, property_type, room_type, accommodates"""
+
+
+def _same_diff_sql(where: str = "true", lead: str = "") -> str:
+    return _with() + f"""
+SELECT {lead}host_name, count(*) FILTER (host_neighbourhood = listing_neighbourhood) AS same_neighbourhood,
+       count(*) FILTER (host_neighbourhood <> listing_neighbourhood) AS different_neighbourhood
+FROM snapshot WHERE host_name IS NOT NULL AND {where} GROUP BY host_name
+HAVING bool_or(host_neighbourhood = listing_neighbourhood) AND bool_or(host_neighbourhood <> listing_neighbourhood)"""
+
+
+def _numbered(statement: str, order: str) -> str:
+    return f"SELECT row_number() OVER (ORDER BY {order}) - 1 AS row_no, * FROM (\n{statement}\n) AS t"
 
 
 def _sql() -> dict[str, str]:
@@ -245,28 +297,14 @@ SELECT listing_neighbourhood, CAST(sum(30 - availability_30) AS BIGINT) AS total
        CAST(sum(price) AS BIGINT) AS price,
        CAST(sum(30 - availability_30) * sum(price) AS DOUBLE) AS revenue
 FROM listing_d WHERE has_availability = 't' GROUP BY listing_neighbourhood"""
-    q["adhoc_best_listing_type"] = _with("""
-listing_census AS (
-  SELECT L.listing_id, L.listing_neighbourhood, L.property_type, L.room_type, L.accommodates,
-         L.price, L.has_availability, L.availability_30
-  FROM listing_d L WHERE L.has_availability = 't'
-)""", """
-active_listing AS (
-  SELECT listing_neighbourhood, property_type, room_type, accommodates,
-         sum(30 - availability_30) AS total_staying, sum(price) AS price
-  FROM listing_census GROUP BY listing_neighbourhood, property_type, room_type, accommodates
-)""") + """
-SELECT listing_neighbourhood, property_type, room_type, accommodates,
-       CAST(total_staying AS BIGINT) AS total_staying, CAST(price AS BIGINT) AS price,
-       CAST(total_staying * price AS DOUBLE) AS revenue
-FROM active_listing ORDER BY total_staying DESC, revenue DESC"""
+    q["adhoc_best_listing_type"] = _best_type_sql()
     q["fn_left_month"] = _with() + """
-SELECT left(scraped_date, 7) AS s_date, count(*) AS n_rows FROM host_d GROUP BY 1"""
+SELECT substr(scraped_date, 1, 7) AS s_date, count(*) AS n_rows FROM host_d GROUP BY 1"""
     q["expr_ratio_scale6"] = _with("""
-g AS (SELECT listing_neighbourhood, count(*) FILTER (WHERE has_availability = 't') AS active_n,
+shares AS (SELECT listing_neighbourhood, count(*) FILTER (has_availability = 't') AS active_n,
              count(*) AS all_n FROM listing_d GROUP BY listing_neighbourhood)""") + f"""
-SELECT listing_neighbourhood, active_n, all_n, {r6('active_n', 'all_n')} AS active_ratio,
-       {r6('active_n', 'all_n', True)} AS active_listing_rate FROM g"""
+SELECT *, {r6('active_n', 'all_n')} AS active_ratio, {r6('active_n', 'all_n', True)} AS active_listing_rate
+FROM shares"""
     q["expr_lateral_alias"] = _with() + """
 SELECT listing_neighbourhood, CAST(sum(30 - availability_30) AS BIGINT) AS total_staying,
        CAST(sum(price) AS BIGINT) AS total_price,
@@ -285,66 +323,28 @@ FROM listing_d WHERE has_availability = 't' GROUP BY listing_neighbourhood"""
     q["agg_median"] = _with() + """
 SELECT listing_neighbourhood, room_type, median(price) AS median_price
 FROM listing_d WHERE has_availability = 't' GROUP BY listing_neighbourhood, room_type"""
-    q["agg_conditional_single_pass"] = _with("""
-listings AS (
-  SELECT L.listing_id, L.listing_neighbourhood, L.has_availability, H.host_is_superhost,
-         left(H.scraped_date, 7) AS s_date
-  FROM listing_d L JOIN host_d H ON L.listing_id = H.listing_id
-)""", """
-a AS (SELECT listing_neighbourhood, s_date, count(listing_id) AS active_listing_count
-      FROM listings WHERE has_availability = 't' GROUP BY ALL)""", """
-b AS (SELECT listing_neighbourhood, s_date, count(listing_id) AS all_listing_count,
-             count(host_is_superhost) AS all_count_host_is_superhost
-      FROM listings GROUP BY ALL)""", """
-c AS (SELECT listing_neighbourhood, s_date, count(host_is_superhost) AS count_host_is_superhost
-      FROM listings WHERE host_is_superhost = 't' GROUP BY ALL)""") + """
-SELECT b.listing_neighbourhood, b.s_date, coalesce(a.active_listing_count, 0) AS active_listing_count,
-       b.all_listing_count, b.all_count_host_is_superhost,
-       coalesce(c.count_host_is_superhost, 0) AS count_host_is_superhost
-FROM b
-LEFT JOIN a ON a.listing_neighbourhood IS NOT DISTINCT FROM b.listing_neighbourhood
-           AND a.s_date IS NOT DISTINCT FROM b.s_date
-LEFT JOIN c ON c.listing_neighbourhood IS NOT DISTINCT FROM b.listing_neighbourhood
-           AND c.s_date IS NOT DISTINCT FROM b.s_date"""
-    q["join_listing_host"] = _with() + """
-SELECT left(H.scraped_date, 7) AS s_date, count(*) AS n_rows, CAST(sum(L.price) AS BIGINT) AS sum_price
-FROM listing_d L JOIN host_d H ON L.listing_id = H.listing_id GROUP BY 1"""
-    q["win_lag_pct_change"] = _with("""
-listings AS (
-  SELECT L.listing_id, L.has_availability, left(H.scraped_date, 7) AS s_date
-  FROM listing_d L JOIN host_d H ON L.listing_id = H.listing_id
-)""", """
-act AS (SELECT count(listing_id) AS active_listing_count, s_date FROM listings
-        WHERE has_availability = 't' GROUP BY s_date)""", """
-inact AS (SELECT count(listing_id) AS inactive_listing_count, s_date FROM listings
-          WHERE has_availability = 'f' GROUP BY s_date)""", """
-pc AS (
-  SELECT a.s_date, a.active_listing_count AS active_final_value,
-         lag(a.active_listing_count, 1) OVER (ORDER BY a.s_date) AS active_original_value,
-         i.inactive_listing_count AS inactive_final_value,
-         lag(i.inactive_listing_count, 1) OVER (ORDER BY i.s_date) AS inactive_original_value
-  FROM act a JOIN inact i ON a.s_date = i.s_date
-)""") + f"""
-SELECT s_date, active_final_value, active_original_value,
-       {r6('active_final_value - active_original_value', 'active_original_value', True)} AS active_percentage_change,
-       inactive_final_value, inactive_original_value,
-       {r6('inactive_final_value - inactive_original_value', 'inactive_original_value', True)} AS inactive_percentage_change
-FROM pc"""
-    q["argmax_with_ties"] = _with(*_COUNT_HOST) + """
-SELECT host_neighbourhood, host_neighbourhood_lga, counting FROM lga_host"""
+    q["agg_conditional_single_pass"] = _with(_PAIR) + """
+SELECT listing_neighbourhood, s_date, count(*) FILTER (is_open) AS active_listing_count,
+       count(*) AS all_listing_count, count(flag) AS all_count_host_is_superhost,
+       count(*) FILTER (flag = 't') AS count_host_is_superhost
+FROM pair GROUP BY ALL"""
+    q["join_listing_host"] = _with(_PAIR) + """
+SELECT s_date, count(*) AS n_rows, CAST(sum(price) AS BIGINT) AS sum_price FROM pair GROUP BY s_date"""
+    q["win_lag_pct_change"] = _with(_PAIR, *_CHANGE) + f"""
+SELECT s_date, open_now AS active_now, open_before AS active_before,
+       {r6('open_now - open_before', 'open_before', True)} AS active_percentage_change,
+       shut_now AS inactive_now, shut_before AS inactive_before,
+       {r6('shut_now - shut_before', 'shut_before', True)} AS inactive_percentage_change
+FROM change"""
+    q["argmax_with_ties"] = _with(_PAIR, _HOME) + """
+SELECT host_neighbourhood, listing_neighbourhood AS host_neighbourhood_lga, n AS counting FROM home"""
     q["sort_by_hidden_key"] = _mart_sql(["listing_neighbourhood"], include_keys=False)
-    q["mart_active_listings"] = _with("""
-listings AS (
-  SELECT L.listing_id, L.listing_neighbourhood, L.price, L.has_availability, L.availability_30,
-         L.review_scores_rating, H.host_name, left(H.scraped_date, 7) AS s_date
-  FROM listing_d L JOIN host_d H ON L.listing_id = H.listing_id
-)""") + """
-SELECT listing_neighbourhood, s_date, count(listing_id) AS active_listing_count,
-       min(price) AS min_price, max(price) AS max_price, avg(price) AS avg_price,
-       median(price) AS median_price, count(DISTINCT host_name) AS distinct_host_count,
-       avg(review_scores_rating) AS avg_review_scores_rating,
-       CAST(sum(30 - availability_30) AS BIGINT) AS total_staying, CAST(sum(price) AS BIGINT) AS price
-FROM listings WHERE has_availability = 't' GROUP BY listing_neighbourhood, s_date"""
+    q["mart_active_listings"] = _with(_PAIR) + f"""
+SELECT * EXCLUDE (open_nights, open_price), CAST(open_nights AS BIGINT) AS total_staying,
+       CAST(open_price AS BIGINT) AS price
+FROM (SELECT listing_neighbourhood, s_date, count(*) FILTER (is_open) AS active_listing_count,
+         {_open_figures()}
+      FROM pair GROUP BY ALL HAVING bool_or(is_open)) AS t"""
     q["mart_listing_neighbourhood"] = _mart_sql(["listing_neighbourhood"])
     q["mart_property_type"] = _mart_sql(["property_type", "room_type", "accommodates"])
     q["mart_host_neighbourhood"] = _host_mart_sql()
@@ -361,70 +361,38 @@ FROM listing_d"""
 SELECT lga_code_2016, CAST(CAST(right(lga_code_2016, 5) AS DECIMAL(38,0)) AS BIGINT) AS lga_code
 FROM census_01"""
     q["join_listing_lga"] = _with() + """
-SELECT C.lga_code, C.lga_name, count(*) AS n_rows, CAST(sum(L.price) AS BIGINT) AS sum_price
-FROM listing_d L JOIN lga_d C ON L.listing_neighbourhood = C.lga_name GROUP BY 1, 2"""
+SELECT lga_code, lga_name, count(*) AS n_rows, CAST(sum(price) AS BIGINT) AS sum_price
+FROM lga_d INNER JOIN listing_d ON listing_neighbourhood = lga_name GROUP BY ALL"""
     q["join_census_lga"] = _with() + """
-SELECT C.lga_code, C.lga_name, CEN.tot_p_p, CEN.age_0_4_yr_p, CEN.median_mortgage_repay_monthly
-FROM lga_d C JOIN census_d CEN ON CEN.lga_code_2016 = C.lga_code"""
+SELECT lga_code, lga_name, tot_p_p, age_0_4_yr_p, median_mortgage_repay_monthly
+FROM census_d INNER JOIN lga_d ON lga_code = lga_code_2016"""
     q["join_lower_suburb"] = _with() + """
-SELECT C.lga_code, C.lga_name, S.suburb_name
-FROM lga_d C JOIN suburb_d S ON lower(C.lga_name) = lower(S.lga_name)"""
-    q["fact_rental_by_month"] = _with("""
-fact AS (
-  SELECT H.scraped_date AS date, L.price, S.suburb_name, S.lga_name
-  FROM listing_d L
-  JOIN host_d H ON L.listing_id = H.listing_id
-  JOIN lga_d C ON L.listing_neighbourhood = C.lga_name
-  JOIN census_d CEN ON CEN.lga_code_2016 = C.lga_code
-  JOIN suburb_d S ON lower(C.lga_name) = lower(S.lga_name)
-)""") + """
-SELECT left(date, 7) AS s_date, count(*) AS n_rows, CAST(sum(price) AS BIGINT) AS sum_price,
-       count(DISTINCT (suburb_name, lga_name)) AS n_suburbs
-FROM fact GROUP BY 1"""
-    age_sel = ",\n    ".join(f"CEN.{a}" for a in _AGES)
-    age_sum = ",\n    ".join(f"CAST(sum({a}) AS BIGINT) AS {a}" for a in _AGES)
-    q["adhoc_lga_revenue"] = _with(f"""
-listing_census AS (
-  SELECT L.listing_id, L.listing_neighbourhood, L.price, L.has_availability, L.availability_30,
-         L.review_scores_rating, L.review_scores_cleanliness,
-    {age_sel}
-  FROM listing_d L
-  JOIN lga_d C ON L.listing_neighbourhood = C.lga_name
-  JOIN census_d CEN ON CEN.lga_code_2016 = C.lga_code
-  JOIN suburb_d S ON lower(C.lga_name) = lower(S.lga_name)
-  WHERE L.has_availability = 't'
-)""") + f"""
-SELECT listing_neighbourhood, avg(review_scores_rating) AS avg_review_scores_rating,
-    avg(review_scores_cleanliness) AS review_scores_cleanliness,
-    {age_sum},
-    CAST(sum(30 - availability_30) AS BIGINT) AS total_staying,
-    CAST(sum(price) AS BIGINT) AS price,
-    CAST(sum(30 - availability_30) * sum(price) AS DOUBLE) AS revenue
-FROM listing_census GROUP BY listing_neighbourhood ORDER BY revenue DESC"""
-    q["adhoc_revenue_vs_mortgage"] = _with("""
-listing_census AS (
-  SELECT L.listing_neighbourhood, L.price, L.availability_30, CEN.median_mortgage_repay_monthly
-  FROM listing_d L
-  JOIN lga_d C ON L.listing_neighbourhood = C.lga_name
-  JOIN census_d CEN ON CEN.lga_code_2016 = C.lga_code
-  JOIN suburb_d S ON lower(C.lga_name) = lower(S.lga_name)
-)""", """
-get_result AS (
-  SELECT listing_neighbourhood, sum(30 - availability_30) AS total_staying, sum(price) AS price,
-         sum(median_mortgage_repay_monthly) AS median_mortgage_annaully
-  FROM listing_census GROUP BY listing_neighbourhood
-)""") + """
-SELECT listing_neighbourhood, CAST(median_mortgage_annaully AS BIGINT) AS median_mortgage_annaully,
-       CAST(price * total_staying AS DOUBLE) AS estimated_revenue
-FROM get_result ORDER BY estimated_revenue DESC, median_mortgage_annaully DESC"""
-    q["adhoc_host_same_vs_diff"] = _with("""
-same_cte AS (SELECT host_name, count(*) AS same_neighbourhood FROM snapshot
-             WHERE host_neighbourhood = listing_neighbourhood GROUP BY host_name)""", """
-diff_cte AS (SELECT host_name, count(*) AS different_neighbourhood FROM snapshot
-             WHERE host_neighbourhood != listing_neighbourhood GROUP BY host_name)""") + """
-SELECT s.host_name, s.same_neighbourhood, d.different_neighbourhood
-FROM same_cte s JOIN diff_cte d ON s.host_name = d.host_name
-ORDER BY s.same_neighbourhood + d.different_neighbourhood DESC, s.host_name"""
+SELECT lga_code, lga_d.lga_name, suburb_name
+FROM suburb_d INNER JOIN lga_d ON lower(suburb_d.lga_name) = lower(lga_d.lga_name)"""
+    q["fact_rental_by_month"] = _with(_PAIR, _AREA) + """
+SELECT s_date, CAST(sum(n_suburbs) AS BIGINT) AS n_rows, CAST(sum(price * n_suburbs) AS BIGINT) AS sum_price,
+       (SELECT CAST(sum(a.n_suburbs) AS BIGINT) FROM area AS a WHERE a.listing_neighbourhood IN
+         (SELECT q.listing_neighbourhood FROM pair AS q WHERE q.s_date = p.s_date)
+         AND a.lga_code IN (SELECT lga_code_2016 FROM census_d)) AS n_suburbs
+FROM pair AS p INNER JOIN area USING (listing_neighbourhood)
+WHERE lga_code IN (SELECT lga_code_2016 FROM census_d) AND n_suburbs > 0
+GROUP BY s_date"""
+    q["adhoc_lga_revenue"] = _lga_revenue_sql()
+    q["adhoc_revenue_vs_mortgage"] = _mortgage_sql()
+    q["adhoc_host_same_vs_diff"] = _same_diff_sql()
+    q["adhoc_host_same_vs_diff_month"] = _same_diff_sql("substr(scraped_date, 1, 7) = '1995-03'")
+    # the specified orders as data
+    q["order_listing_mart"] = _mart_sql(["listing_neighbourhood"], row_no=True)
+    q["order_property_mart"] = _mart_sql(["property_type", "room_type", "accommodates"], row_no=True)
+    q["order_lga_revenue"] = _numbered(_lga_revenue_sql(), "revenue DESC NULLS FIRST, listing_neighbourhood")
+    q["order_best_listing_type"] = _numbered(
+        _best_type_sql(), "total_staying DESC NULLS FIRST, revenue DESC NULLS FIRST, listing_neighbourhood, "
+        "property_type, room_type, accommodates")
+    q["order_host_same_vs_diff"] = _numbered(
+        _same_diff_sql(), "same_neighbourhood + different_neighbourhood DESC, host_name")
+    q["order_revenue_vs_mortgage"] = _numbered(
+        _mortgage_sql(), "estimated_revenue DESC NULLS FIRST, median_mortgage_annaully DESC NULLS FIRST, "
+        "listing_neighbourhood")
     return q
 
 

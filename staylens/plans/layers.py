@@ -3,27 +3,31 @@
   <root>/raw/<table>  <root>/staging/<table>  <root>/datawarehouse/<table>
   <root>/datamart/<table>
 
-Every write is a full refresh (overwrite); partitioned tables overwrite only
-the partitions present in the new data (one snapshot file = one partition),
-which is the per-file truncate-and-load of the modelled job. Exports write
-CSV part files from the executors (no collect), with a leading zero-based row
-number column in the mart's order.
+A write is a full refresh: the new table is written beside the old one and takes
+its place by renaming, so a failed write leaves the old table. Loading without a
+reset replaces only the partitions that the new data has (one snapshot file =
+one partition). With ``names`` every table is also an external table of the
+session's catalog (``raw.x``, ``staging.x`` ...). Exports write CSV part files
+from the executors (no collect), with a leading zero-based row number column in
+the mart's order.
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staylens.schemas import LAYERS
+from staylens.sources.csv_ingest import csv_writer
 
 STAGING_PREFIX = "stg_"
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, names: bool = False):
+        self.spark, self.root, self.names = spark, root.rstrip("/"), names
 
     def path(self, layer: str, table: str) -> str:
         if layer not in LAYERS:
@@ -31,41 +35,72 @@ class Warehouse:
         return f"{self.root}/{layer}/{table.lower()}"
 
     def _fs(self):
-        jvm = self.spark.sparkContext._jvm
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        root = jvm.org.apache.hadoop.fs.Path(self.root)
-        return jvm, root.getFileSystem(conf)
+        return hadoop.Path, hadoop.Path(self.root).getFileSystem(conf)
+
+    def _folders(self, path: str) -> list[str]:
+        to, fs = self._fs()
+        if not fs.exists(to(path)):
+            return []
+        return sorted(s.getPath().getName() for s in fs.listStatus(to(path)) if s.isDirectory())
 
     def exists(self, layer: str, table: str) -> bool:
-        jvm, fs = self._fs()
-        return bool(fs.exists(jvm.org.apache.hadoop.fs.Path(self.path(layer, table) + "/_SUCCESS")))
+        to, fs = self._fs()
+        return bool(fs.exists(to(self.path(layer, table))))
 
     def tables(self, layer: str) -> list[str]:
-        jvm, fs = self._fs()
-        p = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{layer}")
-        if not fs.exists(p):
-            return []
-        return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
-
-    def write(self, layer: str, table: str, df: DataFrame,
-              partition_by: Iterable[str] | None = None) -> DataFrame:
-        """Full refresh of a table (dynamic partition overwrite when
-        partitioned); returns the table as written."""
-        w = df.write.mode("overwrite").format("parquet")
-        parts = list(partition_by or [])
-        if parts:
-            w = w.partitionBy(*parts).option("partitionOverwriteMode", "dynamic")
-        w.save(self.path(layer, table))
+        return [n for n in self._folders(f"{self.root}/{layer}") if "." not in n]
+
+    def partition_columns(self, layer: str, table: str) -> list[str]:
+        """Columns that a table's folders are named after."""
+        path, found = self.path(layer, table), []
+        while inner := [n for n in self._folders(path) if "=" in n]:
+            found.append(inner[0].split("=", 1)[0])
+            path = f"{path}/{inner[0]}"
+        return found
+
+    def write(self, layer: str, table: str, df: DataFrame, partition_by: Iterable[str] = (),
+              keep_other_partitions: bool = False) -> DataFrame:
+        """Full refresh of a table, or of the partitions in ``df`` only; returns
+        the table as written."""
+        path, parts = self.path(layer, table), list(partition_by)
+        if keep_other_partitions and self.partition_columns(layer, table):
+            (df.write.mode("overwrite").partitionBy(*parts)
+             .option("partitionOverwriteMode", "dynamic").parquet(path))
+        else:
+            tag = uuid.uuid4().hex[:12]
+            df.write.partitionBy(*parts).parquet(f"{path}.new-{tag}")
+            to, fs = self._fs()
+            old = to(f"{path}.old-{tag}")
+            had = fs.exists(to(path)) and fs.rename(to(path), old)
+            if not fs.rename(to(f"{path}.new-{tag}"), to(path)):
+                if had:
+                    fs.rename(old, to(path))
+                raise OSError(f"could not put the new table at {path}")
+            if had:
+                fs.delete(old, True)
+        self.spark.catalog.refreshByPath(path)
+        if self.names:
+            self._name(layer, table, bool(parts))
         return self.read(layer, table)
 
+    def _name(self, layer: str, table: str, partitioned: bool) -> None:
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+        self.spark.sql(f"DROP TABLE IF EXISTS {layer}.`{table}`")  # external: files stay
+        self.spark.catalog.createTable(f"{layer}.`{table}`", path=self.path(layer, table), source="parquet")
+        if partitioned:
+            self.spark.catalog.recoverPartitions(f"{layer}.`{table}`")
+
     def read(self, layer: str, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, table))
 
     def copy(self, src_layer: str, dst_layer: str, tables: Iterable[str],
              rename: Callable[[str], str] = lambda t: t) -> dict[str, DataFrame]:
-        """CREATE OR REPLACE dst.t AS SELECT * FROM src.t, for each table."""
-        return {rename(t): self.write(dst_layer, rename(t), self.read(src_layer, t))
-                for t in tables}
+        """CREATE OR REPLACE dst.t AS SELECT * FROM src.t, for each table, with
+        its partitioning."""
+        return {rename(t): self.write(dst_layer, rename(t), self.read(src_layer, t),
+                                      self.partition_columns(src_layer, t)) for t in tables}
 
     def promote(self, tables: Iterable[str]) -> dict[str, DataFrame]:
         """Staging -> warehouse, dropping the 'stg_' prefix."""
@@ -73,19 +108,29 @@ class Warehouse:
                          lambda t: t[len(STAGING_PREFIX):] if t.startswith(STAGING_PREFIX) else t)
 
     def truncate(self, layer: str, table: str) -> None:
-        """TRUNCATE TABLE IF EXISTS: keep the schema, drop every row."""
+        """TRUNCATE TABLE IF EXISTS: keep the schema, drop every row and partition."""
         if self.exists(layer, table):
-            empty = self.spark.createDataFrame([], self.read(layer, table).schema)
-            empty.write.mode("overwrite").parquet(self.path(layer, table))
+            self.write(layer, table, self.spark.createDataFrame([], self.read(layer, table).schema))
 
     def reset(self) -> list[str]:
-        """Truncate every existing table of every layer."""
-        done = []
-        for layer in LAYERS:
-            for t in self.tables(layer):
-                self.truncate(layer, t)
-                done.append(f"{layer}.{t}")
-        return done
+        """Truncate every existing table of every layer; the tables now empty."""
+        found = [(layer, t) for layer in LAYERS for t in self.tables(layer)]
+        for layer, t in found:
+            self.truncate(layer, t)
+        return [f"{layer}.{t}" for layer, t in found if self.read(layer, t).isEmpty()]
+
+
+#: Table of the raw layer with the rows that a load rejected.
+REJECTS = "load_rejects"
+
+
+def reject_rows(target: str, rejected: DataFrame) -> DataFrame:
+    """Rejected rows of any load in one shape: target_table, source_table,
+    reject_columns and all fields as text."""
+    own = [c for c in rejected.columns if c not in ("source_table", "reject_columns")]
+    pairs = [x for c in own for x in (F.lit(c), F.col(f"`{c}`"))]
+    return rejected.select(F.lit(target).alias("target_table"), "source_table", "reject_columns",
+                           F.create_map(*pairs).alias("fields"))
 
 
 def with_row_number(df: DataFrame, order: list, col: str = "row_no") -> DataFrame:
@@ -97,17 +142,18 @@ def with_row_number(df: DataFrame, order: list, col: str = "row_no") -> DataFram
     return numbered.select((F.col("_rn1") - 1).alias(col), *df.columns)
 
 
-def export_csv(df: DataFrame, path: str, order: list) -> None:
+def export_csv(df: DataFrame, path: str, order: list, leave_out: Iterable[str] = ()) -> None:
     """Mart -> CSV with a header, an unnamed leading row-number column and
-    upper-case column names (the published file layout)."""
+    upper-case column names (the published file layout); columns that only
+    give the order can be left out."""
     numbered = with_row_number(df, order)
     out = numbered.select(F.col("row_no").alias(""),
-                          *[F.col(c).alias(c.upper()) for c in df.columns])
-    out.write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
+                          *[F.col(c).alias(c.upper()) for c in df.columns if c not in leave_out])
+    csv_writer(out).option("emptyValue", "").csv(path)
 
 
 def read_export(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
 
 
 # ---------------------------------------------------------------------------
@@ -119,6 +165,7 @@ def _register():
     from staylens import registry
     from staylens.functions import month_of
     from staylens.plans import marts, star
+    from staylens.schemas import SNAPSHOT_SCHEMA
     from staylens.session import new_scratch_dir
     from staylens.sources import csv_ingest
 
@@ -147,23 +194,110 @@ def _register():
         return (loaded.groupBy(csv_ingest.TABLE_COL)
                  .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("price").alias("sum_price")))
 
+    @registry.register("src_csv_header_order")
+    def _src_csv_header_order(c: registry.Ctx) -> DataFrame:
+        """Month files with other column orders, letter cases and a further
+        column, bound by header name."""
+        root = new_scratch_dir(c.spark, "csv")
+        rows = _month_table(c.snapshot()).withColumn("EXTRA", F.lit("not asked for"))
+        names = c.snapshot().columns
+        month = F.substring(csv_ingest.TABLE_COL, 9, 2).cast("int")
+        for rest, order in ((0, names), (1, ["EXTRA", *(n.upper() for n in reversed(names))]),
+                            (2, [*names[5:], *(n.title() for n in names[:5])])):
+            csv_ingest.write_csv_tables(
+                rows.where(month % 3 == rest).select(*[F.col(n).alias(n) for n in order], csv_ingest.TABLE_COL),
+                f"{root}/{rest}")
+        tables = {}
+        for rest in range(3):
+            tables |= csv_ingest.snapshot_tables(c.spark, f"{root}/{rest}")
+        return csv_ingest.parse_typed(csv_ingest.read_text_fields(
+            c.spark, tables, SNAPSHOT_SCHEMA.fieldNames()), SNAPSHOT_SCHEMA)[0]
+
+    def _planted(c: registry.Ctx) -> str:
+        """Month files as raw lines with planted faults, by (scrape_id + reviews) % 10."""
+        root = new_scratch_dir(c.spark, "csv")
+        rows = _month_table(c.snapshot())
+        names = c.snapshot().columns
+        case = (F.col("scrape_id") + F.col("number_of_reviews")) % 10
+        field = {n: F.coalesce(F.col(n).cast("string"), F.lit("")) for n in names}
+        field["price"] = F.when(case == 0, "abc").when(case == 5, F.concat(field["price"], F.lit(".0"))).otherwise(field["price"])
+        field["host_name"] = (F.when(case == 1, "NULL").when(case == 6, "null")
+                              .when(case == 4, F.concat(F.lit('"An ""x"", '), field["host_name"], F.lit('"')))
+                              .otherwise(field["host_name"]))
+        full = F.concat_ws(",", *[field[n] for n in names])
+        short = F.concat_ws(",", *[field[n] for n in names[:-3]])
+        line = F.when(case == 2, short).when(case == 3, F.concat(full, F.lit(",more,fields"))).otherwise(full)
+        # lines as they are: no quoting, a separator that no line has
+        (rows.select(line.alias(",".join(names)), csv_ingest.TABLE_COL).write.partitionBy(csv_ingest.TABLE_COL)
+         .option("header", True).option("quote", "\u0000").option("sep", "\u0001").csv(root))
+        return root
+
     @registry.register("src_load_reject_count")
     def _src_load_reject_count(c: registry.Ctx) -> DataFrame:
-        """Loaded and rejected rows per source table of the tolerant load."""
-        loaded, rejected = _roundtrip(c)
-        a = loaded.groupBy(csv_ingest.TABLE_COL).agg(F.count(F.lit(1)).alias("n_loaded"))
-        b = rejected.groupBy(csv_ingest.TABLE_COL).agg(F.count(F.lit(1)).alias("n_rejected"))
-        return (a.join(b, csv_ingest.TABLE_COL, "full")
-                 .select(csv_ingest.TABLE_COL,
-                         F.coalesce("n_loaded", F.lit(0).cast("bigint")).alias("n_loaded"),
-                         F.coalesce("n_rejected", F.lit(0).cast("bigint")).alias("n_rejected")))
+        """Tolerant load of files with planted faults: loaded and rejected rows,
+        nulls and quoted names per source table; rejects are stored."""
+        loaded, rejected = csv_ingest.load_snapshots(c.spark, _planted(c))
+        wh = Warehouse(c.spark, new_scratch_dir(c.spark, "wh"))
+        bad = wh.write("raw", REJECTS, reject_rows("listing_snapshots", rejected))
+        a = loaded.groupBy(csv_ingest.TABLE_COL).agg(
+            F.count(F.lit(1)).alias("n_loaded"), F.sum("price").alias("sum_price"),
+            F.count("host_name").alias("n_named"), F.count_if(F.col("host_name").startswith('An "x", ')).alias("n_quoted"),
+            F.count("review_scores_value").alias("n_valued"))
+        b = bad.where("reject_columns = 'price' and fields['price'] = 'abc'").groupBy("source_table").agg(
+            F.count(F.lit(1)).alias("n_rejected"))
+        return a.join(b, "source_table", "left").withColumn("n_rejected", F.coalesce("n_rejected", F.lit(0)))
+
+    @registry.register("layer_reset_reload")
+    def _layer_reset_reload(c: registry.Ctx) -> DataFrame:
+        """All months loaded, every layer reset, the even months loaded again:
+        rows per month table of the staging copy."""
+        from staylens.plans.pipeline import SNAPSHOT_TABLE, load_snapshots_to_raw
+        rows, roots = _month_table(c.snapshot()), [new_scratch_dir(c.spark, "csv") for _ in range(2)]
+        csv_ingest.write_csv_tables(rows, roots[0])
+        csv_ingest.write_csv_tables(rows.where(F.substring(csv_ingest.TABLE_COL, 9, 2).cast("int") % 2 == 0), roots[1])
+        wh = Warehouse(c.spark, new_scratch_dir(c.spark, "wh"))
+        load_snapshots_to_raw(c.spark, wh, roots[0])
+        wh.copy("raw", "staging", [SNAPSHOT_TABLE])
+        wh.reset()
+        load_snapshots_to_raw(c.spark, wh, roots[1])
+        wh.copy("raw", "staging", [SNAPSHOT_TABLE])
+        return wh.read("staging", SNAPSHOT_TABLE).groupBy(csv_ingest.TABLE_COL).agg(
+            F.count(F.lit(1)).alias("n_rows"), F.sum("price").alias("sum_price"))
+
+    @registry.register("adhoc_host_same_vs_diff_month")
+    def _adhoc_host_same_vs_diff_month(c: registry.Ctx) -> DataFrame:
+        """Ad-hoc 3.c from one month of the partitioned staging copy."""
+        from staylens.plans import adhoc
+        wh = Warehouse(c.spark, new_scratch_dir(c.spark, "wh"))
+        wh.write("raw", "listing_snapshots", _month_table(c.snapshot()), [csv_ingest.TABLE_COL])
+        staged = wh.copy("raw", "staging", ["listing_snapshots"])["listing_snapshots"]
+        return adhoc.host_same_vs_different(staged, source_table="listing_03_1995")
+
+    @registry.register("mart_tables_roundtrip")
+    def _mart_tables_roundtrip(c: registry.Ctx) -> DataFrame:
+        """Marts 1 and 2 stored in their published shape and read back by name."""
+        wh = Warehouse(c.spark, new_scratch_dir(c.spark, "wh"))
+        made = {"dm_listing_neighbourhood": marts.listing_neighbourhood_mart, "dm_property_type": marts.property_type_mart}
+        read = [wh.write("datamart", name, f(c.listing_d(), c.host_d())).withColumn("mart", F.lit(name))
+                for name, f in made.items()]
+        return read[0].unionByName(read[1])
+
+    @registry.register("export_listing_mart")
+    def _export_listing_mart(c: registry.Ctx) -> DataFrame:
+        """Mart 1 exported as CSV in its published shape and order, read back."""
+        mart = marts.listing_neighbourhood_mart(c.listing_d(), c.host_d(), include_keys=True)
+        path = new_scratch_dir(c.spark, "export") + "/dm_listing_neighbourhood"
+        keys = ["listing_neighbourhood", "s_date"]
+        export_csv(mart, path, keys, leave_out=keys)
+        fields = [f for f in mart.schema.fields if f.name not in keys]
+        return read_export(c.spark, path, T.StructType([T.StructField("row_no", T.LongType()), *fields]))
 
     @registry.register("layer_copy_raw_to_staging")
     def _layer_copy_raw_to_staging(c: registry.Ctx) -> DataFrame:
         """Raw snapshot table copied to staging (select *), read back."""
         wh = Warehouse(c.spark, new_scratch_dir(c.spark, "wh"))
         wh.write("raw", "listing_snapshots", _month_table(c.snapshot()),
-                 partition_by=[csv_ingest.TABLE_COL])
+                 [csv_ingest.TABLE_COL])
         return wh.copy("raw", "staging", ["listing_snapshots"])["listing_snapshots"]
 
     @registry.register("layer_promote_staging_to_dw")
@@ -203,9 +337,24 @@ def layer_oracle_sql(with_prefix) -> dict[str, str]:
     q["union_all_snapshots"] = with_prefix() + f"""
 SELECT {month_table} AS source_table, count(*) AS n_rows, CAST(sum(price) AS BIGINT) AS sum_price
 FROM snapshot GROUP BY 1"""
+    case = "(scrape_id + number_of_reviews) % 10"
     q["src_load_reject_count"] = with_prefix() + f"""
-SELECT {month_table} AS source_table, count(*) AS n_loaded, CAST(0 AS BIGINT) AS n_rejected
+SELECT {month_table} AS source_table, count(*) FILTER ({case} <> 0) AS n_loaded,
+       CAST(sum(price) FILTER ({case} <> 0) AS BIGINT) AS sum_price,
+       count(host_name) FILTER ({case} NOT IN (0, 1, 6)) AS n_named,
+       count(host_name) FILTER ({case} = 4) AS n_quoted,
+       count(review_scores_value) FILTER ({case} NOT IN (0, 2)) AS n_valued,
+       count(*) FILTER ({case} = 0) AS n_rejected
 FROM snapshot GROUP BY 1"""
+    q["src_csv_header_order"] = q["src_csv_roundtrip"]
+    q["layer_reset_reload"] = with_prefix() + f"""
+SELECT {month_table} AS source_table, count(*) AS n_rows, CAST(sum(price) AS BIGINT) AS sum_price
+FROM snapshot WHERE CAST(substr(scraped_date, 6, 2) AS INTEGER) % 2 = 0 GROUP BY 1"""
+    marts12 = {"dm_listing_neighbourhood": ["listing_neighbourhood"],
+               "dm_property_type": ["property_type", "room_type", "accommodates"]}
+    q["mart_tables_roundtrip"] = " UNION ALL ".join(
+        f"SELECT *, '{n}' AS mart FROM ({oracle._mart_sql(k, include_keys=False)})" for n, k in marts12.items())
+    q["export_listing_mart"] = oracle._mart_sql(["listing_neighbourhood"], include_keys=False, row_no=True)
     q["layer_copy_raw_to_staging"] = q["src_csv_roundtrip"]
     q["layer_promote_staging_to_dw"] = with_prefix() + "\nSELECT * FROM listing_d"
     mart3 = oracle._host_mart_sql()

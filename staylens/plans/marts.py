@@ -19,6 +19,7 @@ from staylens.operators.fanout import (
     MONTH, keyed_month_distinct_hosts, keyed_month_median_price, keyed_month_stats,
     monthly_activity, pair_counts)
 from staylens.operators.series import month_change_series
+from staylens.session import stored
 
 NEIGHBOURHOOD_KEYS = ("listing_neighbourhood",)
 PROPERTY_KEYS = ("property_type", "room_type", "accommodates")
@@ -135,8 +136,10 @@ def host_neighbourhood_mart(listing_d: DataFrame, host_d: DataFrame,
     """Per (mapped LGA, month) over joined rows whose listing lies in the LGA
     its host neighbourhood maps to: distinct hosts, revenue (nights x price)
     and revenue per host (six digits, null when no host has a name)."""
-    mapping = host_lga_mapping(listing_d, host_d).filter(
-        F.col("host_neighbourhood_lga").isNotNull()).drop("counting")
+    # a table of its own: Spark sees its true size (a few rows per host area), so
+    # the ordinary threshold broadcasts it and host rows are not shuffled by area
+    mapping = stored(host_lga_mapping(listing_d, host_d).filter(
+        F.col("host_neighbourhood_lga").isNotNull()).drop("counting"), "host-areas")
     l2 = (listing_d.groupBy("listing_id", "listing_neighbourhood")
           .agg(F.sum(stay_days("availability_30")).alias("l_stay"),
                F.sum("price").alias("l_price")))

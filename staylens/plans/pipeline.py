@@ -8,14 +8,15 @@ restart of the job.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staylens.plans import marts, star
-from staylens.plans.layers import Warehouse, export_csv
+from staylens.plans.layers import REJECTS, Warehouse, export_csv, reject_rows
 from staylens.sources import csv_ingest
-from staylens.session import ensure_checkpoint_dir
+from staylens.session import ensure_checkpoint_dir, stored
 
 SNAPSHOT_TABLE = "listing_snapshots"
 REFERENCE_TABLES = ("census_01", "census_02", "nsw_lga_code", "nsw_lga_suburb")
@@ -28,36 +29,57 @@ MART_ORDER = {
 }
 
 
+#: Keys of marts 1 and 2, which the published files do not show.
+HIDDEN_KEYS = {n: MART_ORDER[n] for n in ("dm_listing_neighbourhood", "dm_property_type")}
+
+
 @dataclass
 class PipelineResult:
     warehouse: Warehouse
-    rejected: dict[str, DataFrame] = field(default_factory=dict)
+    rejected: DataFrame
     marts: dict[str, DataFrame] = field(default_factory=dict)
     exports: dict[str, str] = field(default_factory=dict)
 
 
-def load_raw(spark: SparkSession, wh: Warehouse, source_root: str) -> dict[str, DataFrame]:
-    """Stage 2: every CSV into the raw layer; the monthly listing files go to
-    one table partitioned by source table (one partition per file)."""
-    rejected = {}
-    snaps, bad = csv_ingest.load_snapshots(spark, source_root)
-    wh.write("raw", SNAPSHOT_TABLE, snaps, partition_by=[csv_ingest.TABLE_COL])
-    rejected[SNAPSHOT_TABLE] = bad
+def load_snapshots_to_raw(spark: SparkSession, wh: Warehouse, source_root: str,
+                          keep_other_months: bool = False) -> DataFrame:
+    """The monthly listing files into one raw table, a partition per file;
+    returns the rejected rows."""
+    rows, bad = csv_ingest.load_snapshots(spark, source_root)
+    wh.write("raw", SNAPSHOT_TABLE, rows, [csv_ingest.TABLE_COL], keep_other_partitions=keep_other_months)
+    return bad
+
+
+def check_source(spark: SparkSession, source_root: str) -> dict[str, list[str]]:
+    """The CSV files of a source by table name; an error if one that the job needs
+    is missing."""
+    found = csv_ingest.list_tables(spark, source_root)
+    csv_ingest.snapshot_tables(spark, source_root)
+    there = {n.lower() for n in found}
+    if missing := [n for n in REFERENCE_TABLES if n not in there]:
+        raise FileNotFoundError(f"no file {', '.join(missing)} in {source_root}")
+    return found
+
+
+def load_raw(spark: SparkSession, wh: Warehouse, source_root: str,
+             keep_other_months: bool = False) -> DataFrame:
+    """Stage 2: every CSV into the raw layer, rejected rows into one table of
+    it, which is returned."""
+    found = check_source(spark, source_root)
+    rejected = {SNAPSHOT_TABLE: load_snapshots_to_raw(spark, wh, source_root, keep_other_months)}
     for name in REFERENCE_TABLES:
-        ok, bad = csv_ingest.load_reference(spark, source_root, name)
+        ok, rejected[name] = csv_ingest.load_reference(spark, source_root, name)
         wh.write("raw", name, ok.drop(csv_ingest.TABLE_COL))
-        rejected[name] = bad
     # any other CSV file is loaded too, with an inferred (widened) schema
-    known = {n.lower() for n in REFERENCE_TABLES}
-    for name, paths in sorted(csv_ingest.list_tables(spark, source_root).items()):
-        if "listing" in name or name.lower() in known:
+    for name, paths in sorted(found.items()):
+        if "listing" in name or name.lower() in REFERENCE_TABLES:
             continue
         schema = csv_ingest.infer_raw_schema(spark, paths)
-        ok, bad = csv_ingest.parse_typed(
-            csv_ingest.read_text_fields(spark, paths, schema.fieldNames()), schema)
+        ok, rejected[name] = csv_ingest.parse_typed(
+            csv_ingest.read_text_fields(spark, {name: paths}, schema.fieldNames()), schema)
         wh.write("raw", name, ok.drop(csv_ingest.TABLE_COL))
-        rejected[name] = bad
-    return rejected
+    return wh.write("raw", REJECTS, reduce(DataFrame.unionByName, (
+        reject_rows(name, bad) for name, bad in rejected.items())))
 
 
 def build_star(wh: Warehouse) -> None:
@@ -75,32 +97,42 @@ def build_star(wh: Warehouse) -> None:
     wh.write("staging", "stg_rental_f", fact)
 
 
-def build_marts(wh: Warehouse) -> dict[str, DataFrame]:
-    """Stage 8: the three marts from the warehouse dimensions."""
+def build_marts(wh: Warehouse, include_keys: bool = False) -> dict[str, DataFrame]:
+    """Stage 8: the three marts from the warehouse dimensions, in their published
+    shape (marts 1 and 2 without group keys) or with the keys. Returned are the
+    marts with keys, which an export needs for its order."""
     ld, hd = wh.read("datawarehouse", "listing_d"), wh.read("datawarehouse", "hosting_d")
-    built = {
-        "dm_listing_neighbourhood": marts.listing_neighbourhood_mart(ld, hd, True),
-        "dm_property_type": marts.property_type_mart(ld, hd, True),
-        "dm_host_neighbourhood": marts.host_neighbourhood_mart(ld, hd),
+    keyed = {
+        "dm_listing_neighbourhood": stored(marts.listing_neighbourhood_mart(ld, hd, True), "mart"),
+        "dm_property_type": stored(marts.property_type_mart(ld, hd, True), "mart"),
+        "dm_host_neighbourhood": stored(marts.host_neighbourhood_mart(ld, hd), "mart"),
     }
-    return {name: wh.write("datamart", name, df) for name, df in built.items()}
+    for name, df in keyed.items():
+        wh.write("datamart", name, df.drop(*([] if include_keys else HIDDEN_KEYS.get(name, ()))))
+    return keyed
 
 
 def run_pipeline(spark: SparkSession, source_root: str, warehouse_root: str,
-                 export_root: str | None = None, reset: bool = True) -> PipelineResult:
+                 export_root: str | None = None, reset: bool = True, include_keys: bool = False,
+                 names: bool = True) -> PipelineResult:
+    """Nothing is reset before the source has been found complete. With ``names``
+    the layers' tables can be queried as raw.x, staging.x, datawarehouse.x and
+    datamart.x; ``reset=False`` keeps months that the source no longer has."""
     ensure_checkpoint_dir(spark)
-    wh = Warehouse(spark, warehouse_root)
+    check_source(spark, source_root)
+    wh = Warehouse(spark, warehouse_root, names)
     if reset:
         wh.reset()                                                    # 1
-    rejected = load_raw(spark, wh, source_root)                       # 2
-    wh.copy("raw", "staging", [SNAPSHOT_TABLE, *REFERENCE_TABLES])    # 3
+    rejected = load_raw(spark, wh, source_root, not reset)            # 2
+    wh.copy("raw", "staging", [t for t in wh.tables("raw") if t != REJECTS])   # 3
     build_star(wh)                                                    # 4-6
     wh.promote(STAGE_TABLES)                                          # 7
-    built = build_marts(wh)                                           # 8
+    keyed = build_marts(wh, include_keys)                             # 8
     exports = {}
     if export_root:                                                   # 9
-        for name, df in built.items():
+        for name, df in keyed.items():
             path = f"{export_root.rstrip('/')}/{name}"
-            export_csv(df, path, [F.col(c).asc_nulls_last() for c in MART_ORDER[name]])
+            export_csv(df, path, [F.col(c).asc_nulls_last() for c in MART_ORDER[name]],
+                       () if include_keys else HIDDEN_KEYS.get(name, ()))
             exports[name] = path
-    return PipelineResult(wh, rejected, built, exports)
+    return PipelineResult(wh, rejected, {n: wh.read("datamart", n) for n in keyed}, exports)

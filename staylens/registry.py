@@ -355,3 +355,53 @@ def _adhoc_host_same_vs_diff(c: Ctx) -> DataFrame:
     return adhoc.host_same_vs_different(c.snapshot())
 
 
+# --------------------------------------------------------------------------
+# Specified orders as data: the row number in the order
+# --------------------------------------------------------------------------
+def _numbered(df: DataFrame, *order) -> DataFrame:
+    from staylens.plans.layers import with_row_number
+    return with_row_number(df, list(order))
+
+
+@register("order_listing_mart")
+def _order_listing_mart(c: Ctx) -> DataFrame:
+    """Mart 1 with its row number by (neighbourhood, month), nulls last."""
+    mart = marts.listing_neighbourhood_mart(c.listing_d(), c.host_d(), include_keys=True)
+    return _numbered(mart, *[F.col(k).asc_nulls_last() for k in (*marts.NEIGHBOURHOOD_KEYS, "s_date")])
+
+
+@register("order_property_mart")
+def _order_property_mart(c: Ctx) -> DataFrame:
+    """Mart 2 with its row number by (property keys, month), nulls last."""
+    mart = marts.property_type_mart(c.listing_d(), c.host_d(), include_keys=True)
+    return _numbered(mart, *[F.col(k).asc_nulls_last() for k in (*marts.PROPERTY_KEYS, "s_date")])
+
+
+@register("order_lga_revenue")
+def _order_lga_revenue(c: Ctx) -> DataFrame:
+    """Ad-hoc 3.a with its row number by falling revenue."""
+    return _numbered(adhoc.lga_revenue(c.listing_d(), c.lga_d(), c.census_d(), c.suburb_d()),
+                     F.col("revenue").desc_nulls_first(), F.col("listing_neighbourhood"))
+
+
+@register("order_best_listing_type")
+def _order_best_listing_type(c: Ctx) -> DataFrame:
+    """Ad-hoc 3.b with its row number by falling nights, then revenue."""
+    return _numbered(adhoc.best_listing_type(c.listing_d()), F.col("total_staying").desc_nulls_first(),
+                     F.col("revenue").desc_nulls_first(), "listing_neighbourhood", "property_type",
+                     "room_type", "accommodates")
+
+
+@register("order_host_same_vs_diff")
+def _order_host_same_vs_diff(c: Ctx) -> DataFrame:
+    """Ad-hoc 3.c with its row number by falling count, then host name."""
+    return _numbered(adhoc.host_same_vs_different(c.snapshot()),
+                     (F.col("same_neighbourhood") + F.col("different_neighbourhood")).desc(), F.col("host_name"))
+
+
+@register("order_revenue_vs_mortgage")
+def _order_revenue_vs_mortgage(c: Ctx) -> DataFrame:
+    """Ad-hoc 3.d with its row number by falling revenue, then mortgage."""
+    return _numbered(adhoc.revenue_vs_mortgage(c.listing_d(), c.lga_d(), c.census_d(), c.suburb_d()),
+                     F.col("estimated_revenue").desc_nulls_first(),
+                     F.col("median_mortgage_annaully").desc_nulls_first(), F.col("listing_neighbourhood"))

@@ -6,9 +6,10 @@ what is unset so the same code runs on ``local[N]`` for tests and benches.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark import SparkConf
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -73,6 +74,11 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def new_scratch_dir(spark: SparkSession, tag: str) -> str:
-    import uuid
     return f"{scratch_root(spark)}/{tag}-{uuid.uuid4().hex[:12]}"
 
+
+def stored(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written to a scratch table on the shared storage and read back."""
+    path = new_scratch_dir(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

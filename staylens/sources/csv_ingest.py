@@ -6,18 +6,24 @@ Rules of the modelled load (one file format for every file):
     (for Spark-written part files: the name of their folder);
   * ',' delimiter, one header line, '"' quotes honoured, gzip read
     transparently;
+  * columns are bound by header name, in any letter case and order; columns the
+    schema does not name are left out, a missing one is an error (or null if the
+    caller calls it optional). Only the LGA code file is read by position;
   * the tokens NULL and null and empty fields load as null;
   * short rows are padded with nulls and extra fields are ignored;
+  * a number with decimals in a whole-number column is rounded half up;
   * a row with a value that does not parse as its column's type is rejected
     and the load continues (rejects are returned, not lost).
 
-Every file is read in one distributed scan (no driver-side listing loop): the
-fields are read as text by position, then each typed column is a
-``try_cast``; a row is rejected when some non-null text failed to cast.
+Tables with the same header are read in one distributed scan; Spark checks every
+file's own header against it. The fields are read as text, then each typed
+column is a ``try_cast``; a row is rejected when some non-null text failed to
+cast.
 """
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,21 +50,6 @@ def table_name_of(path: Column) -> Column:
     return F.when(base.startswith("part-"), folder_value).otherwise(stem)
 
 
-def _existing(spark: SparkSession, patterns: Sequence[str]) -> list[str]:
-    """Keep the glob patterns that match at least one file (the reader fails
-    on a pattern without matches)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    keep = []
-    for p in patterns:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        fs = path.getFileSystem(conf)
-        found = fs.globStatus(path)
-        if found is not None and len(found) > 0:
-            keep.append(p)
-    return keep
-
-
 def list_tables(spark: SparkSession, root: str) -> dict[str, list[str]]:
     """Table name -> file paths under ``root`` (metadata only: the file
     listing, as the modelled job globs its data folder)."""
@@ -78,22 +69,44 @@ def list_tables(spark: SparkSession, root: str) -> dict[str, list[str]]:
     return tables
 
 
-def read_text_fields(spark: SparkSession, paths: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """All fields as text, by position, plus the source table name."""
-    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
-    paths = _existing(spark, paths)
-    if not paths:
-        return spark.createDataFrame([], schema.add(TABLE_COL, T.StringType()))
-    raw = (spark.read.schema(schema)
-           .option("header", True)
-           .option("mode", "PERMISSIVE")
-           .option("quote", '"')
-           .option("escape", '"')
-           .option("recursiveFileLookup", True)   # names come from paths, not partition discovery
-           .csv(list(paths)))
-    nulled = [F.when(F.col(c).isin(*NULL_TOKENS) | (F.col(c) == ""), F.lit(None))
-               .otherwise(F.col(c)).alias(c) for c in columns]
-    return raw.select(*nulled, table_name_of(F.col("_metadata.file_path")).alias(TABLE_COL))
+def _csv(spark: SparkSession):
+    return (spark.read.option("header", True).option("mode", "PERMISSIVE")
+            .option("quote", '"').option("escape", '"')
+            .option("recursiveFileLookup", True))  # names come from paths, not partition discovery
+
+
+def header_of(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """Column names in a file's first line."""
+    return tuple(_csv(spark).csv(path).columns)
+
+
+def _cleaned(fields: DataFrame, picked: Sequence[Column]) -> DataFrame:
+    nulled = [F.when(c.isin(*NULL_TOKENS) | (c == ""), F.lit(None)).otherwise(c) for c in picked]
+    return fields.select(*nulled, table_name_of(F.col("_metadata.file_path")).alias(TABLE_COL))
+
+
+def read_text_fields(spark: SparkSession, tables: dict[str, list[str]], columns: Sequence[str],
+                     optional: Sequence[str] = (), by_position: bool = False) -> DataFrame:
+    """The fields of ``tables`` (name -> files) as text, plus the table name.
+    Columns are found by header name, or by position."""
+    if not tables:
+        raise FileNotFoundError("no CSV file to load")
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for name in sorted(tables):
+        header = tuple(columns) if by_position else header_of(spark, tables[name][0])
+        groups.setdefault(header, []).extend(tables[name])
+    parts = []
+    for header, paths in groups.items():
+        schema = T.StructType([T.StructField(c, T.StringType(), True) for c in header])
+        fields = _csv(spark).schema(schema).option("enforceSchema", by_position).csv(paths)
+        found = {c.strip().lower(): c for c in reversed(header)}
+        missing = [c for c in columns if c.lower() not in found and c not in optional]
+        if missing:
+            raise ValueError(f"{paths[0]}: no column {', '.join(missing)} in its header")
+        picked = [F.col(f"`{found[c.lower()]}`") if c.lower() in found else F.lit(None).cast("string")
+                  for c in columns]
+        parts.append(_cleaned(fields, picked).toDF(*columns, TABLE_COL))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def parse_typed(text: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
@@ -104,7 +117,10 @@ def parse_typed(text: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataF
         if isinstance(f.dataType, T.StringType):
             typed.append(F.col(f.name).alias(f.name))
             continue
-        cast = F.expr(f"try_cast(`{f.name}` AS {f.dataType.simpleString()})")
+        text_of = f"`{f.name}`"
+        if isinstance(f.dataType, T.LongType):  # 100.0 is 100, 99.5 is 100
+            text_of = f"round(try_cast({text_of} AS decimal(38,6)))"
+        cast = F.expr(f"try_cast({text_of} AS {f.dataType.simpleString()})")
         typed.append(cast.alias(f.name))
         failed.append(F.when(F.col(f.name).isNotNull() & cast.isNull(), F.lit(f.name)))
     bad = F.concat_ws(",", *failed) if failed else F.lit("")
@@ -114,21 +130,20 @@ def parse_typed(text: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataF
     return loaded, rejected
 
 
-def load_csv(spark: SparkSession, paths: Sequence[str], schema: T.StructType,
-             name_filter: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Tolerant load of the files matching ``paths`` into ``schema``; with
-    ``name_filter`` only tables whose name contains it (case-sensitive)."""
-    text = read_text_fields(spark, paths, schema.fieldNames())
-    if name_filter is not None:
-        text = text.filter(F.col(TABLE_COL).contains(name_filter))
-    return parse_typed(text, schema)
+def snapshot_tables(spark: SparkSession, root: str) -> dict[str, list[str]]:
+    """The monthly listing files under ``root``, by table name."""
+    found = {n: p for n, p in list_tables(spark, root).items() if "listing" in n}
+    if not found:
+        raise FileNotFoundError(f"no listing file in {root}")
+    return found
 
 
 def load_snapshots(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """Every monthly listing file under ``root`` (tables named like
     ``listing_MM_YYYY``), appended into one DataFrame (implicit UNION ALL)."""
     from staylens.schemas import SNAPSHOT_SCHEMA
-    return load_csv(spark, csv_globs(root), SNAPSHOT_SCHEMA, name_filter="listing")
+    return parse_typed(read_text_fields(spark, snapshot_tables(spark, root), SNAPSHOT_SCHEMA.fieldNames()),
+                       SNAPSHOT_SCHEMA)
 
 
 def load_reference(spark: SparkSession, root: str, name: str) -> tuple[DataFrame, DataFrame]:
@@ -136,22 +151,19 @@ def load_reference(spark: SparkSession, root: str, name: str) -> tuple[DataFrame
     nsw_lga_suburb), matched by table name case-insensitively."""
     from staylens.schemas import RAW_SCHEMAS
     schema = RAW_SCHEMAS[name]
-    text = read_text_fields(spark, csv_globs(root), schema.fieldNames())
-    text = text.filter(F.lower(F.col(TABLE_COL)) == name.lower())
-    return parse_typed(text, schema)
+    tables = {n: p for n, p in list_tables(spark, root).items() if n.lower() == name.lower()}
+    if not tables:
+        raise FileNotFoundError(f"no file {name} in {root}")
+    return parse_typed(read_text_fields(spark, tables, schema.fieldNames(),
+                                        by_position=name == "nsw_lga_code"), schema)
 
 
-def infer_raw_schema(spark: SparkSession, paths: Sequence[str],
-                     sampling_ratio: float = 1.0) -> T.StructType:
+def infer_raw_schema(spark: SparkSession, paths: Sequence[str]) -> T.StructType:
     """Schema of an arbitrary CSV file set, for files without a declared
     schema: inferred column types widened the way the raw layer stores them
     (integers -> bigint, floating -> double, dates and timestamps -> text,
-    since dates stay text in every layer). Inference reads the sampled rows
-    once; declared schemas (schemas.RAW_SCHEMAS, SNAPSHOT_SCHEMA) skip it."""
-    paths = _existing(spark, paths)
-    inferred = (spark.read.option("header", True).option("inferSchema", True)
-                .option("samplingRatio", sampling_ratio)
-                .option("recursiveFileLookup", True).csv(list(paths)).schema)
+    since dates stay text in every layer). Inference reads all rows once; declared schemas (schemas.RAW_SCHEMAS, SNAPSHOT_SCHEMA) skip it."""
+    inferred = _csv(spark).option("inferSchema", True).csv(list(paths)).schema
     widened = []
     for f in inferred.fields:
         t = f.dataType
@@ -165,8 +177,13 @@ def infer_raw_schema(spark: SparkSession, paths: Sequence[str],
     return T.StructType(widened)
 
 
+def csv_writer(df: DataFrame):
+    """Writer whose files the loader reads back unchanged: doubled quotes, blanks kept."""
+    return (df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+
+
 def write_csv_tables(df: DataFrame, root: str, table_col: str = TABLE_COL) -> None:
-    """Write one folder of CSV part files per table name (header, '"' quotes);
-    ``table_name_of`` reads the folder name back as the table name."""
-    (df.write.mode("overwrite").option("header", True)
-       .partitionBy(table_col).csv(root))
+    """Write one folder of CSV part files per table name; ``table_name_of``
+    reads the folder name back as the table name."""
+    csv_writer(df).partitionBy(table_col).csv(root)

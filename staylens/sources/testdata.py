@@ -21,13 +21,10 @@ census counts from customer market segments per nation.
 from __future__ import annotations
 
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staylens import schemas
-from staylens.session import scratch_root
 
 LGA_CODE_BASE = 10000
 
@@ -49,10 +46,7 @@ def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     sn = nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("s_nation"))
     cn = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("c_nation"))
 
-    # lineitem x orders is a shuffle join at any real scale; saying so keeps
-    # the remaining (broadcast) joins spread over the shuffle's partitions
-    # instead of the scan's, which can be a single row group
-    rows = (li.join(orders.hint("shuffle_hash"), li.l_orderkey == orders.o_orderkey)
+    rows = (li.join(orders, li.l_orderkey == orders.o_orderkey)
               .join(part, li.l_partkey == part.p_partkey)
               .join(supp, li.l_suppkey == supp.s_suppkey)
               .join(sn, "s_nationkey")
@@ -154,22 +148,11 @@ def census_02(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_STAGED: dict[tuple[str, str], str] = {}
-
-
 def staged_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The snapshot written once per session as a parquet table in the shared
-    scratch folder (the raw layer it stands in for); later queries scan it
-    with column pruning instead of re-running the adapter joins."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    path = _STAGED.get(key)
-    if path is None:
-        path = f"{scratch_root(spark)}/inputs-{uuid.uuid4().hex[:12]}/snapshot"
-        n = max(spark.sparkContext.defaultParallelism,
-                int(spark.conf.get("spark.sql.shuffle.partitions")))
-        snapshot(spark, sf_dir).repartition(n).write.mode("overwrite").parquet(path)
-        _STAGED[key] = path
-    return spark.read.parquet(path)
+    """The snapshot, cached when a query first runs over it. Later queries build
+    the same plan and so find the cached columns; a lost executor's part is
+    computed again from the tables."""
+    return snapshot(spark, sf_dir).persist()
 
 
 class Inputs:

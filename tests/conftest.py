@@ -13,6 +13,7 @@ def spark():
     s = get_session("local[4]", app="staylens-tests", shuffle_partitions=4, driver_memory="4g",
                     extra={"spark.ui.showConsoleProgress": "false",
                            "spark.sql.autoBroadcastJoinThreshold": "10m"})
+    s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
 

@@ -29,4 +29,5 @@ def dims(spark, rows):
 
 
 def rows_of(df):
-    return [r.asDict() for r in df.collect()]
+    """Rows as dictionaries, of a DataFrame or of the brute-force marts."""
+    return df if isinstance(df, list) else [r.asDict() for r in df.collect()]

@@ -42,7 +42,8 @@ _CON = {}
 def _duck():
     if "con" not in _CON:
         con = duckdb.connect()
-        for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem"):
+        for t in ("region nation customer supplier part orders lineitem documents embeddings pages "
+                  "benchmark labels conversations").split():
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
         _CON["con"] = con
     return _CON["con"]

@@ -57,7 +57,7 @@ def test_infer_raw_schema_widens(spark, tmpdir_path):
     from pyspark.sql import types as T
     with open(f"{tmpdir_path}/extra.csv", "w") as fh:
         fh.write("Code,Ratio,Day,Name\n1,0.5,2020-01-02,a\n2,1.5,2020-01-03,b\n")
-    s = csv_ingest.infer_raw_schema(spark, [f"{tmpdir_path}/*.csv"])
+    s = csv_ingest.infer_raw_schema(spark, [f"{tmpdir_path}/extra.csv"])
     assert [(f.name, f.dataType) for f in s.fields] == [
         ("code", T.LongType()), ("ratio", T.DoubleType()), ("day", T.StringType()),
         ("name", T.StringType())]
@@ -96,3 +96,55 @@ def test_list_tables_names_part_files_by_folder(spark, tmpdir_path):
     names = {r.n for r in back.select(csv_ingest.table_name_of(F.col("_metadata.file_path")).alias("n"))
              .distinct().collect()}
     assert names == set(tables)
+
+
+def _listing(root, name, header, *lines):
+    os.makedirs(root, exist_ok=True)
+    with open(f"{root}/{name}.csv", "w") as fh:
+        fh.write("\n".join([",".join(header), *lines]) + "\n")
+
+
+def test_columns_bind_by_header_name(spark, tmpdir_path):
+    names = [n for n, _ in schemas.SNAPSHOT_FIELDS]
+    swapped = [n.upper() for n in reversed(names)] + ["OTHER"]
+    values = dict.fromkeys(names, "") | {"listing_id": "1", "price": "100", "accommodates": "2"}
+    _listing(tmpdir_path, "listing_05_2020", names, ",".join(values[n] for n in names))
+    _listing(tmpdir_path, "listing_06_2020", swapped, ",".join(values[n.lower()] for n in swapped[:-1]) + ",x")
+    loaded, rejected = csv_ingest.load_snapshots(spark, tmpdir_path)
+    assert {(r.source_table, r.listing_id, r.price, r.accommodates) for r in loaded.collect()} == {
+        ("listing_05_2020", 1, 100, 2), ("listing_06_2020", 1, 100, 2)}
+    assert rejected.count() == 0
+
+
+def test_missing_column_is_an_error_and_optional_is_null(spark, tmpdir_path):
+    import pytest
+    _listing(tmpdir_path, "listing_05_2020", ["LISTING_ID", "PRICE"], "1,100")
+    with pytest.raises(ValueError, match="scrape_id"):
+        csv_ingest.load_snapshots(spark, tmpdir_path)
+    text = csv_ingest.read_text_fields(spark, csv_ingest.snapshot_tables(spark, tmpdir_path),
+                                       ["price", "host_name"], optional=["host_name"])
+    assert [tuple(r) for r in text.collect()] == [("100", None, "listing_05_2020")]
+    with pytest.raises(FileNotFoundError):
+        csv_ingest.load_snapshots(spark, f"{tmpdir_path}/nowhere")
+
+
+def test_decimals_in_whole_number_columns_round(spark, tmpdir_path):
+    names = [n for n, _ in schemas.SNAPSHOT_FIELDS]
+    def line(price):
+        return ",".join((dict.fromkeys(names, "") | {"listing_id": "1", "price": price})[n] for n in names)
+    _listing(tmpdir_path, "listing_05_2020", names, *map(line, ["100.0", "99.5", "-3", "1e2", "12x", "1 000"]))
+    loaded, rejected = csv_ingest.load_snapshots(spark, tmpdir_path)
+    assert sorted(r.price for r in loaded.collect()) == [-3, 100, 100, 100]
+    assert sorted(r.price for r in rejected.collect()) == ["1 000", "12x"]
+
+
+def test_written_csv_reads_back_unchanged(spark, tmpdir_path):
+    names = ['A "b", c ', " x", 'An "x", y', "plain", "back\\slash"]
+    fields = [n for n, _ in schemas.SNAPSHOT_FIELDS]
+    from tests.helpers import snapshot_df, snap_row
+    from pyspark.sql import functions as F
+    rows = snapshot_df(spark, [snap_row(k, "2020-05", host=n) for k, n in enumerate(names)])
+    csv_ingest.write_csv_tables(rows.withColumn("source_table", F.lit("listing_05_2020")), f"{tmpdir_path}/w")
+    loaded, rejected = csv_ingest.load_snapshots(spark, f"{tmpdir_path}/w")
+    assert sorted(map(str, loaded.select(fields).collect())) == sorted(map(str, rows.select(fields).collect()))
+    assert rejected.count() == 0

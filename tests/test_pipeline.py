@@ -2,6 +2,8 @@ import csv
 import glob
 import os
 
+import pytest
+
 from staylens import schemas
 from staylens.plans import marts, pipeline
 from tests.helpers import FIELDS, dims, rows_of, snap_row as r
@@ -42,7 +44,7 @@ def _sources(root):
 
 
 def _snap(wh, layer, name):
-    return sorted(tuple(x.values()) for x in rows_of(wh.read(layer, name)))
+    return sorted((tuple(x.values()) for x in rows_of(wh.read(layer, name))), key=str)
 
 
 def test_pipeline_end_to_end_and_idempotent(spark, tmpdir_path):
@@ -66,7 +68,8 @@ def test_pipeline_end_to_end_and_idempotent(spark, tmpdir_path):
     # the warehouse mart equals the mart computed directly from the rows
     all_rows = [x for rows in ROWS.values() for x in rows]
     ld, hd = dims(spark, all_rows)
-    direct = sorted(tuple(x.values()) for x in rows_of(marts.listing_neighbourhood_mart(ld, hd, True)))
+    direct = sorted((tuple(x.values()) for x in rows_of(marts.listing_neighbourhood_mart(ld, hd))), key=str)
+    assert wh.read("datamart", "dm_listing_neighbourhood").columns == marts.MART_COLUMNS
     assert _snap(wh, "datamart", "dm_listing_neighbourhood") == direct
     first = {t: _snap(wh, "datamart", t) for t in pipeline.MART_ORDER}
     # export layout: unnamed row-number column, upper-case names
@@ -78,7 +81,55 @@ def test_pipeline_end_to_end_and_idempotent(spark, tmpdir_path):
     pipeline.run_pipeline(spark, src, wh_root, out)
     assert {t: _snap(wh, "datamart", t) for t in pipeline.MART_ORDER} == first
     assert wh.read("datawarehouse", "listing_d").count() == 6
-    # reset keeps the tables, empties them
-    done = wh.reset()
-    assert "datamart.dm_host_neighbourhood" in done
-    assert wh.read("datamart", "dm_host_neighbourhood").count() == 0
+    # every loaded table is in staging, with its partitions; all tables have names
+    assert {pipeline.SNAPSHOT_TABLE, *pipeline.REFERENCE_TABLES, "extra_rates"} <= set(wh.tables("staging"))
+    assert wh.partition_columns("staging", pipeline.SNAPSHOT_TABLE) == ["source_table"]
+    assert spark.sql("SELECT count(*) AS n FROM staging.listing_snapshots WHERE source_table = 'listing_05_2020'"
+                     ).first().n == 3
+    assert spark.table("datamart.dm_host_neighbourhood").count() == wh.read("datamart", "dm_host_neighbourhood").count()
+    assert spark.table(f"raw.{pipeline.REJECTS}").count() == 0
+    # reset keeps every table and empties it
+    tables = {f"{layer}.{t}" for layer in schemas.LAYERS for t in wh.tables(layer)}
+    columns = {t: spark.table(t).columns for t in tables}
+    assert set(wh.reset()) == tables
+    for t in tables:
+        assert wh.read(*t.split(".")).count() == 0 and spark.table(t).columns == columns[t]
+
+
+def test_withdrawn_file_disappears_and_missing_source_touches_nothing(spark, tmpdir_path):
+    src, wh_root = f"{tmpdir_path}/src", f"{tmpdir_path}/wh"
+    _sources(src)
+    wh = pipeline.run_pipeline(spark, src, wh_root, names=False).warehouse
+    assert wh.read("datawarehouse", "listing_d").count() == 6
+    os.remove(f"{src}/listings/listing_06_2020.csv")
+    kept = pipeline.run_pipeline(spark, src, wh_root, reset=False, names=False).warehouse
+    assert kept.read("raw", pipeline.SNAPSHOT_TABLE).count() == 6     # without a reset it stays
+    pipeline.run_pipeline(spark, src, wh_root, names=False)
+    assert wh.read("raw", pipeline.SNAPSHOT_TABLE).count() == 3
+    assert wh.read("datawarehouse", "listing_d").count() == 3
+    for gone in ("listings/listing_05_2020.csv", "census_02.csv"):
+        os.remove(f"{src}/{gone}")
+        with pytest.raises(FileNotFoundError):
+            pipeline.run_pipeline(spark, src, wh_root, names=False)
+        assert wh.read("datawarehouse", "listing_d").count() == 3
+        _sources_again = f"{tmpdir_path}/again"
+        if not os.path.isdir(_sources_again):
+            _sources(_sources_again)
+            os.replace(f"{_sources_again}/listings/listing_05_2020.csv", f"{src}/listings/listing_05_2020.csv")
+
+
+def test_rejects_are_stored_and_a_failed_write_keeps_the_table(spark, tmpdir_path):
+    src = f"{tmpdir_path}/src"
+    _sources(src)
+    with open(f"{src}/listings/listing_05_2020.csv", "a") as fh:
+        fh.write("77," + ",".join("oops" if f == "price" else "" for f in FIELDS[1:]) + "\n")
+    res = pipeline.run_pipeline(spark, src, f"{tmpdir_path}/wh", names=False)
+    (bad,) = res.warehouse.read("raw", pipeline.REJECTS).collect()
+    assert (bad.target_table, bad.source_table, bad.reject_columns) == (
+        pipeline.SNAPSHOT_TABLE, "listing_05_2020", "price")
+    assert bad.fields["listing_id"] == "77" and bad.fields["price"] == "oops"
+    from pyspark.sql import functions as F
+    failing = spark.range(3).select(F.raise_error(F.lit("no")).alias("x"))
+    with pytest.raises(Exception, match="no"):
+        res.warehouse.write("raw", "census_01", failing)
+    assert res.warehouse.read("raw", "census_01").count() == 2

@@ -1,6 +1,8 @@
 """Structural property of the mart plans: every join input is an aggregate
 (or another join), never raw snapshot rows, so no listing x host row pairs
 are ever produced."""
+import re
+
 import pytest
 
 from staylens.plans import marts
@@ -18,6 +20,9 @@ def _children(node):
 def _input_kind(node):
     while node.nodeName() in PASS_THROUGH:
         node = _children(node)[0]
+    columns = node.schema().fieldNames() if node.nodeName() == "LogicalRelation" else []
+    if sorted(columns) == ["host_neighbourhood", "host_neighbourhood_lga"]:
+        return "Mapping"  # the stored area mapping of mart 3
     return node.nodeName()
 
 
@@ -46,5 +51,27 @@ def test_mart_joins_only_aggregated_inputs(spark, tmpdir_path, build):
     plan = build(l2, h2)._jdf.queryExecution().optimizedPlan()
     joins = _join_inputs(plan)
     assert joins, "expected joins in the mart plan"
-    bad = [j for j in joins if any(k not in ("Aggregate", "Join") for k in j)]
+    bad = [j for j in joins if any(k not in ("Aggregate", "Join", "Mapping") for k in j)]
     assert not bad, bad
+
+
+def test_mart3_broadcasts_the_mapping_and_leaves_host_rows_in_place(spark, tmpdir_path):
+    ld, hd = dims(spark, [r(k, f"2020-0{1 + k % 9}", host=f"h{k}", superhost="t") for k in range(50)])
+    ld.write.parquet(f"{tmpdir_path}/l"); hd.write.parquet(f"{tmpdir_path}/h")
+    mart = marts.host_neighbourhood_mart(spark.read.parquet(f"{tmpdir_path}/l"), spark.read.parquet(f"{tmpdir_path}/h"))
+    plan = mart._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\(host_neighbourhood#\d+, \d+\)", plan)
+    assert re.search(r"BroadcastHashJoin \[host_neighbourhood#\d+\], \[host_neighbourhood#\d+\], Inner, BuildRight", plan)
+
+
+def test_mart3_with_one_hot_host_area_and_one_hot_listing(spark):
+    from tests import brute
+    from tests.helpers import rows_of
+    rows = [r(1 if k % 2 else k, f"2020-0{1 + k % 9}", nb="A" if k % 5 else "B", host=f"h{k % 37}", price=k,
+              host_nb="hot" if k % 3 else f"n{k % 4}") for k in range(240)]
+    ld, hd = dims(spark, rows)
+    def norm(x):
+        return sorted(map(str, rows_of(x)))
+    assert norm(marts.host_neighbourhood_mart(ld, hd)) == norm(brute.host_neighbourhood_mart(ld, hd))
+    keys = ["listing_neighbourhood"]
+    assert norm(marts.active_listing_stats(ld, hd, keys)) == norm(brute.active_listing_stats(ld, hd, keys))

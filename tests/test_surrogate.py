@@ -21,15 +21,20 @@ def test_row_number_follows_order(spark):
     assert all(r.row_no == r.k for r in rows)
 
 
-def test_shuffled_input_is_checkpointed_scan_is_not(spark, tmpdir_path):
-    from staylens.operators.surrogate import has_shuffle
-    spark.range(0, 100, 1, 4).select(F.col("id").alias("v")).write.parquet(f"{tmpdir_path}/t")
-    scan = spark.read.parquet(f"{tmpdir_path}/t").filter("v % 2 = 0")
-    assert not has_shuffle(scan)
-    shuffled = scan.groupBy((F.col("v") % 7).alias("k")).count()
-    assert has_shuffle(shuffled)
-    for df in (scan, shuffled):
-        out = with_surrogate_id(df)
-        n = df.count()
-        r = out.agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count_distinct("id").alias("d")).first()
-        assert (r.lo, r.hi, r.d) == (1, n, n)
+def test_ids_do_not_depend_on_how_scans_split_files(spark, tmpdir_path):
+    """The split size changes between building the ids and using them."""
+    spark.range(0, 20_000, 1, 4).select(F.col("id").alias("v")).write.parquet(f"{tmpdir_path}/t")
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    try:
+        for built, used in (("1m", "4k"), ("4k", "1m"), ("2k", "64k")):
+            spark.conf.set(key, built)
+            scan = spark.read.parquet(f"{tmpdir_path}/t").filter("v % 2 = 0")
+            outs = [with_surrogate_id(scan), with_surrogate_id(scan.groupBy("v").count())]
+            spark.conf.set(key, used)
+            for out in outs:
+                r = out.agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count_distinct("id").alias("d"),
+                            F.count_distinct("v").alias("v")).first()
+                assert (r.lo, r.hi, r.d, r.v) == (1, 10_000, 10_000, 10_000)
+    finally:
+        spark.conf.set(key, before)
