@@ -32,9 +32,10 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cleaned = line_dedup.dedup_lines(docs)
-    emptied = (F.col("lines_removed") > 0) & (F.trim("text") == "")
-    return cleaned.where(~F.coalesce(emptied, F.lit(False))).select(*docs.columns)
+    count = "lines_removed" + "_" * len(docs.columns)  # no column of the table
+    emptied = (F.col(count) > 0) & (F.trim("text") == "")
+    return (line_dedup.dedup_lines(docs, count_column=count)
+            .where(~F.coalesce(emptied, F.lit(False))).select(*docs.columns))
 
 
 def ngram_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +45,7 @@ def ngram_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs).orderBy("slot", "offset").select(*docs.columns)
+    return mixing.in_order(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

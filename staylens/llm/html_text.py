@@ -204,14 +204,14 @@ def content_paths(kept: list[tuple[str, str, bool]]) -> set[tuple[str, bool]]:
     dotted = _smooth([(s[1] + 0.5) / s[2] / mean_signs for s in by_block])
     weight = [MARKED_WEIGHT if m else 1.0 for _, _, m in kept]
     fused = [math.sqrt(a * b) * w for a, b, w in zip(long, dotted, weight)]
-    best: dict[tuple[str, bool], float] = {}
+    level: dict[tuple[str, bool], float] = {}
     for (p, _, m), f in zip(kept, fused):
-        best[p, m] = max(best.get((p, m), 0.0), f)
+        level[p, m] = level.get((p, m), 0.0) + f / length[p, m][2]
     # text-weighted mean, so that a page of one long article and many short links has a high bar
     bar = THRESHOLD * sum(f * s[0] / s[2] for f, s in zip(fused, by_block)) / sum(s[0] / s[2] for s in by_block)
     some_marked = any(m for _, _, m in kept)
     # a marked article's own blocks all belong to it, however short
-    return {k for k, f in best.items() if (k[1] if some_marked else f >= bar)}
+    return {k for k, f in level.items() if (k[1] if some_marked else f >= bar)}
 
 
 def main_text(page: str | None) -> str:

@@ -38,7 +38,8 @@ def fitted(sample: DataFrame, fit: Callable[[list[str], np.ndarray], dict]) -> d
         rows = rows.sort_values(["doc_id", "text"])
         yield pd.DataFrame({"model": [pickle.dumps(fit(rows["text"].tolist(), rows["label"].to_numpy()))]})
 
-    return pickle.loads(sample.repartition(1).mapInPandas(train, "model binary").first()["model"])
+    made = sample.repartition(1).mapInPandas(train, "model binary").first()
+    return pickle.loads(made["model"]) if made else fit([], np.zeros(0))  # no row, no task
 
 
 def scored(docs: DataFrame, score, folds: int, held_out: int, threshold: float = 0.3) -> DataFrame:

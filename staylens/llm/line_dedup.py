@@ -56,8 +56,10 @@ def line_spread(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     return stored(candidates.select("line_hash", "keeper").join(short, "line_hash", "left_anti"), "spread")
 
 
-def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
-    """``docs`` with boilerplate lines removed, plus ``lines_removed``."""
+def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES,
+                count_column: str = "lines_removed") -> DataFrame:
+    """``docs`` with boilerplate lines removed, plus how many (in ``count_column``,
+    which takes the place of a column with its name)."""
     lost = (_lines(docs).join(line_spread(docs, min_sites), "line_hash")
             .where(~F.col("doc_id").eqNullSafe(F.col("keeper.doc_id")))
             .groupBy("doc_id").agg(F.collect_set("line_hash").alias("lost"))
@@ -71,9 +73,9 @@ def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     joined = (joined.withColumn("kept", F.when(hit, kept))
               .withColumn("text", F.when(hit, F.array_join("kept", "\n")).otherwise(F.col("row.text"))))
     new = {"text": F.col("text"), "n_chars": F.length("text").cast("bigint")}
-    cols = [new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns]
+    cols = [new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns if c != count_column]
     removed = F.when(hit, F.size(split) - F.size("kept")).otherwise(F.lit(0)).cast("bigint")
-    return joined.select(*cols, removed.alias("lines_removed"))
+    return joined.select(*cols, removed.alias(count_column))
 
 
 #: The same rows by exact counting.

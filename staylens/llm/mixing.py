@@ -85,10 +85,10 @@ def schedule(share: DataFrame) -> DataFrame:
                     F.col("pick.j").alias("j"), F.col("t").cast("bigint").alias("t"), "d"))
 
 
-def mix(docs: DataFrame, weights: dict[str, float] | None = None,
-        block_rows: int = BLOCK_ROWS, period: int = PERIOD) -> DataFrame:
-    """``docs`` plus ``block`` (of its source, from 0), ``slot`` (of the block in
-    the mix) and ``offset`` (in the block)."""
+def place(docs: DataFrame, weights: dict[str, float] | None = None,
+          block_rows: int = BLOCK_ROWS, period: int = PERIOD) -> DataFrame:
+    """(row, block, slot, offset): each row of ``docs`` as a struct with its block of
+    its source (from 0), the block's slot in the mix and the place in the block."""
     digits = max(1, math.ceil(math.log(max(2, docs.count() / ROWS_PER_SHARD), 16)))
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     row = (row.withColumn("key", _key(F.col("row.source")))
@@ -112,8 +112,22 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None,
               .withColumn("j", F.expr("block % own"))
               .join(order, ["key", "j"])
               .withColumn("slot", F.expr("(block div own) * d + t")))
-    return placed.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns],
-                         "block", "slot", "offset")
+    return placed.select("row", "block", "slot", "offset")
+
+
+def mix(docs: DataFrame, weights: dict[str, float] | None = None,
+        block_rows: int = BLOCK_ROWS, period: int = PERIOD) -> DataFrame:
+    """``docs`` plus ``block``, ``slot`` and ``offset`` of ``place``, which take the
+    place of columns with these names."""
+    own = ("block", "slot", "offset")
+    kept = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in own]
+    return place(docs, weights, block_rows, period).select(*kept, *own)
+
+
+def in_order(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
+    """``docs`` sorted by their place in the mix."""
+    return (place(docs, weights).orderBy("slot", "offset")
+            .select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns]))
 
 
 #: The same order, slot by slot in a recursive statement.

@@ -11,8 +11,7 @@ scoring goes over all texts, slice by slice, with the fitted arrays (about
 100 kB, fixed) broadcast.
 
 Edge cases: null or empty text is one passage without words; without labels of
-both classes every score is the share of label 1 (1 without any label, so that
-nothing is rejected unlearnt); repeated rows are scored alike; other columns
+both classes every score is 1, so that nothing is rejected unlearnt; repeated rows are scored alike; other columns
 are ignored; an empty table gives an empty result.
 """
 from __future__ import annotations
@@ -104,7 +103,7 @@ def fit(texts: list[str], labels: np.ndarray, steps: int = 160, seed: int = 7) -
     """Fitted arrays; only a constant if a class is missing."""
     y = np.asarray(labels, np.float32)
     if len(set(y)) < 2:
-        return {"constant": float(y.mean()) if len(y) else 1.0}
+        return {"constant": 1.0}
     parts = [(at, *passages(run)) for at, run in slices(texts)]
     doc = np.concatenate([d + at for at, d, _, _ in parts])
     total, x = (np.concatenate([q[k] for q in parts]) for k in (2, 3))

@@ -156,10 +156,13 @@ def search(found: TopK, data: CoverTree) -> None:
         order = np.argsort(-b)
         cand, b = cand[order], b[order]
         size = np.cumsum(data.end[cand] - data.begin[cand])
-        at = 0
+        at, room = 0, 512 if np.isfinite(found.least[lo:hi]).all() else 2 * found.k  # few until there is a bound
         while at < len(cand):
-            stop = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + 512, "right")))
-            if b[at] * (1 + 1e-9 * np.sign(b[at])) < found.least[lo:hi].min():
+            stop = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + room, "right")))
+            room = 512
+            able = b * (1 + 1e-9 * np.sign(b)) >= found.least[lo:hi].min()  # falling bounds: a prefix
+            stop = min(stop, int(able.sum()))
+            if stop <= at:
                 return
             rows = np.concatenate([np.arange(data.begin[c], data.end[c]) for c in cand[at:stop]])
             found.offer(lo, hi, data.ids[rows], data.points[rows])

@@ -1,0 +1,94 @@
+import html
+import os
+import re
+
+import pytest
+
+import corpus_pipeline
+from staylens.llm import html_text
+
+SF = "/root/testdata/sf0.001"
+ARTICLE = ("<article><h1>The title</h1><p>First para, with <b>bold</b> text &amp; a&nbsp;sign.<br>Next line."
+           "<p>Second, unclosed.</p><ul><li>one<li>two</ul></article>")
+MAIN = "The title\nFirst para, with bold text & a sign. Next line.\nSecond, unclosed.\none\ntwo"
+AROUND = ['<nav><ul><li><a href="/a">Menu, one</a></li></ul></nav>{}', "{}<footer>&copy; 2020, all.</footer>",
+          "<header><h1>Site, name</h1></header>{}", '<div class="sidebar"><p>Side text, long enough. Really.</p></div>{}',
+          '{}<section id="comments"><article class="comment"><p>I agree, a lot. Yes.</p></article></section>',
+          '<div class="cookie-notice"><p>We use cookies, here. Fine.</p></div>{}', "{}<form><p>Mail, please.</p><input></form>",
+          '<script>var t="</p>";</script><style>p{{}}</style>{}', '<!-- a <p>note</p> -->{}<div class="ad">Buy, now.</div>',
+          "<aside><p>Related, things.</p></aside>{}", '<div role="navigation">Go, there.</div>{}', "<html><body>{}", "{}</div></p>"]
+
+
+@pytest.mark.parametrize("around", AROUND)
+def test_article_without_its_surroundings(around):
+    assert html_text.main_text(around.format(ARTICLE)) == MAIN
+
+
+def test_paths_select_content_where_nothing_is_marked():
+    links = "".join(f'<div><a href="/{k}">Link {k}</a></div>' for k in range(20))
+    paras = [f"Paragraph {k} goes on for a while, with commas, and stops. Then it goes on again." for k in range(6)]
+    page = f"<body><table><tr><td>{links}</td></tr></table><div><div>" + "".join(f"<p>{p}</p>" for p in paras) + "</div></div></body>"
+    assert html_text.main_text(page) == "\n".join(paras)
+
+
+@pytest.mark.parametrize("page,text", [
+    (None, ""), ("", ""), ("  ", ""), ("just &lt;text&gt;", "just <text>"), ("<", "<"), ("<p", ""), ("</p>", ""),
+    ("<p>x < y</p><p>3<4", "x < y\n3<4"), ("<p>a<div>b</div>c", "a\nb\nc"), ("<div" * 3, ""), ("<p>&#x41;&eacute;&unknown;</p>", "Aé&unknown;")])
+def test_odd_markup(page, text):
+    assert html_text.main_text(page) == text
+
+
+def test_extract_keeps_every_row(spark):
+    rows = [(1, "u", ARTICLE, "x"), (1, "u", ARTICLE, "x"), (2, None, None, "y"), (None, "v", "<p>" + "long, text. " * 50_000, "z")]
+    got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
+    assert [(r["page_id"], r["url"], r["n_chars"]) for r in got][:3] == [(1, "u", len(MAIN)), (1, "u", len(MAIN)), (2, None, 0)]
+    assert got[3]["text"] == ("long, text. " * 50_000).strip()
+    assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
+def test_given_pages_give_their_articles(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    got = {r["page_id"]: r["text"] for r in html_text.extract(pages).collect()}
+    for r in pages.collect():
+        inner = re.search(r"<article>(.*)</article>", r["html"], re.S)[1]
+        parts = (re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]*>", " ", x))).strip() for x in re.split(r"</?(?:h1|p)>", inner))
+        assert got[r["page_id"]] == "\n".join(x for x in parts if x)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
+def test_pipeline_stages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns, steps = docs.columns, []
+    at = docs
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, at, SF)
+        at = spark.createDataFrame(out.collect(), out.schema)
+        steps.append((name, at))
+        if name != "packing":
+            assert at.columns == columns
+    rows = {n: d.collect() for n, d in steps}
+    ids = {n: [r["doc_id"] for r in d] for n, d in rows.items()}
+    good = {r["doc_id"] for r in spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1").collect()}
+    junk = {r["doc_id"] for r in spark.read.parquet(f"{SF}/labels.parquet").where("quality = 0").collect()}
+    assert len(good & set(ids["quality"])) >= 0.97 * len(good) and len(junk & set(ids["quality"])) <= 0.1 * len(junk)
+    assert set(ids["ngram_join"]) <= set(ids["line_dedup"]) <= set(ids["quality"])
+    assert sorted(ids["mixing"]) == sorted(ids["ngram_join"])
+    assert set(ids["packing"]) == set(ids["mixing"])
+    sets = {}
+    for r in rows["ngram_join"]:  # one of each group is left
+        w = r["text"].encode().lower().split()
+        sets[r["doc_id"]] = {tuple(w[k:k + 4]) for k in range(max(1, len(w) - 3))} if w else set()
+    left = list(sets.values())
+    assert not any(a and b and 100 * len(a & b) >= 85 * len(a | b) for i, a in enumerate(left) for b in left[:i])
+
+
+def test_stages_on_empty_and_odd_documents(spark, documents, tmpdir_path):
+    spark.createDataFrame([(1, 1, 0), (2, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmpdir_path}/labels.parquet")
+    odd = [(1, None, None), (2, "", "a"), (None, "some words here", "b"), (4, "x" * 50_000, "a"), (4, "x" * 50_000, "a")]
+    for rows in ([], odd):
+        at = documents(rows)
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, at, tmpdir_path)
+            at = spark.createDataFrame(out.collect(), out.schema)
+        assert at.count() == 0 if not rows else at.count() > 0
