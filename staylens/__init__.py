@@ -7,7 +7,7 @@ Sub-packages:
   operators  - reusable DataFrame operators (fan-out join pre-aggregation,
                month series with LAG, argmax with ties, surrogate keys)
   plans      - star schema, marts, ad-hoc queries, layers, the full pipeline
-  streaming  - intentionally empty (the modelled job is batch only)
+  llm        - operators of a training-data pipeline (optional, see README)
 """
 
 __version__ = "0.1.0"

@@ -17,7 +17,7 @@ from staylens.functions import hundred, is_false_flag, is_true_flag, month_of, r
 from staylens.operators.argmax import argmax_with_ties
 from staylens.operators.fanout import (
     MONTH, keyed_month_distinct_hosts, keyed_month_median_price, keyed_month_stats,
-    monthly_activity, pair_counts)
+    pair_counts)
 from staylens.operators.series import month_change_series
 from staylens.session import stored
 
@@ -66,13 +66,17 @@ def listing_mart(listing_d: DataFrame, host_d: DataFrame, keys: Sequence[str],
     ``ordered=True`` sorts by (keys, month) even when the keys are not
     output; a stored table does not keep an order, so the export sorts."""
     keys = list(keys)
-    stats = keyed_month_stats(listing_d, host_d, keys)
+    # one row per group, stored: it feeds the groups and the month series without
+    # a second listing x host join
+    stats = stored(keyed_month_stats(listing_d, host_d, keys), "month-stats")
     kept = stats.filter(_not_null(keys + [MONTH])
                         & (F.col("active_listing_count") > 0)
                         & (F.col("count_host_is_superhost") > 0))
     hosts = keyed_month_distinct_hosts(listing_d, host_d, keys)
     median = keyed_month_median_price(listing_d, host_d, keys)
-    series = month_change_series(monthly_activity(listing_d, host_d))
+    series = month_change_series(stats.groupBy(MONTH).agg(
+        F.sum("active_listing_count").alias("active_listing_count"),
+        F.sum("inactive_listing_count").alias("inactive_listing_count")))
     groups = (kept.join(hosts, keys + [MONTH], "left")
                   .join(median, keys + [MONTH], "left")
                   .withColumn("distinct_host_count",
