@@ -62,6 +62,9 @@ def _both(fast, slow, spark, rows):
 SETTINGS = settings(max_examples=50, deadline=None,
                     suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
 
+#: For what shares its builder with another test.
+FEWER = settings(SETTINGS, max_examples=15)
+
 
 @SETTINGS
 @given(rows=snapshots())
@@ -71,7 +74,7 @@ def test_mart1_equivalent(spark, rows):
     assert a == b
 
 
-@SETTINGS
+@FEWER
 @given(rows=snapshots())
 def test_mart2_equivalent(spark, rows):
     a, b = _both(lambda l, h: marts.property_type_mart(l, h, True),
@@ -95,7 +98,7 @@ def test_active_listing_stats_equivalent(spark, rows):
     assert a == b
 
 
-@SETTINGS
+@FEWER
 @given(rows=snapshots())
 def test_distinct_hosts_same_with_and_without_broadcast(spark, rows):
     from staylens.operators import fanout
