@@ -3,11 +3,12 @@
 A page's text nodes are grouped by root-to-leaf tag path (tags with class or id).
 Per path, text length and punctuation are summed and give two ratios: mean text
 length of a node and mean punctuation of a node, each against the page. Ratios
-are smoothed over neighbouring blocks in page order, fused, and weighed by
-whether the path lies in an article or main element; paths above a threshold
-are content. Paths that run through elements for navigation, adverts, forms,
-scripts, comments and the like never are, and where the page marks its article,
-short blocks of it (headings, list items) go with their paths.
+are smoothed over neighbouring blocks in page order and fused; a block inside an
+article or main element weighs the more, the more of the page's text that element
+holds. Paths above a threshold are content, on every page. Headings, list items
+and table cells are short by nature: a run of them goes with the content block
+that it adjoins, unless it is made of links. Paths that run through elements for
+navigation, adverts, forms, scripts, comments and the like are never content.
 
 A block is a block-level element's own text: character references are decoded,
 white space becomes one space, ends are trimmed, blocks are joined by a line feed.
@@ -24,6 +25,7 @@ import html
 import math
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -56,6 +58,10 @@ tags taglist search searchbox follow popular reply discussion skip skip-link top
 OTHERS = frozenset("with has no without".split())
 ROLE = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar toolbar".split())
 MARKED = frozenset(["article", "main"])
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+ITEMS = frozenset("li dt dd td th caption figcaption".split())
+#: Elements that do not hold a text's run of blocks but are part of it.
+RUN = HEADINGS | frozenset("li dt dd ul ol dl p".split())
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
@@ -67,18 +73,30 @@ _PUNCT = re.compile(r"[.,;:!?…。，、；：！？]")
 #: fused ratio from which a path is content.
 REACH = 2
 THRESHOLD = 0.35
-#: Weight of paths inside the element that the page marks as its main one.
+#: Weight of paths inside a marked element that holds all the page's text; the
+#: weight falls to 1 with the share of the text that the element holds.
 MARKED_WEIGHT = 8.0
+#: A block is a link from this share of link text on.
+LINK_SHARE = 0.5
+
+
+class Block(NamedTuple):
+    path: str
+    text: str
+    marked: int  # number of the outermost article or main element, 0 outside
+    kind: str  # "heading", "item" or ""
+    link: bool
+    inside: str  # path of the element that holds the block's run
 
 
 class _Node:
-    __slots__ = ("tag", "path", "noise", "marked")
+    __slots__ = ("tag", "path", "noise", "marked", "link")
 
-    def __init__(self, tag: str, path: str, noise: bool, marked: bool):
-        self.tag, self.path, self.noise, self.marked = tag, path, noise, marked
+    def __init__(self, tag: str, path: str, noise: bool, marked: int, link: bool):
+        self.tag, self.path, self.noise, self.marked, self.link = tag, path, noise, marked, link
 
 
-def _noise(tag: str, attrs: dict[str, str], marked: bool) -> bool:
+def _noise(tag: str, attrs: dict[str, str], marked: int) -> bool:
     if tag in NEVER or "hidden" in attrs or attrs.get("aria-hidden") == "true":
         return True
     if tag == "header" and not marked:
@@ -100,14 +118,15 @@ def _noise_name(name: str) -> bool:
     return any(x in NOISE_PARTS for x in parts) and not OTHERS.intersection(parts)
 
 
-def blocks(page: str) -> list[tuple[str, str, bool]]:
-    """(path, text, marked) of every block with text outside noise, in page order."""
-    out: list[tuple[str, str, bool]] = []
-    stack = [_Node("", "", False, False)]
+def blocks(page: str) -> list[Block]:
+    """Every block with text outside noise, in page order."""
+    out: list[Block] = []
+    stack = [_Node("", "", False, 0, False)]
     text: list[str] = []
-    at = 0
+    at = linked = n_marked = 0
 
     def flush() -> None:
+        nonlocal linked
         got = _SPACES.sub(" ", "".join(text)).strip()
         text.clear()
         if got:
@@ -115,11 +134,20 @@ def blocks(page: str) -> list[tuple[str, str, bool]]:
             k = len(stack) - 1
             while k > 0 and stack[k].tag not in BLOCK:  # a block's path ends with its block
                 k -= 1
-            out.append((stack[k].path, got, top.marked))
+            tags = (stack[k].tag, stack[max(0, k - 1)].tag)  # an item may hold its text in a paragraph
+            kind = "heading" if tags[0] in HEADINGS else "item" if ITEMS.intersection(tags) else ""
+            j = k
+            while j > 0 and (stack[j].tag in RUN or stack[j].tag not in BLOCK):
+                j -= 1
+            out.append(Block(stack[k].path, got, top.marked, kind, linked >= LINK_SHARE * len(got), stack[j].path))
+        linked = 0
 
     def add(piece: str) -> None:
+        nonlocal linked
         if piece and not stack[-1].noise:
             text.append(html.unescape(piece))
+            if stack[-1].link:
+                linked += len(_SPACES.sub(" ", text[-1]).strip())
 
     def close(tag: str, scope: frozenset | None = None) -> None:
         for k in range(len(stack) - 1, 0, -1):
@@ -163,14 +191,18 @@ def blocks(page: str) -> list[tuple[str, str, bool]]:
         raw = m[3].rstrip()
         attrs = {k.lower(): html.unescape(a or b or c) for k, a, b, c in _ATTR.findall(raw)} if raw else {}
         top = stack[-1]
-        marked = top.marked or tag in MARKED or attrs.get("role") == "main"
+        marked = top.marked
+        if not marked and (tag in MARKED or attrs.get("role") == "main"):
+            n_marked += 1
+            marked = n_marked
         noise = top.noise or _noise(tag, attrs, top.marked)
         if tag in RAW:  # text up to its own end tag, never content
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, pos)
             pos = at = end.end() if end else n
             continue
         label = attrs.get("class") or attrs.get("id") or ""
-        stack.append(_Node(tag, f"{top.path}/{tag}" + (f".{label}" if label else ""), noise, marked))
+        stack.append(_Node(tag, f"{top.path}/{tag}" + (f".{label}" if label else ""), noise, marked,
+                           top.link or tag == "a"))
     add(page[at:])
     flush()
     return out
@@ -187,39 +219,66 @@ def _smooth(values: list[float]) -> list[float]:
     return out
 
 
-def content_paths(kept: list[tuple[str, str, bool]]) -> set[tuple[str, bool]]:
+def content_paths(kept: list[Block]) -> set[tuple[str, bool]]:
     """(path, marked) whose fused, smoothed ratios reach the threshold."""
-    length: dict[tuple[str, bool], list[float]] = {}
-    for p, t, m in kept:
-        s = length.setdefault((p, m), [0.0, 0.0, 0.0])
-        s[0] += len(t)
-        s[1] += len(_PUNCT.findall(t))
-        s[2] += 1
     if not kept:
         return set()
+    keys = [(b.path, b.marked > 0) for b in kept]
+    length: dict[tuple[str, bool], list[float]] = {}
+    held: dict[int, int] = {}
+    for key, b in zip(keys, kept):
+        s = length.setdefault(key, [0.0, 0.0, 0.0])
+        s[0] += len(b.text)
+        s[1] += len(_PUNCT.findall(b.text))
+        s[2] += 1
+        held[b.marked] = held.get(b.marked, 0) + len(b.text)
     total, signs = sum(s[0] for s in length.values()), sum(s[1] for s in length.values())
     mean, mean_signs = total / len(kept), (signs + 1) / len(kept)
-    by_block = [length[p, m] for p, _, m in kept]
+    by_block = [length[key] for key in keys]
     long = _smooth([s[0] / s[2] / mean for s in by_block])
     dotted = _smooth([(s[1] + 0.5) / s[2] / mean_signs for s in by_block])
-    weight = [MARKED_WEIGHT if m else 1.0 for _, _, m in kept]
+    weight = [1 + (MARKED_WEIGHT - 1) * held[b.marked] / total if b.marked else 1.0 for b in kept]
     fused = [math.sqrt(a * b) * w for a, b, w in zip(long, dotted, weight)]
     level: dict[tuple[str, bool], float] = {}
-    for (p, _, m), f in zip(kept, fused):
-        level[p, m] = level.get((p, m), 0.0) + f / length[p, m][2]
+    for key, f in zip(keys, fused):
+        level[key] = level.get(key, 0.0) + f / length[key][2]
     # text-weighted mean, so that a page of one long article and many short links has a high bar
     bar = THRESHOLD * sum(f * s[0] / s[2] for f, s in zip(fused, by_block)) / sum(s[0] / s[2] for s in by_block)
-    some_marked = any(m for _, _, m in kept)
-    # a marked article's own blocks all belong to it, however short
-    return {k for k, f in level.items() if (k[1] if some_marked else f >= bar)}
+    return {key for key, f in level.items() if f >= bar}
+
+
+def _together(short: Block, text: Block) -> bool:
+    """Whether a short block and a content block stand in the same part of the page."""
+    return short.marked == text.marked and (short.marked > 0 or text.path.startswith(short.inside + "/"))
+
+
+def _with_short(kept: list[Block], chosen: list[bool]) -> list[bool]:
+    """``chosen`` and the runs of headings and items next to chosen blocks; a
+    heading also needs a block below it."""
+    out, i = list(chosen), 0
+    while i < len(kept):
+        end = i
+        while end < len(kept) and not chosen[end] and kept[end].kind and not kept[end].link:
+            end += 1
+        if end > i:
+            above = i > 0 and chosen[i - 1] and _together(kept[i], kept[i - 1])
+            below = end < len(kept) and chosen[end] and _together(kept[end - 1], kept[end])
+            last = end
+            while not below and last > i and kept[last - 1].kind == "heading":
+                last -= 1
+            if above or below:
+                out[i:last] = [True] * (last - i)
+        i = max(end, i + 1)
+    return out
 
 
 def main_text(page: str | None) -> str:
     if not isinstance(page, str) or not page:
         return ""
     found = blocks(page)
-    chosen = content_paths(found)
-    return "\n".join(t for p, t, m in found if (p, m) in chosen)
+    paths = content_paths(found)
+    chosen = _with_short(found, [(b.path, b.marked > 0) in paths for b in found])
+    return "\n".join(b.text for b, ok in zip(found, chosen) if ok)
 
 
 def extract(pages: DataFrame) -> DataFrame:

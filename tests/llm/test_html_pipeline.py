@@ -31,6 +31,35 @@ def test_paths_select_content_where_nothing_is_marked():
     assert html_text.main_text(page) == "\n".join(paras)
 
 
+PARAS = [f"Paragraph {k} goes on for a while, with commas, and stops. Then it goes on again, and ends." for k in range(8)]
+BODY = "".join(f"<p>{p}</p>" for p in PARAS)
+
+
+@pytest.mark.parametrize("kind", ["card", "teaser"])
+def test_text_beside_small_articles_is_kept(kind):
+    teasers = "".join(f'<article class="{kind}"><h3><a href="/{k}">Other story {k}</a></h3><p>Read it.</p></article>' for k in range(5))
+    for page in (f'<body><div class="story">{BODY}</div><div>{teasers}</div></body>', f"<body>{teasers}<div>{BODY}</div></body>"):
+        got = html_text.main_text(page).split("\n")
+        assert [x for x in got if x in PARAS] == PARAS and not any("Other story" in x for x in got)
+
+
+def test_link_lists_and_boilerplate_in_main_go():
+    links = "<ul>" + "".join(f'<li><a href="/{k}">Link to page {k}</a></li>' for k in range(12)) + "</ul>"
+    box = "<div class='facts'>" + "".join(f"<div class='fact'>Fact {k}</div>" for k in range(12)) + "</div>"
+    for page in (f"<main><h1>Title</h1>{BODY}{links}</main>", f"<main>{box}<h1>Title</h1>{BODY}{links}{box}</main>"):
+        assert html_text.main_text(page).split("\n") == ["Title", *PARAS]
+
+
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_headings_and_items_between_chosen_blocks_stay(tag):
+    items = [f"item {k}" for k in range(15)]
+    half = "".join(f"<p>{p}</p>" for p in PARAS[:4]), "".join(f"<p>{p}</p>" for p in PARAS[4:])
+    lists = "<ul>" + "".join(f"<li>{x}</li>" for x in items) + "</ul>"
+    page = f"<{tag}><h1>Title</h1>{half[0]}<h2>Parts</h2>{lists}{half[1]}<h2>End</h2>{lists}</{tag}>"
+    want = ["Title", *PARAS[:4], "Parts", *items, *PARAS[4:], "End", *items]
+    assert html_text.main_text(f"<body>{page}</body>").split("\n") == want
+
+
 @pytest.mark.parametrize("page,text", [
     (None, ""), ("", ""), ("  ", ""), ("just &lt;text&gt;", "just <text>"), ("<", "<"), ("<p", ""), ("</p>", ""),
     ("<p>x < y</p><p>3<4", "x < y\n3<4"), ("<p>a<div>b</div>c", "a\nb\nc"), ("<div" * 3, ""), ("<p>&#x41;&eacute;&unknown;</p>", "Aé&unknown;")])
