@@ -8,9 +8,10 @@ columns of ``documents``; each works on all rows that its predecessor kept.
 2. line_dedup   lines on five sites or more stay in one document only; a document
                 that loses all its text this way goes
 3. ngram_join   of the documents that link at Jaccard 0.85, the smallest doc_id stays
-4. mixing       documents are put in the order of the source mix (all stay); the
-                files hold them in that order
-5. packing      documents become ids, packed in sequences of 2048
+4. mixing       documents are put in the order of the source mix (all stay)
+5. packing      documents become ids, packed in sequences of 2048 run by run of the
+                mix, which is worked out again (files do not promise their order):
+                every stretch of sequences holds the sources by their weights
 
 Rows without doc_id cannot link and stay; an empty table passes as one.
 """
@@ -50,7 +51,9 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     visible(spark)
-    return packing.pack_documents(docs)
+    placed = mixing.place(docs.select("doc_id", "source", "text"))
+    return packing.pack_documents(placed.select("row.doc_id", "row.text", "slot", "offset"),
+                                  order=("slot", "offset"))
 
 
 STAGES = [("quality", quality_stage), ("line_dedup", line_dedup_stage), ("ngram_join", ngram_join_stage),

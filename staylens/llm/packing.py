@@ -11,7 +11,9 @@ largest weighted dot product of demand and residuals).
 Scale: pieces (a few numbers each) are dealt evenly into chunks of
 ``CHUNK`` and every chunk is packed by one task; a chunk leaves at most about
 one sequence partly filled, CHUNK pieces being hundreds of sequences. The ids
-themselves are never shuffled.
+themselves are never shuffled. Where the documents have an order (``order``
+columns), chunks are runs of CHUNK pieces of it, and sequences are numbered by
+chunk and, in a chunk, by their first piece in that order.
 
 Edge cases: null text is the empty text, whose only id is the end id; null or
 repeated doc_ids are pieces like others; very long texts give many pieces; other
@@ -26,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staylens.llm.common import stored
+from staylens.llm.common import shuffle_partitions, stored
 from staylens.llm.subwords import default_vocabulary, loaded
 from staylens.llm.words import slices
 
@@ -38,8 +40,9 @@ PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, seque
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID,
-           vocabulary: str | None = None) -> DataFrame:
-    """One row per piece; ``ids`` holds little-endian unsigned 32-bit ids."""
+           vocabulary: str | None = None, order: tuple[str, ...] = ()) -> DataFrame:
+    """One row per piece; ``ids`` holds little-endian unsigned 32-bit ids. The
+    integer columns ``order`` go along."""
     with open(vocabulary or default_vocabulary(), encoding="utf-8") as f:
         file = docs.sparkSession.sparkContext.broadcast(f.read())  # fixed size, 1.7 MB
 
@@ -55,11 +58,13 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID,
                     ids = np.append(flat[lo:hi], end_id).astype("<u4")
                     for k, s in enumerate(range(0, len(ids), capacity)):
                         part = ids[s: s + capacity]
-                        rows.append((batch["doc_id"].iat[at + i], k, s, len(part), part.tobytes()))
-                yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids"]).astype(
+                        rows.append((batch["doc_id"].iat[at + i], k, s, len(part), part.tobytes(),
+                                     *(batch[c].iat[at + i] for c in order)))
+                yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids", *order]).astype(
                     {"doc_id": "Int64"})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(cut, PIECE)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *order).mapInPandas(
+        cut, ", ".join([PIECE, *(f"{c} long" for c in order)]))
 
 
 def best_fit(lengths: np.ndarray, capacity: int, max_docs: int, max_cost: int,
@@ -94,27 +99,54 @@ def best_fit(lengths: np.ndarray, capacity: int, max_docs: int, max_cost: int,
 
 def pack(rows: DataFrame, capacity: int = CAPACITY, max_docs: int | None = None,
          max_cost: int | None = None, weights: tuple[float, float, float] = (1.0, 0.0, 0.0),
-         by: str = "norm") -> DataFrame:
+         by: str = "norm", order: tuple[str, ...] = ()) -> DataFrame:
     """Place pieces (doc_id, piece, start, length, ids_crc32) in sequences. The
-    document and cost limits default to what the token limit implies."""
-    rows = stored(rows, "pieces")
+    document and cost limits default to what the token limit implies. ``order``:
+    columns whose order the sequences follow, chunk by chunk."""
+    rows = _numbered(rows, order) if order else stored(rows, "pieces")
     chunks = max(1, round(rows.count() / CHUNK))
     max_docs = max_docs or capacity
     max_cost = max_cost or capacity ** 2
 
     def place(chunk: pd.DataFrame) -> pd.DataFrame:
+        if order:
+            chunk = chunk.sort_values("at")
         length = chunk["length"].to_numpy()
-        order, bins, offsets = best_fit(length, capacity, max_docs, max_cost, weights, by)
-        out = chunk.iloc[order].drop(columns="chunk")
-        return out.assign(doc_id=out["doc_id"].astype("Int64"), offset=offsets,
-                          sequence_id=bins + (chunk["chunk"].iat[0] << 32))
-
-    return (rows.withColumn("chunk", F.monotonically_increasing_id() % chunks)
-            .groupBy("chunk").applyInPandas(place, PLACED))
-
-
-def pack_documents(docs: DataFrame, capacity: int = CAPACITY, **options) -> DataFrame:
+        longest, bins, offsets = best_fit(length, capacity, max_docs, max_cost, weights, by)
+        if order and len(bins):  # number the sequences by their first piece
+            first = np.full(bins.max() + 1, len(bins))
+            np.minimum.at(first, bins, longest)
+            bins = np.argsort(np.argsort(first))[bins]
+        out = chunk.iloc[longest][["doc_id", "piece", "start", "length", "ids_crc32"]]
+        return out.assign(doc_id=out["doc_id"].astype("Int64"), sequence_id=bins + (chunk["chunk"].iat[0] << 32),
+                          offset=offsets)
+
+    if order:  # equal runs, at most half a CHUNK longer than one
+        chunk = F.expr(f"at * {chunks} div {max(1, rows.count())}")
+    else:
+        chunk = F.monotonically_increasing_id() % chunks
+    return rows.withColumn("chunk", chunk).groupBy("chunk").applyInPandas(place, PLACED)
+
+
+def _numbered(rows: DataFrame, order: tuple[str, ...]) -> DataFrame:
+    """``rows`` stored with ``at``, their number by ``order`` and piece from 0: ranges
+    sorted apart, then each range's start added, so no task holds all rows."""
+    spread = rows.repartitionByRange(shuffle_partitions(rows.sparkSession), *order, "piece")
+    tagged = stored(spread.sortWithinPartitions(*order, "piece").withColumn("part", F.spark_partition_id())
+                    .withColumn("tag", F.monotonically_increasing_id()), "pieces")
+    sizes = tagged.groupBy("part").agg(F.count("*").alias("n")).orderBy("part").collect()  # a row a partition
+    starts, total = [], 0
+    for r in sizes:
+        starts.append((r["part"], total))
+        total += r["n"]
+    start = rows.sparkSession.createDataFrame(starts, "part int, begin long")
+    return (tagged.join(F.broadcast(start), "part")  # broadcast: a row a partition
+            .withColumn("at", F.col("begin") + F.col("tag").bitwiseAND(F.lit((1 << 33) - 1)))
+            .drop("part", "tag", "begin"))
+
+
+def pack_documents(docs: DataFrame, capacity: int = CAPACITY, order: tuple[str, ...] = (), **options) -> DataFrame:
     """Digest of the packed sequences: one row per piece with its place."""
-    digest = pieces(docs, capacity).select(
-        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return pack(digest, capacity, **options)
+    digest = pieces(docs, capacity, order=order).select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), *order)
+    return pack(digest, capacity, order=order, **options)

@@ -5,7 +5,8 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from staylens.llm import packing
+import corpus_pipeline
+from staylens.llm import mixing, packing
 from staylens.llm.subwords import default_vocabulary
 
 
@@ -70,3 +71,31 @@ def test_order_of_lengths_beyond_a_cost_limit():
     # a piece that alone passes the cost limit still gets a sequence of its own
     _, bins, _ = packing.best_fit(np.array([90, 10]), 100, 10, 5000, (1.0, 0.0, 0.0))
     assert len(set(bins.tolist())) == 2
+
+
+def test_sequences_follow_the_mix(spark, documents, monkeypatch):
+    monkeypatch.setattr(packing, "CHUNK", 200)
+    rng = random.Random(3)
+    size = {"a": 2000, "b": 500, "c": 125}  # weights 4 : 2 : 1 by square roots
+    rows = [(f"{s}{k}", " ".join(rng.choices(["the", "house", "a"], k=rng.randrange(20, 400))), s)
+            for s, n in size.items() for k in range(n)]
+    rows = [(i, t, s) for i, (_, t, s) in enumerate(rows)]
+    docs = documents(rows).repartition(5)
+    source = {i: s for i, _, s in rows}
+    place = {r["row"]["doc_id"]: (r["slot"], r["offset"]) for r in mixing.place(docs).collect()}
+    got = corpus_pipeline.packing_stage(spark, corpus_pipeline.mixing_stage(spark, docs, ""), "").collect()
+    _check(rows, got, packing.CAPACITY)
+    chunks = {}
+    for r in got:
+        chunks.setdefault(r["sequence_id"] >> 32, []).append((place[r["doc_id"]], source[r["doc_id"]]))
+    runs = [sorted(chunks[k]) for k in sorted(chunks)]
+    assert len(runs) > 5 and all(a[-1] <= b[0] for a, b in zip(runs, runs[1:]))
+    for run in runs[:3]:  # until a source runs out, to within a block of 16 at either end
+        n = {s: sum(x == s for _, x in run) for s in size}
+        assert all(abs(n[s] - len(run) * w / 7) <= 32 for s, w in (("a", 4), ("b", 2), ("c", 1)))
+    # first pieces of sequences come in the order of the mix
+    first = {}
+    for r in got:
+        first[r["sequence_id"]] = min(first.get(r["sequence_id"], (1 << 40, 0)), place[r["doc_id"]])
+    in_order = [first[k] for k in sorted(first)]
+    assert in_order == sorted(in_order)
