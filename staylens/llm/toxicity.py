@@ -1,6 +1,9 @@
 """Operator 4, toxicity by a bidirectional gated recurrent network.
 
-Words are runs of letters and digits, A-Z lower-cased. A word enters as a word
+Words are runs of letters and digits, A-Z lower-cased, parted at spaces and
+punctuation of all scripts. A run of more than ``LONGEST`` bytes (scripts without
+spaces) becomes several words that overlap by the largest n-gram, so that every
+byte enters. A word enters as a word
 input (log-odds of its hash, whether the fit has seen it) and a character input
 (largest, mean and smallest log-odds over its byte 3- to 6-grams, with word
 ends marked), so that an unseen form of a known stem is recognised. Two gated
@@ -23,6 +26,9 @@ ignored; an empty table gives an empty result.
 """
 from __future__ import annotations
 
+import re
+import sys
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,7 +49,36 @@ INPUTS = 6
 #: A word or n-gram counts from so many documents of the sample on.
 LEAST_DOCS = 3
 FIT_ROWS = 1000
+#: Bytes of a word at most.
+LONGEST = 64
 _MASK = np.uint64((1 << BITS) - 1)
+#: Spaces and punctuation beyond ASCII, which bytes do not tell from letters.
+_BETWEEN = re.compile("[" + "".join(re.escape(c) for c in map(chr, range(128, sys.maxunicode + 1))
+                                    if unicodedata.category(c)[0] in "ZP" or c.isspace() or c == "\u200b") + "]")
+
+
+def parted(texts: list[str | None]) -> list[str | None]:
+    """``texts`` with a space for each of _BETWEEN."""
+    return [t if not isinstance(t, str) or t.isascii() else _BETWEEN.sub(" ", t) for t in texts]
+
+
+def split_words(texts: list[bytes]) -> Words:
+    """Words of encoded texts, those over LONGEST bytes as overlapping parts."""
+    w = words_of(texts, NO_LETTER)
+    size = w.ends - w.starts
+    if not (size > LONGEST).any():
+        return w
+    step = LONGEST - max(GRAMS)
+    n = 1 + np.maximum(0, -(-(size - LONGEST) // step))
+    own = np.repeat(np.arange(len(size)), n)
+    starts = w.starts[own] + (np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)) * step
+    ends = np.minimum(starts + LONGEST, w.ends[own])
+    hashes = w.hash[own]
+    cut = np.flatnonzero(n[own] > 1)
+    # the hash of a part as a word of its own
+    pieces = [w.buf[a:b].tobytes() for a, b in zip(starts[cut], ends[cut])]
+    hashes[cut] = words_of(pieces, NO_LETTER).hash
+    return Words(w.n, w.buf, starts, ends, w.doc[own], hashes)
 
 
 class Distinct:
@@ -53,7 +88,7 @@ class Distinct:
     def __init__(self, w: Words):
         self.hash, first, self.of = np.unique(w.hash, return_index=True, return_inverse=True)
         self.word = (self.hash & _MASK).astype(np.int64)
-        size = np.minimum(w.ends[first] - w.starts[first], 64) + 2  # with both end marks
+        size = w.ends[first] - w.starts[first] + 2  # with both end marks
         ends = np.cumsum(size)
         at = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - size, size)
         own = np.repeat(np.arange(len(first)), size)
@@ -213,8 +248,8 @@ def fit(texts: list[str], labels: np.ndarray, rounds: int = 6, steps: int = 40,
         return {}
     rng = np.random.default_rng(seed)
     parts = []
-    for at, run in slices(texts):
-        w = words_of(run, NO_LETTER)
+    for at, run in slices(parted(texts)):
+        w = split_words(run)
         parts.append((at, w, Distinct(w)))
     # documents with each bucket, by fold and class
     fold = rng.permutation(len(y)) % 4
@@ -293,8 +328,8 @@ def score(model: dict, texts: list[str | None]) -> np.ndarray:
     if not model:
         return np.zeros(len(texts))
     out = [np.zeros(0)]
-    for _, run in slices(texts):
-        w = words_of(run, NO_LETTER)
+    for _, run in slices(parted(texts)):
+        w = split_words(run)
         d = Distinct(w)
         doc, at = windows(w)
         of = np.where(at >= 0, d.of[at], -1) if len(d.of) else at
