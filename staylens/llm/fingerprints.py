@@ -2,10 +2,10 @@
 
 A text's signature holds, for each of ``PERMUTATIONS`` universal hash functions
 (a x + b mod 2^31 - 1), the smallest value over its 5-word shingles, all in
-numpy; the fingerprint is the low 16 bits of each in hex. Texts under
-``FEW_WORDS`` words have too few word shingles to tell degrees of likeness, so
-their shingles are 5 characters. The likeness of two fingerprints is the share of equal
-values, an estimate of the Jaccard similarity.
+numpy; the fingerprint is the low 16 bits of each in hex. All texts have this one
+kind of shingle, so that any two can be compared; a text under five words is one
+shingle. The likeness of two fingerprints is the share of equal values, an
+estimate of the Jaccard similarity.
 
 ``fingerprint_documents`` also fingerprints an edited form of each document,
 whose tail comes from the next document by doc_id. Neighbours meet without a
@@ -16,8 +16,8 @@ document, and ranges are streamed in order.
 ``near_duplicates`` joins bands of signature values and verifies the Jaccard
 similarity of the candidates' whole shingle sets.
 
-Edge cases: null text is empty; empty texts have equal fingerprints (likeness 1
-among themselves); a null doc_id sorts first; rows with the same doc_id follow
+Edge cases: null text is empty; texts without words have equal fingerprints (likeness
+1 among themselves); a null doc_id sorts first; rows with the same doc_id follow
 each other by text; a single document is its own next one; other columns are
 ignored; an empty table gives an empty result.
 """
@@ -37,7 +37,6 @@ from staylens.llm.words import distinct_shingles, mix64, shingles, slices, words
 
 WIDTH = 5
 PERMUTATIONS = 64
-FEW_WORDS = 20
 #: Documents of a range, and the most ranges (their bounds, 8 bytes each, are broadcast).
 RANGE_ROWS, MOST_RANGES = 400, 200_000
 #: 16 bands of 4: a pair of similarity 0.8 shares a band with probability 0.9998.
@@ -51,33 +50,14 @@ RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string,
           "near_edited double, near_next double")
 
 
-def _char_shingles(text: str) -> np.ndarray:
-    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    k = min(WIDTH, len(code))
-    total = np.zeros(len(code) - k + 1, np.uint64)
-    for i in range(k):
-        total = total * np.uint64(0x100000001B3) + code[i: len(code) - k + 1 + i]
-    return mix64(total + np.uint64(k))
-
-
 def signatures(texts: list[str | None]) -> np.ndarray:
     """(texts x PERMUTATIONS) smallest hash values; 2^31 - 1 where there is no shingle."""
     out = np.full((len(texts), PERMUTATIONS), _P, np.uint64)
     for at, run in slices(texts):
-        w = words_of(run)
-        doc, h = shingles(w, WIDTH)
-        few = np.flatnonzero(w.per_doc() < FEW_WORDS)
-        many = ~np.isin(doc, few)
-        parts = [(doc[many], h[many])]
-        for d in few:
-            if len(run[d]):
-                c = _char_shingles(texts[at + d])
-                parts.append((np.full(len(c), d), c))
-        doc, h = (np.concatenate(x) for x in zip(*parts))
+        doc, h = shingles(words_of(run), WIDTH)
         if not len(doc):
             continue
-        order = np.argsort(doc, kind="stable")
-        doc, x = doc[order], h[order] % _P
+        x = h % _P
         rows, start = np.unique(doc, return_index=True)
         for k in range(PERMUTATIONS):
             v = x * _A[k] + _B[k]
