@@ -7,7 +7,8 @@ columns of ``documents``; each works on all rows that its predecessor kept.
 1. quality      documents that the quality classifier rejects (score under 0.3) go
 2. line_dedup   lines on five sites or more stay in one document only; a document
                 that loses all its text this way goes
-3. ngram_join   of the documents that link at Jaccard 0.85, the smallest doc_id stays
+3. ngram_join   of the documents that link at Jaccard 0.8 of their 5-word shingles, the
+                smallest doc_id stays
 4. mixing       documents are put in the order of the source mix (all stay)
 5. packing      documents become ids, packed in sequences of 2048 run by run of the
                 mix, which is worked out again (files do not promise their order):
@@ -24,6 +25,7 @@ from staylens.llm import jaccard_join, line_dedup, mixing, packing, quality
 from staylens.llm.common import stored, table, visible
 
 KEEP_SCORE = 0.3
+NEAR_WIDTH, NEAR_PERCENT = 5, 80
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +43,7 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def ngram_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     visible(spark)
-    others = jaccard_join.link_components(docs).where("doc_id <> component_id").select("doc_id").distinct()
+    others = jaccard_join.link_components(docs, NEAR_WIDTH, NEAR_PERCENT).where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
 
 
