@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from staylens.llm import fingerprints, html_text, jaccard_join, line_dedup, lm_score, mixing, packing, quality, topk_search, toxicity
+from staylens.llm import (fill_middle, filter_audit, fingerprints, html_text, jaccard_join, line_dedup, lm_score,
+                          mixing, packing, pieces, quality, topk_search, toxicity)
 from staylens.llm.common import table, visible
 from staylens.session import ensure_checkpoint_dir
 
@@ -65,6 +66,21 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document and the text decoded from them."""
+    return pieces.digest(table(spark, sf_dir, "documents"))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-middle form of every document."""
+    return fill_middle.digest(table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove in each of their orders."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline over all documents."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -82,10 +98,11 @@ def _query(f: Query) -> Query:
 def queries() -> dict[str, Query]:
     own = (op1_topk_search, op2_mixing, op3_line_dedup, op4_toxicity, op5_html_text,
            op6_lm_score, op7_quality, op8_ngram_join, op9_packing,
-           op10_fingerprints, pipeline)
+           op10_fingerprints, op11_pieces, op12_fill_middle, op13_filter_audit, pipeline)
     return {f.__name__: _query(f) for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_topk_search": topk_search.ORACLE, "op2_mixing": mixing.ORACLE, "op3_line_dedup": line_dedup.ORACLE,
-            "op8_ngram_join": jaccard_join.ORACLE}
+            "op8_ngram_join": jaccard_join.ORACLE, "op12_fill_middle": fill_middle.ORACLE,
+            "op13_filter_audit": filter_audit.ORACLE}

@@ -1,0 +1,115 @@
+import random
+import re
+from collections import Counter
+from itertools import permutations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from staylens.llm import filter_audit as fa
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute_mask(row, rows):
+    i, t, _ = row
+    t = t or ""
+    words = WORD.findall(t)
+    fails = (len(words) < 200, 100 * len(set(words)) < 50 * len(words),
+             100 * len(re.findall("[A-Z]", t)) > 3 * len(t), bool(re.search("[#$%&*|]", t)),
+             i is not None and any(j is not None and j < i and (u or "") == t for j, u, _ in rows))
+    return sum(f << k for k, f in enumerate(fails))
+
+
+def brute(rows, labels):
+    good = {i for i, q, _ in labels if q == 1 and i is not None}
+    toxic = {i for i, _, x in labels if x == 1 and i is not None}
+    marked = [(lang or "", brute_mask((i, t, lang), rows), i) for i, t, lang in rows]
+    out = []
+    for part in {m[0] for m in marked}:
+        mine = [(m, i) for p, m, i in marked if p == part]
+        table, total = [], Counter()
+        for order in permutations("ABCDE"):
+            left = mine
+            for step, f in enumerate(order, 1):
+                bit = 1 << "ABCDE".index(f)
+                gone = [(m, i) for m, i in left if m & bit]
+                left = [(m, i) for m, i in left if not m & bit]
+                total[f] += len(gone)
+                table.append((part, "".join(order), step, len(left), len(gone),
+                              sum(1 for m, _ in mine if m & bit) - len(gone), sum(m == bit for m, _ in mine),
+                              sum(i in good for _, i in gone), sum(i in toxic for _, i in gone), f))
+        out += [(*row[:-1], total[row[-1]]) for row in table]
+    return out
+
+
+def docs_of(spark, rows):
+    schema = T.StructType([T.StructField(n, t) for n, t in (
+        ("doc_id", T.LongType()), ("text", T.StringType()), ("lang", T.StringType()), ("hash", T.StringType()),
+        ("part", T.IntegerType()), ("first", T.LongType()), ("mask", T.StringType()))])
+    return spark.createDataFrame([(*r, "x", 1, 2, "y") for r in rows], schema)
+
+
+def labels_of(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+
+
+def sample_rows():
+    rng = random.Random(4)
+    some = lambda n, of: " ".join(rng.choices([f"w{k}" for k in range(of)], k=n))
+    texts = [some(250, 400), some(250, 5), some(3, 9), "UPPER CASE", "cash $ 5", "", None, " \t\n", "A" + "a" * 32,
+             "A" + "a" * 33, some(199, 500), some(200, 500), some(100, 10) + " #", "é漢\U0001f600 Ä"]
+    texts += [f"only {k}" for k in range(40)]
+    rows = [(i, t, rng.choice(["en", "de", None, ""])) for i, t in enumerate(texts)]
+    rows += [(100 + k, rng.choice(texts[:14]), rng.choice(["en", "fr"])) for k in range(80)]
+    rows += [(None, "only 3", "en"), (None, "only 3", "en"), (3, "UPPER CASE", "en"), (3, "other text", "de"),
+             (500, "twin", "en"), (500, "twin", "de"), (500, "twin", None), (-7, "only 5", "en")]
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("max_counters", [1 << 30, 1 << 16])
+def test_all_orders(spark, max_counters):
+    rows = sample_rows()
+    labels = [(i, i % 2, i % 3 == 0) for i in range(0, 180, 2)] + [(9, 1, None), (9, 0, 1), (None, 1, 1), (11, None, None)]
+    labels = [(i, q, None if x is None else int(x)) for i, q, x in labels]
+    got = fa.audit(docs_of(spark, rows).repartition(5), labels_of(spark, labels), max_counters)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(brute(rows, labels))
+
+
+def test_masks(spark):
+    rows = sample_rows()
+    got = Counter((r["doc_id"], r["part"], r["mask"]) for r in fa.masks(docs_of(spark, rows)).collect())
+    assert got == Counter((i, lang or "", brute_mask((i, t, lang), rows)) for i, t, lang in rows)
+
+
+def test_prepass_clears_unique_texts_and_keeps_every_repeat(spark):
+    rng = np.random.default_rng(5)
+    unique = rng.integers(-2**62, 2**62, 20_000)
+    twice = rng.integers(-2**62, 2**62, 500)
+    hashes = spark.createDataFrame([(int(h),) for h in np.concatenate((unique, twice, twice))], "h long").repartition(7)
+    possible = fa.possible_repeat(hashes, fa.counters_for(21_000))
+    left = {r["h"] for r in hashes.where(possible(F.col("h"))).collect()}
+    assert set(twice.tolist()) <= left
+    assert len(left - set(twice.tolist())) < 0.02 * len(unique)
+
+
+def test_sketches_in_portions_are_the_same(spark, monkeypatch):
+    hashes = spark.range(3000).select(F.xxhash64(F.col("id") % 2000).alias("h")).repartition(3)
+    want = sorted(tuple(r) for r in fa.repeated_slots(hashes, 1 << 16).collect())
+    monkeypatch.setattr(fa, "COUNTED_AT_ONCE", 10)
+    assert sorted(tuple(r) for r in fa.repeated_slots(hashes, 1 << 16).collect()) == want
+
+
+def test_counters_stay_within_bounds():
+    assert fa.counters_for(0) == fa.MIN_COUNTERS
+    assert fa.counters_for(1_000_000) == 1 << 24
+    assert fa.counters_for(10**12) == fa.MAX_COUNTERS
+
+
+def test_empty_tables(spark):
+    assert fa.audit(docs_of(spark, []), labels_of(spark, [])).collect() == []
+    got = fa.audit(docs_of(spark, [(1, "a", "en")]), labels_of(spark, []))
+    assert got.count() == 600
