@@ -6,7 +6,7 @@ adjacent pairs of symbols that together are a piece, the best score first and
 of equal scores the leftmost; the pair on top is joined, its new neighbours
 enter, and pairs whose symbols are gone are passed over. Symbols left over that
 are no piece become their UTF-8 bytes. Decoding puts the pieces' texts
-together, byte pieces by runs.
+together, runs of byte pieces as UTF-8.
 
 Where no piece of the vocabulary holds two neighbouring code points, no merge
 can ever cross them. So the text is parted in front of every run of U+2581
@@ -14,8 +14,10 @@ can ever cross them. So the text is parted in front of every run of U+2581
 longer piece, every part has an agenda of its own, and parts that were met
 before are looked up. The ids are those of one agenda over the whole text.
 
-Every batch is also encoded and decoded by the ``sentencepiece`` library;
-``library_equal`` says whether ids and text agree.
+Every batch is checked against the ``sentencepiece`` library: it encodes all parts
+that the batch met for the first time and decodes the ids of every text;
+``library_equal`` says whether ids and text agree. (Where no sign stands alone, or
+a part ever differs, the library encodes the whole texts instead.)
 
 Scale: one pass over the texts in Arrow batches, no shuffle. A worker holds the
 model (fixed size, sent along with the task) and twice ``CACHE_PARTS`` parts.
@@ -43,6 +45,8 @@ SPACE = "▁"
 CACHE_PARTS = 250_000
 #: Longer parts are not remembered.
 CACHE_CHARS = 64
+#: Up to this length the agenda is a plain list, which is quicker than a heap.
+LIST_CHARS = 24
 CODED = "doc_id long, ids array<int>, decoded string, library_equal boolean"
 DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, library_equal boolean"
 
@@ -60,23 +64,33 @@ class PieceCoder:
         every = range(lib.get_piece_size())
         self.text = [lib.id_to_piece(i) for i in every]
         self.special = {i for i in every if lib.is_control(i)}
-        self.byte = {i: int(self.text[i][3:5], 16) for i in every if lib.is_byte(i)}
-        self.byte_id = {b: i for i, b in self.byte.items()}
+        byte = {i: int(self.text[i][3:5], 16) for i in every if lib.is_byte(i)}
+        self.byte_id = {b: i for i, b in byte.items()}
         self.unknown = lib.unk_id()
-        plain = [i for i in every if i not in self.special and i not in self.byte and i != self.unknown]
+        plain = [i for i in every if i not in self.special and i not in byte and i != self.unknown]
         self.id = {self.text[i]: i for i in plain}
         self.cost = {self.text[i]: -lib.get_score(i) for i in plain}
         self.unused = {self.text[i] for i in plain if lib.is_unused(i)}
+        #: decoded text of each id; bytes from 0x80 on as the lone surrogates of
+        #: Python's surrogateescape, so that runs of them can be put together
+        self.decoded = [" ⁇ " if i == self.unknown else "" if i in self.special
+                        else bytes([byte[i]]).decode("ascii", "surrogateescape") if i in byte
+                        else self.text[i] for i in every]
+        self.number = [str(i) for i in every]
         self.dummy = lib.normalize("a").startswith(SPACE)
         self.parts = self._pattern()
         self.known: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
+        #: parts met since the last check, and their ids
+        self.fresh: list[tuple[str, tuple[int, ...]]] = []
 
     def _pattern(self) -> re.Pattern:
         """Cuts a normalised text where no piece can reach over."""
         long = [p for p in self.id if len(p) > 1]
         joined = set("".join(long))
-        alone = re.escape("".join(c for c in map(chr, range(128)) if c not in joined))
+        signs = [c for c in map(chr, range(128)) if c not in joined]
+        self.lead = "\n" if "\n" in signs else signs[0] if signs else ""
+        alone = re.escape("".join(signs))
         inner = any(a != SPACE and b == SPACE for p in long for a, b in zip(p, p[1:]))
         if inner:  # pieces may cross words: only signs of no longer piece part
             return re.compile(f"[{alone}]|[^{alone}]+" if alone else "(?s:.+)")
@@ -86,6 +100,21 @@ class PieceCoder:
 
     def agenda(self, part: str) -> list[str]:
         """Symbols of one part after all merges."""
+        if len(part) > LIST_CHARS or self.unused:
+            return self._long_agenda(part)
+        symbol, cost, never = list(part), self.cost.get, float("inf")
+        pairs = [cost(part[i:i + 2], never) for i in range(len(part) - 1)]
+        while pairs and (best := min(pairs)) != never:
+            i = pairs.index(best)  # the leftmost of the best
+            symbol[i:i + 2] = [symbol[i] + symbol[i + 1]]
+            del pairs[i]
+            if i:
+                pairs[i - 1] = cost(symbol[i - 1] + symbol[i], never)
+            if i < len(pairs):
+                pairs[i] = cost(symbol[i] + symbol[i + 1], never)
+        return symbol
+
+    def _long_agenda(self, part: str) -> list[str]:
         n, cost = len(part), self.cost
         symbol = list(part)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
@@ -127,7 +156,10 @@ class PieceCoder:
         return tuple(ids)
 
     def _remembered(self, part: str) -> tuple[int, ...]:
-        ids = self.older.get(part) or self._ids(part)
+        ids = self.older.get(part)
+        if ids is None:
+            ids = self._ids(part)
+            self.fresh.append((part, ids))
         if len(part) <= CACHE_CHARS:
             if len(self.known) >= CACHE_PARTS:
                 self.known, self.older = {}, self.known
@@ -144,26 +176,27 @@ class PieceCoder:
         return [i for k, i in enumerate(ids) if i != self.unknown or k == 0 or ids[k - 1] != i]
 
     def decode(self, ids: Sequence[int]) -> str:
-        out: list[str] = []
-        run = bytearray()
-        for i in ids:
-            if i in self.byte:
-                run.append(self.byte[i])
-                continue
-            if run:
-                out.append(run.decode("utf-8", "replace"))
-                run.clear()
-            if i == self.unknown:
-                out.append(" ⁇ ")
-            elif i not in self.special:
-                out.append(self.text[i])
-        if run:
-            out.append(run.decode("utf-8", "replace"))
-        text = "".join(out)
+        text = "".join(map(self.decoded.__getitem__, ids))
+        if self.byte_id and not text.isascii():
+            text = text.encode("utf-8", "surrogateescape").decode("utf-8", "replace")
         if self.dummy and text.startswith(SPACE):
             text = text[1:]
         return text.replace(SPACE, " ")
 
+    def agrees(self, texts: Sequence[str], ids: Sequence[list[int]], decoded: Sequence[str]) -> list[bool]:
+        """Whether the library gives the same for each text."""
+        fresh, self.fresh = self.fresh, []
+        same = bool(self.lead)
+        if same:
+            # a sign that stands alone in front keeps the library's first space off
+            skip = len(self.library.encode(self.lead))
+            theirs = self.library.encode([self.lead + p for p, _ in fresh])
+            same = all(tuple(t[skip:]) == i for t, (_, i) in zip(theirs, fresh))
+        back = self.library.decode(list(ids))
+        if same:
+            return [d == b for d, b in zip(decoded, back)]
+        return [i == t and d == b for i, t, d, b in zip(ids, self.library.encode(list(texts)), decoded, back)]
+
 
 _CODERS: dict[bytes, PieceCoder] = {}
 
@@ -184,12 +217,11 @@ def _per_text(docs: DataFrame, model: str | None, row, schema: str) -> DataFrame
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         both = coder(file.value)
         for batch in batches:
-            rows = []
-            for t in batch["text"]:
-                ids = both.encode(t or "")
-                decoded = both.decode(ids)
-                theirs = both.library.encode(t or "")
-                rows.append(row(ids, decoded, ids == theirs and decoded == both.library.decode(theirs)))
+            texts = [t or "" for t in batch["text"]]
+            ids = [both.encode(t) for t in texts]
+            decoded = [both.decode(i) for i in ids]
+            equal = both.agrees(texts, ids, decoded)
+            rows = [row(both, *r) for r in zip(ids, decoded, equal)]
             out = pd.DataFrame(rows, columns=names[1:])
             out.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
             yield out.astype({"doc_id": "Int64"})
@@ -199,13 +231,14 @@ def _per_text(docs: DataFrame, model: str | None, row, schema: str) -> DataFrame
 
 def code_documents(docs: DataFrame, model: str | None = None) -> DataFrame:
     """Ids of every whole text and the text decoded from them."""
-    return _per_text(docs, model, lambda ids, decoded, equal: (ids, decoded, equal), CODED)
+    return _per_text(docs, model, lambda _, *result: result, CODED)
 
 
 def digest(docs: DataFrame, model: str | None = None) -> DataFrame:
     """Hashes of ids and decoded text of every document."""
-    def hashed(ids, decoded, equal):
-        return (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+    def hashed(both, ids, decoded, equal):
+        numbers = ",".join(map(both.number.__getitem__, ids))
+        return (len(ids), hashlib.sha256(numbers.encode()).hexdigest(),
                 hashlib.sha256(decoded.encode("utf-8", "surrogatepass")).hexdigest(), equal)
 
     return _per_text(docs, model, hashed, DIGEST)
