@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from staylens import schemas
 from staylens.functions import lga_code_of
+from staylens.operators.pairs import fan_out_join
 from staylens.operators.surrogate import with_surrogate_id
 
 
@@ -77,7 +78,7 @@ def fact_rental(listing_d: DataFrame, host_d: DataFrame, lga_d: DataFrame,
     The small dimensions are applied to the listing side before the fan-out
     join (same rows, no growth before the shuffle) and the suburb fan-out is
     applied last, after the shuffle, so only listing and host rows cross the
-    network.
+    network. The fan-out join is sized by the rows it makes (operators.pairs).
     """
     lga = lga_d.select(F.col("id").alias("lga_code_id"), "lga_code", "lga_name")
     cen = census_d.select(F.col("id").alias("census_id"), F.col("lga_code_2016"))
@@ -89,7 +90,7 @@ def fact_rental(listing_d: DataFrame, host_d: DataFrame, lga_d: DataFrame,
 
     l_dims = (lst.join(lga, lst.listing_neighbourhood == lga.lga_name)
                  .join(cen, cen.lga_code_2016 == lga.lga_code))
-    fanned = l_dims.join(host, "listing_id")
+    fanned = fan_out_join(l_dims, host, "listing_id", "_l_id", "_h_id")
     with_sub = fanned.join(sub, F.lower(fanned.lga_name) == sub._sub_lga_lower)
     return with_sub.select(
         F.col("_l_id").alias("listing_id"), F.col("_h_id").alias("host_id"),
