@@ -13,13 +13,18 @@ sum of products ``listing_part * host_part``:
   sum(x) over joined rows         = sum(sum_x_per_listing * h_rows)
   avg(x)                          = the two sums above divided
   min / max(x)                    = min / max over listing groups that join
-  median(x)                       = weighted percentile over (keys, month, x)
+  median(x)                       = weighted median over (keys, month, x)
                                     with weight sum(l_rows * h_rows)
-  count(distinct host attribute)  = distinct over (listing keys) x (host attrs)
+  count(distinct host attribute)  = bits set in words of 64 numbered hosts
 
 The joined size drops from sum(n_l * n_h) per id to
 sum(distinct listing groups * distinct host groups) per id; only the median
 needs listing groups down to the individual price.
+
+Several sets of group keys are served by one pass: the listing side is collapsed
+with GROUPING SETS and every row carries the number of its set in ``key_set``
+(keys outside a set are null). The host side is collapsed once, with hosts
+numbered, in a stored table (``host_collapse``) that all marts read.
 """
 from __future__ import annotations
 
@@ -29,8 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylens.functions import is_false_flag, is_true_flag, month_of, stay_days
+from staylens.operators.median import paired_median
+from staylens.operators.surrogate import with_surrogate_id
+from staylens.session import stored
 
 MONTH = "s_date"
+KEY_SET = "key_set"
+KeySets = Sequence[Sequence[str]]
 
 
 def host_months(host_d: DataFrame) -> DataFrame:
@@ -40,43 +50,83 @@ def host_months(host_d: DataFrame) -> DataFrame:
         "host_is_superhost", "host_neighbourhood")
 
 
-def _host_month_counts(host_d: DataFrame) -> DataFrame:
-    return (host_months(host_d)
-            .groupBy("listing_id", MONTH)
-            .agg(F.count(F.lit(1)).alias("h_rows"),
-                 F.count("host_is_superhost").alias("h_sup_known"),
-                 F.count_if(is_true_flag("host_is_superhost")).alias("h_sup_t")))
-
-
-def keyed_month_stats(listing_d: DataFrame, host_d: DataFrame,
-                      keys: Sequence[str]) -> DataFrame:
-    """Per (keys, s_date) over listing x host joined rows, every group kept
-    (null keys included): active/all/inactive counts, superhost counts, and
+def host_collapse(host_d: DataFrame) -> DataFrame:
+    """Stored host side, one row per (listing_id, s_date, host_neighbourhood,
+    host_name): row counts, superhost counts and ``host_no``, a number 1..N of the
+    host name (null for no name)."""
+    known = host_months(host_d).where(F.col("listing_id").isNotNull())
+    rows = known.groupBy("listing_id", MONTH, "host_neighbourhood", "host_name").agg(
+        F.count(F.lit(1)).alias("h_rows"),
+        F.count("host_is_superhost").alias("h_sup_known"),
+        F.count_if(is_true_flag("host_is_superhost")).alias("h_sup_t"))
+    names = with_surrogate_id(
+        known.where(F.col("host_name").isNotNull()).select("host_name").distinct(), "host_no")
+    return stored(rows.join(names, "host_name", "left"), "host-months")
+
+
+def _month_counts(hosts: DataFrame) -> DataFrame:
+    return hosts.groupBy("listing_id", MONTH).agg(
+        F.sum("h_rows").alias("h_rows"), F.sum("h_sup_known").alias("h_sup_known"),
+        F.sum("h_sup_t").alias("h_sup_t"))
+
+
+def set_columns(key_sets: KeySets) -> list[str]:
+    """All keys of all sets, each once."""
+    return list(dict.fromkeys(k for keys in key_sets for k in keys))
+
+
+def _per_listing(rows: DataFrame, key_sets: KeySets, *aggs, also: Sequence[str] = ()) -> DataFrame:
+    """``rows`` collapsed per listing id, the keys of each set and ``also``, with
+    ``key_set``: one pass over the rows for all sets."""
+    columns = ["listing_id", *also, *set_columns(key_sets)]
+    if len(key_sets) == 1:
+        out = rows.groupBy(*columns).agg(*aggs)
+        return out.select(F.lit(0).alias(KEY_SET), *out.columns)
+    sets = [["listing_id", *also, *keys] for keys in key_sets]
+    # grouping_id: one bit per column, set where the column is left out
+    ids = [int("".join("0" if c in keys else "1" for c in columns), 2) for keys in sets]
+    number = F.coalesce(*(F.when(F.col("_gid") == g, k) for k, g in enumerate(ids)))
+    out = rows.groupingSets([[F.col(c) for c in keys] for keys in sets], *columns).agg(
+        F.grouping_id(*columns).alias("_gid"), *aggs)
+    return out.select(number.alias(KEY_SET), *(c for c in out.columns if c != "_gid"))
+
+
+def _known_keys(key_sets: KeySets):
+    """No key of a row's own set is null."""
+    known = F.lit(False)
+    for k, keys in enumerate(key_sets):
+        known = known | ((F.col(KEY_SET) == k) & _all_not_null(keys))
+    return known
+
+
+def month_stats(listing_d: DataFrame, hosts: DataFrame, key_sets: KeySets) -> DataFrame:
+    """Per (key_set, keys, s_date) over listing x host joined rows, every group
+    kept (null keys included): active/all/inactive counts, superhost counts, and
     the active listings' min/max/avg price, price sum, nights and rating.
 
     Both sides collapse to one row per (listing_id, keys) and per
     (listing_id, s_date); nothing here needs the individual prices.
     """
-    keys = list(keys)
+    columns = set_columns(key_sets)
     active = is_true_flag("has_availability")
     act_price = F.when(active, F.col("price"))
-    l1 = (listing_d
-          .select("listing_id", *keys, "price", "has_availability",
-                  "availability_30", "review_scores_rating")
-          .groupBy("listing_id", *keys)
-          .agg(F.count(F.lit(1)).alias("l_rows"),
-               F.count_if(active).alias("l_act"),
-               F.count_if(is_false_flag("has_availability")).alias("l_inact"),
-               F.min(act_price).alias("l_min_price"),
-               F.max(act_price).alias("l_max_price"),
-               F.sum(act_price).alias("l_price_sum"),
-               F.count(act_price).alias("l_price_n"),
-               F.sum(F.when(active, stay_days("availability_30"))).alias("l_act_stay"),
-               F.sum(F.when(active, F.col("review_scores_rating"))).alias("l_act_rating_sum"),
-               F.count(F.when(active, F.col("review_scores_rating"))).alias("l_act_rating_n")))
-    j = l1.join(_host_month_counts(host_d), "listing_id")
+    l1 = _per_listing(
+        listing_d.where(F.col("listing_id").isNotNull()).select(
+            "listing_id", *columns, "price", "has_availability", "availability_30", "review_scores_rating"),
+        key_sets,
+        F.count(F.lit(1)).alias("l_rows"),
+        F.count_if(active).alias("l_act"),
+        F.count_if(is_false_flag("has_availability")).alias("l_inact"),
+        F.min(act_price).alias("l_min_price"),
+        F.max(act_price).alias("l_max_price"),
+        F.sum(act_price).alias("l_price_sum"),
+        F.count(act_price).alias("l_price_n"),
+        F.sum(F.when(active, stay_days("availability_30"))).alias("l_act_stay"),
+        F.sum(F.when(active, F.col("review_scores_rating"))).alias("l_act_rating_sum"),
+        F.count(F.when(active, F.col("review_scores_rating"))).alias("l_act_rating_n"))
+    j = l1.join(_month_counts(hosts), "listing_id")
     h = F.col("h_rows")
-    return j.groupBy(*keys, MONTH).agg(
+    return j.groupBy(KEY_SET, *columns, MONTH).agg(
         F.sum(F.col("l_act") * h).alias("active_listing_count"),
         F.sum(F.col("l_rows") * h).alias("all_listing_count"),
         F.sum(F.col("l_inact") * h).alias("inactive_listing_count"),
@@ -90,7 +140,7 @@ def keyed_month_stats(listing_d: DataFrame, host_d: DataFrame,
         F.sum(F.col("l_act_rating_sum") * h).alias("_rating_sum"),
         F.sum(F.col("l_act_rating_n") * h).alias("_rating_n"),
     ).select(
-        *keys, MONTH, "active_listing_count", "all_listing_count",
+        KEY_SET, *columns, MONTH, "active_listing_count", "all_listing_count",
         "inactive_listing_count", "all_count_host_is_superhost",
         "count_host_is_superhost", "min_price", "max_price",
         _safe_avg("price", "_price_n").alias("avg_price"),
@@ -98,31 +148,72 @@ def keyed_month_stats(listing_d: DataFrame, host_d: DataFrame,
         "total_staying", "price")
 
 
-def keyed_month_median_price(listing_d: DataFrame, host_d: DataFrame,
-                             keys: Sequence[str], only_active: bool = True,
-                             drop_null_keys: bool = True) -> DataFrame:
-    """Exact median price per (keys, s_date) over joined (active) rows.
+def month_median_price(listing_d: DataFrame, hosts: DataFrame, key_sets: KeySets,
+                       only_active: bool = True, drop_null_keys: bool = True) -> DataFrame:
+    """Exact median price per (key_set, keys, s_date) over joined (active) rows.
 
     Each listing price is repeated once per joined host row, so the median is
     a weighted one: the listing side collapses to (listing_id, keys, price)
-    with a row count, the host side to (listing_id, s_date) with a row count,
-    and percentile(price, 0.5, l_n * h_n) runs on the joined pairs. Its
-    partial aggregation keeps one price -> weight map per group and task, so
-    the shuffle carries at most one entry per distinct price and group.
+    with a row count, the host side to (listing_id, s_date) with a row count.
     """
-    keys = list(keys)
     lsrc = listing_d.filter(is_true_flag("has_availability")) if only_active else listing_d
-    lsrc = lsrc.filter(F.col("price").isNotNull())
-    hsrc = host_months(host_d)
+    lsrc = lsrc.filter(F.col("price").isNotNull() & F.col("listing_id").isNotNull())
+    lp = _per_listing(lsrc.select("listing_id", *set_columns(key_sets), "price"), key_sets,
+                      F.count(F.lit(1)).alias("l_n"), also=["price"])
+    hm = _month_counts(hosts).select("listing_id", MONTH, F.col("h_rows").alias("h_n"))
+    if drop_null_keys:
+        lp, hm = lp.filter(_known_keys(key_sets)), hm.filter(F.col(MONTH).isNotNull())
+    return paired_median(lp, hm, "listing_id", [KEY_SET, *set_columns(key_sets)], [MONTH],
+                         "price", "l_n", "h_n", "median_price")
+
+
+def month_distinct_hosts(listing_d: DataFrame, hosts: DataFrame, key_sets: KeySets,
+                         only_active: bool = True, drop_null_keys: bool = True) -> DataFrame:
+    """count(distinct host_name) per (key_set, keys, s_date) over joined rows.
+
+    Hosts are numbers, 64 of them a word. The host side sends one row per
+    (listing, month, word) with the bits of its hosts, the groups combine words
+    by OR (a hash aggregate over a long, so copies are combined before the
+    shuffle) and count bits last. A hot listing with H hosts a month so sends
+    H / 64 rows per month and key, not H. Groups without a named host have no
+    row."""
+    columns = set_columns(key_sets)
+    lsrc = listing_d.filter(is_true_flag("has_availability")) if only_active else listing_d
+    ld = _per_listing(lsrc.where(F.col("listing_id").isNotNull()).select("listing_id", *columns), key_sets,
+                      F.lit(1).alias("_one")).drop("_one")
+    words = hosts.where(F.col("host_no").isNotNull())
     if drop_null_keys:
-        lsrc = lsrc.filter(_all_not_null(keys))
-        hsrc = hsrc.filter(F.col(MONTH).isNotNull())
-    lp = lsrc.groupBy("listing_id", *keys, "price").agg(F.count(F.lit(1)).alias("l_n"))
-    hm = hsrc.groupBy("listing_id", MONTH).agg(F.count(F.lit(1)).alias("h_n"))
-    weighted = lp.join(hm, "listing_id")
-    return (weighted.groupBy(*keys, MONTH)
-                    .agg(F.percentile("price", F.lit(0.5), F.col("l_n") * F.col("h_n"))
-                          .alias("median_price")))
+        ld, words = ld.filter(_known_keys(key_sets)), words.filter(F.col(MONTH).isNotNull())
+    words = words.groupBy("listing_id", MONTH, host_word().alias("word")).agg(F.bit_or(host_bit()).alias("bits"))
+    return (ld.join(words, "listing_id").groupBy(KEY_SET, *columns, MONTH, "word")
+              .agg(F.bit_or("bits").alias("bits"))
+              .groupBy(KEY_SET, *columns, MONTH)
+              .agg(F.sum(F.bit_count("bits")).alias("distinct_host_count")))
+
+
+def host_word():
+    return F.shiftright("host_no", 6)
+
+
+def host_bit():
+    return F.expr("shiftleft(1L, cast(host_no & 63 as int))")
+
+
+def one_set(df: DataFrame, number: int, key_sets: KeySets) -> DataFrame:
+    """Rows of one key set, without the columns of the others."""
+    out = df.where(F.col(KEY_SET) == number) if len(key_sets) > 1 else df
+    return out.drop(KEY_SET, *(c for c in set_columns(key_sets) if c not in key_sets[number]))
+
+
+def keyed_month_stats(listing_d: DataFrame, host_d: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``month_stats`` of one set of keys over the host dimension."""
+    return month_stats(listing_d, host_collapse(host_d), [keys]).drop(KEY_SET)
+
+
+def keyed_month_distinct_hosts(listing_d: DataFrame, host_d: DataFrame, keys: Sequence[str],
+                               only_active: bool = True, drop_null_keys: bool = True) -> DataFrame:
+    """``month_distinct_hosts`` of one set of keys over the host dimension."""
+    return month_distinct_hosts(listing_d, host_collapse(host_d), [keys], only_active, drop_null_keys).drop(KEY_SET)
 
 
 def monthly_activity(listing_d: DataFrame, host_d: DataFrame) -> DataFrame:
@@ -139,33 +230,11 @@ def monthly_activity(listing_d: DataFrame, host_d: DataFrame) -> DataFrame:
                    F.sum(F.col("l_inact") * F.col("h_rows")).alias("inactive_listing_count")))
 
 
-def keyed_month_distinct_hosts(listing_d: DataFrame, host_d: DataFrame,
-                               keys: Sequence[str], only_active: bool = True,
-                               drop_null_keys: bool = True) -> DataFrame:
-    """count(distinct host_name) per (keys, s_date) over joined rows. Both
-    sides are de-duplicated per listing id before the join."""
-    keys = list(keys)
-    lsrc = listing_d.filter(is_true_flag("has_availability")) if only_active else listing_d
-    if drop_null_keys:
-        lsrc = lsrc.filter(_all_not_null(keys))
-    ld = lsrc.select("listing_id", *keys).distinct()
-    hsrc = host_months(host_d)
-    if drop_null_keys:
-        hsrc = hsrc.filter(F.col(MONTH).isNotNull())
-    hd = hsrc.select("listing_id", MONTH, "host_name").distinct()
-    # Partial aggregation on (keys, month, host) runs right after the join, so
-    # a hot (keys, month) group is spread over its hosts before the shuffle.
-    joined = ld.join(hd, "listing_id")
-    return (joined.groupBy(*keys, MONTH)
-                  .agg(F.count_distinct("host_name").alias("distinct_host_count")))
-
-
-def pair_counts(listing_d: DataFrame, host_d: DataFrame) -> DataFrame:
+def pair_counts(listing_d: DataFrame, hosts: DataFrame) -> DataFrame:
     """count(*) of joined rows per (host_neighbourhood, listing_neighbourhood)."""
     l2 = listing_d.groupBy("listing_id", "listing_neighbourhood").agg(
         F.count(F.lit(1)).alias("l_rows"))
-    h2 = host_d.groupBy("listing_id", "host_neighbourhood").agg(
-        F.count(F.lit(1)).alias("h_rows"))
+    h2 = hosts.groupBy("listing_id", "host_neighbourhood").agg(F.sum("h_rows").alias("h_rows"))
     return (l2.join(h2, "listing_id")
               .groupBy("host_neighbourhood", "listing_neighbourhood")
               .agg(F.sum(F.col("l_rows") * F.col("h_rows")).alias("counting")))

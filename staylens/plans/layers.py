@@ -1,20 +1,32 @@
 """Layers of the job as parquet tables under one shared root:
 
-  <root>/raw/<table>  <root>/staging/<table>  <root>/datawarehouse/<table>
-  <root>/datamart/<table>
-
-A write is a full refresh: the new table is written beside the old one and takes
-its place by renaming, so a failed write leaves the old table. Loading without a
-reset replaces only the partitions that the new data has (one snapshot file =
-one partition). With ``names`` every table is also an external table of the
-session's catalog (``raw.x``, ``staging.x`` ...). Exports write CSV part files
-from the executors (no collect), with a leading zero-based row number column in
-the mart's order.
+  <root>/raw/<table>/<tag>  ...  <root>/datamart/<table>/<tag>   data folders
+  <root>/_versions/<number>.json                                 the warehouse
+
+A data folder is written once and never changed. Which folders make up a table is
+said by the newest version file alone: a small map of layer and table to folders.
+A write is a full refresh into a new folder; a load that keeps other months names
+the old folders of those months beside the new one. Copying a layer, promoting
+staging tables and keeping months only write names, no data.
+
+Inside ``with warehouse.run():`` all changes stay with the run and become one new
+version when it ends. A run that fails at any point publishes nothing: readers,
+and the next run, still have every table of the version before. Outside of a run
+every change is published by itself. ``vacuum`` deletes folders that no kept
+version names.
+
+With ``names`` every table is also a view of the session's catalog (``raw.x``,
+``staging.x`` ...), renewed after publishing. Exports write CSV part files from
+the executors (no collect), with a leading zero-based row number column in the
+mart's order.
 """
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,84 +35,177 @@ from staylens.schemas import LAYERS
 from staylens.sources.csv_ingest import csv_writer
 
 STAGING_PREFIX = "stg_"
+VERSIONS = "_versions"
+
+#: A table: its partition columns and its parts. A part is a data folder, with the
+#: partition folders that still count (none named: all of it).
+Entry = dict
 
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str, names: bool = False):
         self.spark, self.root, self.names = spark, root.rstrip("/"), names
+        self._draft: dict[str, Entry] | None = None
 
-    def path(self, layer: str, table: str) -> str:
-        if layer not in LAYERS:
-            raise ValueError(f"unknown layer {layer!r}; expected one of {LAYERS}")
-        return f"{self.root}/{layer}/{table.lower()}"
-
+    # -- the version file --------------------------------------------------
     def _fs(self):
         hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         return hadoop.Path, hadoop.Path(self.root).getFileSystem(conf)
 
-    def _folders(self, path: str) -> list[str]:
+    def _list(self, path: str, folders: bool) -> list[str]:
         to, fs = self._fs()
         if not fs.exists(to(path)):
             return []
-        return sorted(s.getPath().getName() for s in fs.listStatus(to(path)) if s.isDirectory())
+        return sorted(s.getPath().getName() for s in fs.listStatus(to(path)) if s.isDirectory() == folders)
 
-    def exists(self, layer: str, table: str) -> bool:
+    def versions(self) -> list[int]:
+        """Numbers of the published versions, ascending."""
+        names = self._list(f"{self.root}/{VERSIONS}", folders=False)
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+
+    def _load(self, version: int) -> dict[str, Entry]:
+        to, fs = self._fs()
+        stream = fs.open(to(f"{self.root}/{VERSIONS}/{version:012d}.json"))
+        try:
+            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def state(self) -> dict[str, Entry]:
+        """The tables as this warehouse object sees them: its run's, or those of
+        the newest version."""
+        if self._draft is not None:
+            return self._draft
+        known = self.versions()
+        return self._load(known[-1]) if known else {}
+
+    def _publish(self, tables: dict[str, Entry], base: int) -> None:
+        """``tables`` as the version after ``base``; an error if another run has
+        published in between."""
+        to, fs = self._fs()
+        target = to(f"{self.root}/{VERSIONS}/{base + 1:012d}.json")
+        written = to(f"{self.root}/{VERSIONS}/new-{uuid.uuid4().hex}")
+        stream = fs.create(written, False)
+        stream.write(bytearray(json.dumps(tables, sort_keys=True, indent=1).encode()))
+        stream.close()
+        if fs.exists(target) or not fs.rename(written, target):
+            fs.delete(written, False)
+            raise OSError(f"another run has published version {base + 1} of {self.root}")
+
+    @contextmanager
+    def run(self) -> Iterator[Warehouse]:
+        """All changes inside become one version, or none if the run fails."""
+        if self._draft is not None:
+            raise RuntimeError("a run is open already")
+        known = self.versions()
+        base = known[-1] if known else 0
+        before = self._load(base) if known else {}
+        self._draft = dict(before)
+        try:
+            yield self
+            made = self._draft
+            if made != before:
+                self._publish(made, base)
+        finally:
+            self._draft = None
+        for table in made:
+            if made[table] != before.get(table):
+                self._name(table, made[table])
+
+    def _put(self, changes: dict[str, Entry]) -> None:
+        if self._draft is not None:
+            self._draft |= changes
+        else:
+            with self.run():
+                self._draft |= changes
+
+    def vacuum(self, keep: int = 2) -> list[str]:
+        """Delete the data folders that none of the last ``keep`` versions names, and
+        the older version files; the folders deleted. Not while a run is open."""
         to, fs = self._fs()
-        return bool(fs.exists(to(self.path(layer, table))))
+        known = self.versions()
+        named = {part["path"] for v in known[-keep:] for e in self._load(v).values() for part in e["parts"]}
+        gone = [path for layer in LAYERS for t in self._list(f"{self.root}/{layer}", folders=True)
+                for tag in self._list(f"{self.root}/{layer}/{t}", folders=True)
+                if (path := f"{self.root}/{layer}/{t}/{tag}") not in named]
+        for v in known[:-keep]:
+            fs.delete(to(f"{self.root}/{VERSIONS}/{v:012d}.json"), False)
+        for path in gone:
+            fs.delete(to(path), True)
+        return gone
+
+    # -- tables --------------------------------------------------------------
+    @staticmethod
+    def _key(layer: str, table: str) -> str:
+        if layer not in LAYERS:
+            raise ValueError(f"unknown layer {layer!r}; expected one of {LAYERS}")
+        return f"{layer}.{table.lower()}"
+
+    def exists(self, layer: str, table: str) -> bool:
+        return self._key(layer, table) in self.state()
 
     def tables(self, layer: str) -> list[str]:
-        return [n for n in self._folders(f"{self.root}/{layer}") if "." not in n]
+        return sorted(k.split(".", 1)[1] for k in self.state() if k.startswith(f"{layer}."))
 
     def partition_columns(self, layer: str, table: str) -> list[str]:
-        """Columns that a table's folders are named after."""
-        path, found = self.path(layer, table), []
-        while inner := [n for n in self._folders(path) if "=" in n]:
-            found.append(inner[0].split("=", 1)[0])
-            path = f"{path}/{inner[0]}"
-        return found
+        return list(self.state()[self._key(layer, table)]["partitions"])
+
+    def folders(self, layer: str, table: str) -> list[str]:
+        """Data folders of a table."""
+        return [part["path"] for part in self.state()[self._key(layer, table)]["parts"]]
 
     def write(self, layer: str, table: str, df: DataFrame, partition_by: Iterable[str] = (),
               keep_other_partitions: bool = False) -> DataFrame:
         """Full refresh of a table, or of the partitions in ``df`` only; returns
         the table as written."""
-        path, parts = self.path(layer, table), list(partition_by)
-        if keep_other_partitions and self.partition_columns(layer, table):
-            (df.write.mode("overwrite").partitionBy(*parts)
-             .option("partitionOverwriteMode", "dynamic").parquet(path))
-        else:
-            tag = uuid.uuid4().hex[:12]
-            df.write.partitionBy(*parts).parquet(f"{path}.new-{tag}")
-            to, fs = self._fs()
-            old = to(f"{path}.old-{tag}")
-            had = fs.exists(to(path)) and fs.rename(to(path), old)
-            if not fs.rename(to(f"{path}.new-{tag}"), to(path)):
-                if had:
-                    fs.rename(old, to(path))
-                raise OSError(f"could not put the new table at {path}")
-            if had:
-                fs.delete(old, True)
-        self.spark.catalog.refreshByPath(path)
-        if self.names:
-            self._name(layer, table, bool(parts))
+        key, columns = self._key(layer, table), list(partition_by)
+        path = f"{self.root}/{key.replace('.', '/', 1)}/{uuid.uuid4().hex[:12]}"
+        df.write.partitionBy(*columns).parquet(path)
+        parts = [{"path": path}]
+        old = self.state().get(key)
+        if keep_other_partitions and old and columns and old["partitions"] == columns:
+            fresh = set(self._list(path, folders=True))
+            for part in old["parts"]:
+                there = part.get("folders") or [n for n in self._list(part["path"], folders=True) if "=" in n]
+                if kept := [n for n in there if n not in fresh]:
+                    parts.append({"path": part["path"], "folders": kept})
+            if not fresh:
+                parts = parts[1:] or parts
+        self._put({key: {"partitions": columns, "parts": parts}})
         return self.read(layer, table)
 
-    def _name(self, layer: str, table: str, partitioned: bool) -> None:
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
-        self.spark.sql(f"DROP TABLE IF EXISTS {layer}.`{table}`")  # external: files stay
-        self.spark.catalog.createTable(f"{layer}.`{table}`", path=self.path(layer, table), source="parquet")
-        if partitioned:
-            self.spark.catalog.recoverPartitions(f"{layer}.`{table}`")
+    def _read(self, entry: Entry) -> DataFrame:
+        reader = self.spark.read
+        frames = [reader.option("basePath", p["path"]).parquet(*(f"{p['path']}/{n}" for n in p["folders"]))
+                  if "folders" in p else self.spark.read.parquet(p["path"]) for p in entry["parts"]]
+        return reduce(DataFrame.unionByName, frames)
 
     def read(self, layer: str, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(layer, table))
+        return self._read(self.state()[self._key(layer, table)])
+
+    def _name(self, key: str, entry: Entry) -> None:
+        if not self.names:
+            return
+        layer, table = key.split(".", 1)
+        columns = ", ".join(f"`{c}`" for c in self._read(entry).columns)
+        selects = []
+        for part in entry["parts"]:
+            only = ""
+            if "folders" in part:  # folder names are column=value
+                values = ", ".join("'" + n.split("=", 1)[1].replace("'", "\\'") + "'" for n in part["folders"])
+                only = f" WHERE `{entry['partitions'][0]}` IN ({values})"
+            selects.append(f"SELECT {columns} FROM parquet.`{part['path']}`{only}")
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {layer}.`{table}` AS {' UNION ALL '.join(selects)}")
 
     def copy(self, src_layer: str, dst_layer: str, tables: Iterable[str],
              rename: Callable[[str], str] = lambda t: t) -> dict[str, DataFrame]:
         """CREATE OR REPLACE dst.t AS SELECT * FROM src.t, for each table, with
-        its partitioning."""
-        return {rename(t): self.write(dst_layer, rename(t), self.read(src_layer, t),
-                                      self.partition_columns(src_layer, t)) for t in tables}
+        its partitioning: the new table names the data folders of the old one."""
+        state, names = self.state(), {t: rename(t) for t in tables}
+        self._put({self._key(dst_layer, new): state[self._key(src_layer, t)] for t, new in names.items()})
+        return {new: self.read(dst_layer, new) for new in names.values()}
 
     def promote(self, tables: Iterable[str]) -> dict[str, DataFrame]:
         """Staging -> warehouse, dropping the 'stg_' prefix."""

@@ -3,7 +3,7 @@ dimensions -> listing/host dimensions -> fact -> promote -> marts -> export.
 
 State passes between stages only through the layer tables, so each stage
 can be re-run alone, and a failed executor costs a task retry, never a
-restart of the job.
+restart of the job. The tables of a refresh are published together, last.
 """
 from __future__ import annotations
 
@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from staylens.operators.fanout import host_collapse
 from staylens.plans import marts, star
 from staylens.plans.layers import REJECTS, Warehouse, export_csv, reject_rows
 from staylens.sources import csv_ingest
@@ -102,10 +103,13 @@ def build_marts(wh: Warehouse, include_keys: bool = False) -> dict[str, DataFram
     shape (marts 1 and 2 without group keys) or with the keys. Returned are the
     marts with keys, which an export needs for its order."""
     ld, hd = wh.read("datawarehouse", "listing_d"), wh.read("datawarehouse", "hosting_d")
+    hosts = host_collapse(hd)  # read by all three marts
+    neighbourhood, property_type = marts.listing_marts(
+        ld, hosts, [marts.NEIGHBOURHOOD_KEYS, marts.PROPERTY_KEYS], include_keys=True)
     keyed = {
-        "dm_listing_neighbourhood": stored(marts.listing_neighbourhood_mart(ld, hd, True), "mart"),
-        "dm_property_type": stored(marts.property_type_mart(ld, hd, True), "mart"),
-        "dm_host_neighbourhood": stored(marts.host_neighbourhood_mart(ld, hd), "mart"),
+        "dm_listing_neighbourhood": stored(neighbourhood, "mart"),
+        "dm_property_type": stored(property_type, "mart"),
+        "dm_host_neighbourhood": stored(marts.host_neighbourhood_mart(ld, hd, hosts=hosts), "mart"),
     }
     for name, df in keyed.items():
         wh.write("datamart", name, df.drop(*([] if include_keys else HIDDEN_KEYS.get(name, ()))))
@@ -115,19 +119,22 @@ def build_marts(wh: Warehouse, include_keys: bool = False) -> dict[str, DataFram
 def run_pipeline(spark: SparkSession, source_root: str, warehouse_root: str,
                  export_root: str | None = None, reset: bool = True, include_keys: bool = False,
                  names: bool = True) -> PipelineResult:
-    """Nothing is reset before the source has been found complete. With ``names``
-    the layers' tables can be queried as raw.x, staging.x, datawarehouse.x and
-    datamart.x; ``reset=False`` keeps months that the source no longer has."""
+    """Nothing is reset before the source has been found complete, and all tables
+    change together after the marts: a run that fails on the way leaves every table
+    as it was. With ``names`` the layers' tables can be queried as raw.x, staging.x,
+    datawarehouse.x and datamart.x; ``reset=False`` keeps months that the source no
+    longer has."""
     ensure_checkpoint_dir(spark)
     check_source(spark, source_root)
     wh = Warehouse(spark, warehouse_root, names)
-    if reset:
-        wh.reset()                                                    # 1
-    rejected = load_raw(spark, wh, source_root, not reset)            # 2
-    wh.copy("raw", "staging", [t for t in wh.tables("raw") if t != REJECTS])   # 3
-    build_star(wh)                                                    # 4-6
-    wh.promote(STAGE_TABLES)                                          # 7
-    keyed = build_marts(wh, include_keys)                             # 8
+    with wh.run():
+        if reset:
+            wh.reset()                                                    # 1
+        rejected = load_raw(spark, wh, source_root, not reset)            # 2
+        wh.copy("raw", "staging", [t for t in wh.tables("raw") if t != REJECTS])   # 3
+        build_star(wh)                                                    # 4-6
+        wh.promote(STAGE_TABLES)                                          # 7
+        keyed = build_marts(wh, include_keys)                             # 8
     exports = {}
     if export_root:                                                   # 9
         for name, df in keyed.items():

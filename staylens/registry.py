@@ -213,7 +213,7 @@ def _win_lag_pct_change(c: Ctx) -> DataFrame:
 @register("argmax_with_ties")
 def _argmax_with_ties(c: Ctx) -> DataFrame:
     """Host neighbourhood -> most frequent listing LGA, ties kept."""
-    return marts.host_lga_mapping(c.listing_d(), c.host_d())
+    return marts.host_lga_mapping(c.listing_d(), fanout.host_collapse(c.host_d()))
 
 
 @register("sort_by_hidden_key")

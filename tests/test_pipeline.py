@@ -133,3 +133,87 @@ def test_rejects_are_stored_and_a_failed_write_keeps_the_table(spark, tmpdir_pat
     with pytest.raises(Exception, match="no"):
         res.warehouse.write("raw", "census_01", failing)
     assert res.warehouse.read("raw", "census_01").count() == 2
+
+
+def _state(wh):
+    return {f"{layer}.{t}": _snap(wh, layer, t) for layer in schemas.LAYERS for t in wh.tables(layer)}
+
+
+def test_a_run_that_dies_between_stages_leaves_every_old_table(spark, tmpdir_path, monkeypatch):
+    src, wh_root = f"{tmpdir_path}/src", f"{tmpdir_path}/wh"
+    _sources(src)
+    wh = pipeline.run_pipeline(spark, src, wh_root, names=False).warehouse
+    before, versions = _state(wh), wh.versions()
+    _write(f"{src}/listings/listing_05_2020.csv", [f.upper() for f in FIELDS],
+           [["" if x[f] is None else x[f] for f in FIELDS] for x in ROWS["listing_05_2020"][:1]])
+    for stage, reset in (("load_raw", True), ("load_raw", False), ("build_star", True), ("_publish", True)):
+        home = pipeline if hasattr(pipeline, stage) else pipeline.Warehouse
+        real = getattr(home, stage)
+
+        def dies(*args, **kwargs):
+            if stage != "_publish":
+                real(*args, **kwargs)
+            raise RuntimeError("killed")
+
+        with monkeypatch.context() as m:
+            m.setattr(home, stage, dies)
+            with pytest.raises(RuntimeError, match="killed"):
+                pipeline.run_pipeline(spark, src, wh_root, reset=reset, names=False)
+        assert pipeline.Warehouse(spark, wh_root).versions() == versions
+    again = pipeline.Warehouse(spark, wh_root)
+    assert _state(again) == before
+    after = pipeline.run_pipeline(spark, src, wh_root, names=False).warehouse
+    assert after.read("raw", pipeline.SNAPSHOT_TABLE).count() == 4
+    # the folders of the failed runs are named by no version
+    gone = after.vacuum(keep=1)
+    assert gone and after.read("datawarehouse", "listing_d").count() == 4
+    assert len(after.versions()) == 1
+
+
+def _files(root):
+    return {f for d, _, names in os.walk(root) for f in (os.path.join(d, n) for n in names) if f.endswith(".parquet")}
+
+
+def test_copy_and_promotion_write_no_data_file(spark, tmpdir_path):
+    wh = pipeline.Warehouse(spark, f"{tmpdir_path}/wh")
+    table = spark.range(10).selectExpr("id", "id % 3 AS m")
+    wh.write("raw", "a", table, ["m"])
+    wh.write("staging", "stg_b", table)
+    before = _files(tmpdir_path)
+    wh.copy("raw", "staging", ["a"])
+    wh.promote(["stg_b"])
+    assert _files(tmpdir_path) == before
+    assert wh.folders("staging", "a") == wh.folders("raw", "a")
+    assert wh.partition_columns("staging", "a") == ["m"] and wh.read("datawarehouse", "b").count() == 10
+    # a refresh of the source does not change the copy
+    wh.write("raw", "a", table.limit(1), ["m"])
+    assert wh.read("staging", "a").count() == 10 and wh.read("raw", "a").count() == 1
+
+
+def test_months_are_replaced_without_rewriting_the_others(spark, tmpdir_path):
+    wh = pipeline.Warehouse(spark, f"{tmpdir_path}/wh", names=True)
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "x int, m string")
+    wh.write("raw", "t", rows, ["m"])
+    old = _files(tmpdir_path)
+    wh.write("raw", "t", spark.createDataFrame([(20, "b"), (21, "b"), (40, "d")], "x int, m string"), ["m"],
+             keep_other_partitions=True)
+    wh.write("raw", "t", spark.createDataFrame([(30, "c")], "x int, m string"), ["m"], keep_other_partitions=True)
+    assert old <= _files(tmpdir_path)
+    want = [(1, "a"), (20, "b"), (21, "b"), (30, "c"), (40, "d")]
+    assert sorted(tuple(r) for r in wh.read("raw", "t").collect()) == want
+    assert sorted(tuple(r) for r in spark.table("raw.t").select("x", "m").collect()) == want
+    plan = wh.read("raw", "t").where("m = 'c'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(m" in plan
+    # nothing new: everything stays
+    wh.write("raw", "t", rows.limit(0), ["m"], keep_other_partitions=True)
+    assert sorted(tuple(r) for r in wh.read("raw", "t").collect()) == want
+
+
+def test_two_runs_cannot_publish_the_same_version(spark, tmpdir_path):
+    one, two = (pipeline.Warehouse(spark, f"{tmpdir_path}/wh") for _ in range(2))
+    one.write("raw", "t", spark.range(1))
+    with pytest.raises(OSError, match="another run"):
+        with one.run():
+            one.write("raw", "t", spark.range(2))
+            two.write("raw", "t", spark.range(3))
+    assert two.read("raw", "t").count() == 3 and one.read("raw", "t").count() == 3

@@ -23,6 +23,10 @@ def _input_kind(node):
     columns = node.schema().fieldNames() if node.nodeName() == "LogicalRelation" else []
     if sorted(columns) == ["host_neighbourhood", "host_neighbourhood_lga"]:
         return "Stored"  # the area mapping of mart 3
+    if "h_rows" in columns:
+        return "Stored"  # the host side, collapsed
+    if "l_n" in columns or columns[-1:] == ["_high"]:
+        return "Stored"  # listing prices and middle buckets of the median
     if "inactive_listing_count" in columns or "all_listing_count" in columns:
         return "Stored"  # the group statistics of marts 1 and 2
     return node.nodeName()
