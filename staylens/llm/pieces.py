@@ -10,8 +10,8 @@ together, runs of byte pieces as UTF-8.
 
 Where no piece of the vocabulary holds two neighbouring code points, no merge
 can ever cross them. So the text is parted in front of every run of U+2581
-(when no piece holds one after another sign) and around signs that stand in no
-longer piece, every part has an agenda of its own, and parts that were met
+(when no piece holds one after another sign), around signs that stand in no longer
+piece, and in front of signs that no piece holds after a letter; every part has an agenda of its own, and parts that were met
 before are looked up. The ids are those of one agenda over the whole text.
 
 Every batch is checked against the ``sentencepiece`` library: it encodes all parts
@@ -45,6 +45,7 @@ SPACE = "▁"
 CACHE_PARTS = 250_000
 #: Longer parts are not remembered.
 CACHE_CHARS = 64
+LETTER = re.compile(r"[^\W\d_]")
 #: Up to this length the agenda is a plain list, which is quicker than a heap.
 LIST_CHARS = 24
 CODED = "doc_id long, ids array<int>, decoded string, library_equal boolean"
@@ -94,9 +95,12 @@ class PieceCoder:
         inner = any(a != SPACE and b == SPACE for p in long for a, b in zip(p, p[1:]))
         if inner:  # pieces may cross words: only signs of no longer piece part
             return re.compile(f"[{alone}]|[^{alone}]+" if alone else "(?s:.+)")
-        if not alone:
-            return re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-        return re.compile(f"[{alone}]|{SPACE}+[^{SPACE}{alone}]*|[^{SPACE}{alone}]+")
+        # signs that no piece holds after a letter: a word ends in front of them
+        after = {b for p in long for a, b in zip(p, p[1:]) if LETTER.fullmatch(a)}
+        ending = re.escape("".join(c for c in map(chr, range(128)) if not LETTER.fullmatch(c) and c not in after))
+        word = f"{SPACE}+{LETTER.pattern}+(?=[{ending}])|" if ending else ""
+        sign = f"[{alone}]|" if alone else ""
+        return re.compile(f"{sign}{word}{SPACE}+[^{SPACE}{alone}]*|[^{SPACE}{alone}]+")
 
     def agenda(self, part: str) -> list[str]:
         """Symbols of one part after all merges."""
@@ -145,8 +149,12 @@ class PieceCoder:
         return out
 
     def _ids(self, part: str) -> tuple[int, ...]:
-        ids: list[int] = []
-        for s in self.agenda(part):
+        symbols = self.agenda(part)
+        ids = [self.id.get(s, -1) for s in symbols]
+        if -1 not in ids:
+            return tuple(ids)
+        ids = []
+        for s in symbols:
             if s in self.id:
                 ids.append(self.id[s])
             elif self.byte_id:
