@@ -30,6 +30,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from staylens.schemas import LAYERS
 from staylens.sources.csv_ingest import csv_writer
@@ -37,8 +38,8 @@ from staylens.sources.csv_ingest import csv_writer
 STAGING_PREFIX = "stg_"
 VERSIONS = "_versions"
 
-#: A table: its partition columns and its parts. A part is a data folder, with the
-#: partition folders that still count (none named: all of it).
+#: A table: its partition columns and its parts. A part is a data folder with its
+#: schema, and the partition folders that still count (none named: all of it).
 Entry = dict
 
 
@@ -162,24 +163,31 @@ class Warehouse:
         key, columns = self._key(layer, table), list(partition_by)
         path = f"{self.root}/{key.replace('.', '/', 1)}/{uuid.uuid4().hex[:12]}"
         df.write.partitionBy(*columns).parquet(path)
-        parts = [{"path": path}]
+        fields = [*(f for f in df.schema.fields if f.name not in columns), *(df.schema[c] for c in columns)]
+        fresh = [n for n in self._list(path, folders=True) if "=" in n] if columns else []
+        parts = [{"path": path, "schema": T.StructType(fields).json()}]
+        if columns and not fresh:
+            parts[0]["folders"] = []  # no row, no folder
         old = self.state().get(key)
         if keep_other_partitions and old and columns and old["partitions"] == columns:
-            fresh = set(self._list(path, folders=True))
             for part in old["parts"]:
-                there = part.get("folders") or [n for n in self._list(part["path"], folders=True) if "=" in n]
-                if kept := [n for n in there if n not in fresh]:
-                    parts.append({"path": part["path"], "folders": kept})
-            if not fresh:
-                parts = parts[1:] or parts
+                there = part["folders"] if "folders" in part else self._list(part["path"], folders=True)
+                if kept := [n for n in there if "=" in n and n not in fresh]:
+                    parts.append({**part, "folders": kept})
         self._put({key: {"partitions": columns, "parts": parts}})
         return self.read(layer, table)
 
     def _read(self, entry: Entry) -> DataFrame:
-        reader = self.spark.read
-        frames = [reader.option("basePath", p["path"]).parquet(*(f"{p['path']}/{n}" for n in p["folders"]))
-                  if "folders" in p else self.spark.read.parquet(p["path"]) for p in entry["parts"]]
-        return reduce(DataFrame.unionByName, frames)
+        frames = []
+        for part in entry["parts"]:
+            schema = T.StructType.fromJson(json.loads(part["schema"]))
+            reader = self.spark.read.schema(schema)
+            if "folders" not in part:
+                frames.append(reader.parquet(part["path"]))
+            elif part["folders"]:
+                frames.append(reader.option("basePath", part["path"]).parquet(
+                    *(f"{part['path']}/{n}" for n in part["folders"])))
+        return reduce(DataFrame.unionByName, frames) if frames else self.spark.createDataFrame([], schema)
 
     def read(self, layer: str, table: str) -> DataFrame:
         return self._read(self.state()[self._key(layer, table)])
@@ -188,14 +196,20 @@ class Warehouse:
         if not self.names:
             return
         layer, table = key.split(".", 1)
-        columns = ", ".join(f"`{c}`" for c in self._read(entry).columns)
+        schema = self._read(entry).schema
+        columns = ", ".join(f"`{f.name}`" for f in schema)
         selects = []
         for part in entry["parts"]:
             only = ""
+            if not part.get("folders", ["all"]):
+                continue
             if "folders" in part:  # folder names are column=value
                 values = ", ".join("'" + n.split("=", 1)[1].replace("'", "\\'") + "'" for n in part["folders"])
                 only = f" WHERE `{entry['partitions'][0]}` IN ({values})"
             selects.append(f"SELECT {columns} FROM parquet.`{part['path']}`{only}")
+        if not selects:
+            typed = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema)
+            selects = [f"SELECT {typed} WHERE false"]
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
         self.spark.sql(f"CREATE OR REPLACE VIEW {layer}.`{table}` AS {' UNION ALL '.join(selects)}")
 
@@ -265,8 +279,6 @@ def read_export(spark: SparkSession, path: str, schema) -> DataFrame:
 # Registered write/read-back queries (scratch folder next to the checkpoints)
 # ---------------------------------------------------------------------------
 def _register():
-    from pyspark.sql import types as T
-
     from staylens import registry
     from staylens.functions import month_of
     from staylens.plans import marts, star
@@ -328,12 +340,17 @@ def _register():
         field["price"] = F.when(case == 0, "abc").when(case == 5, F.concat(field["price"], F.lit(".0"))).otherwise(field["price"])
         field["host_name"] = (F.when(case == 1, "NULL").when(case == 6, "null")
                               .when(case == 4, F.concat(F.lit('"An ""x"", '), field["host_name"], F.lit('"')))
+                              .when(case == 7, F.concat(F.lit('"An\nna, '), field["host_name"], F.lit('"')))
                               .otherwise(field["host_name"]))
         full = F.concat_ws(",", *[field[n] for n in names])
         short = F.concat_ws(",", *[field[n] for n in names[:-3]])
         line = F.when(case == 2, short).when(case == 3, F.concat(full, F.lit(",more,fields"))).otherwise(full)
-        # lines as they are: no quoting, a separator that no line has
-        (rows.select(line.alias(",".join(names)), csv_ingest.TABLE_COL).write.partitionBy(csv_ingest.TABLE_COL)
+        # lines as they are: no quoting, a separator that no line has; a record with a
+        # line break is two lines, kept together by the order
+        lines = (rows.select(F.monotonically_increasing_id().alias("row"), csv_ingest.TABLE_COL, F.split(line, "\n").alias("lines"))
+                 .select("row", csv_ingest.TABLE_COL, F.posexplode("lines").alias("nth", "line"))
+                 .repartition(csv_ingest.TABLE_COL).sortWithinPartitions(csv_ingest.TABLE_COL, "row", "nth"))
+        (lines.select(F.col("line").alias(",".join(names)), csv_ingest.TABLE_COL).write.partitionBy(csv_ingest.TABLE_COL)
          .option("header", True).option("quote", "\u0000").option("sep", "\u0001").csv(root))
         return root
 
@@ -347,11 +364,55 @@ def _register():
         a = loaded.groupBy(csv_ingest.TABLE_COL).agg(
             F.count(F.lit(1)).alias("n_loaded"), F.sum("price").alias("sum_price"),
             F.count("host_name").alias("n_named"), F.count_if(F.col("host_name").startswith('An "x", ')).alias("n_quoted"),
+            F.count_if(F.col("host_name").startswith("An\nna, ")).alias("n_broken"),
             F.count("review_scores_value").alias("n_valued"))
         b = bad.where("reject_columns = 'price' and fields['price'] = 'abc'").groupBy("source_table").agg(
             F.count(F.lit(1)).alias("n_rejected"))
         return a.join(b, "source_table", "left").withColumn("n_rejected", F.coalesce("n_rejected", F.lit(0)))
 
+    @registry.register("src_infer_widened")
+    def _src_infer_widened(c: registry.Ctx) -> DataFrame:
+        """Month files without a declared schema: columns typed by their values and
+        widened, one read for all tables; types and sums per table."""
+        root = new_scratch_dir(c.spark, "csv")
+        odd = F.col("scrape_id") % 2 == 1
+        csv_ingest.write_csv_tables(_month_table(c.snapshot()).select(
+            F.col("listing_id").alias("Whole"), (F.col("price") / 4).alias("RATIO"),
+            F.when(odd, F.lit("NULL")).otherwise(F.col("accommodates").cast("string")).alias("some_null"),
+            odd.cast("string").alias("flag"), F.col("scraped_date").alias("day"),
+            F.when(odd, "x1").otherwise("1").alias("mixed"), F.lit(None).cast("string").alias("nothing"),
+            csv_ingest.TABLE_COL), root)
+        tables = csv_ingest.list_tables(c.spark, root)
+        found = csv_ingest.infer_raw_schemas(c.spark, tables)  # a few type names per table
+        types = c.spark.createDataFrame(
+            [(name, *(f.dataType.simpleString() for f in s)) for name, s in sorted(found.items())],
+            [csv_ingest.TABLE_COL, *(f"t_{n}" for n in next(iter(found.values())).names)])
+        schema = T.StructType.fromDDL("whole bigint, ratio double, some_null bigint, flag boolean, day string, "
+                                      "mixed string, nothing string")
+        rows, bad = csv_ingest.parse_typed(csv_ingest.read_text_fields(c.spark, tables, schema.fieldNames()), schema)
+        return rows.groupBy(csv_ingest.TABLE_COL).agg(
+            F.count(F.lit(1)).alias("n_rows"), F.sum("whole").alias("sum_whole"), F.sum("ratio").alias("sum_ratio"),
+            F.sum("some_null").alias("sum_some"), F.count_if("flag").alias("n_flag"), F.max("day").alias("last_day"),
+            F.count_if(F.col("mixed") == "x1").alias("n_mixed"), F.count("nothing").alias("n_nothing")).join(
+                types, csv_ingest.TABLE_COL)
+
+    @registry.register("layer_named_tables")
+    def _layer_named_tables(c: registry.Ctx) -> DataFrame:
+        """Snapshot table reached by name in three layers (created, copied and kept
+        under other months), rows per month table."""
+        wh = Warehouse(c.spark, new_scratch_dir(c.spark, "wh"), names=True)
+        rows = _month_table(c.snapshot()).select("listing_id", "price", csv_ingest.TABLE_COL)
+        late = F.substring(csv_ingest.TABLE_COL, 12, 4) >= "1998"
+        with wh.run():
+            wh.write("raw", "gate_snapshots", rows.where(~late), [csv_ingest.TABLE_COL])
+            wh.write("raw", "gate_snapshots", rows.where(late), [csv_ingest.TABLE_COL], keep_other_partitions=True)
+            wh.copy("raw", "staging", ["gate_snapshots"], lambda t: f"stg_{t}")
+            wh.promote(["stg_gate_snapshots"])
+        named = [c.spark.table(t).select("listing_id", "price", csv_ingest.TABLE_COL).withColumn("layer", F.lit(t.split(".")[0]))
+                 for t in ("raw.gate_snapshots", "staging.stg_gate_snapshots", "datawarehouse.gate_snapshots")]
+        return (named[0].unionByName(named[1]).unionByName(named[2]).groupBy("layer", csv_ingest.TABLE_COL)
+                .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("price").alias("sum_price")))
+
     @registry.register("layer_reset_reload")
     def _layer_reset_reload(c: registry.Ctx) -> DataFrame:
         """All months loaded, every layer reset, the even months loaded again:
@@ -448,6 +509,7 @@ SELECT {month_table} AS source_table, count(*) FILTER ({case} <> 0) AS n_loaded,
        CAST(sum(price) FILTER ({case} <> 0) AS BIGINT) AS sum_price,
        count(host_name) FILTER ({case} NOT IN (0, 1, 6)) AS n_named,
        count(host_name) FILTER ({case} = 4) AS n_quoted,
+       count(host_name) FILTER ({case} = 7) AS n_broken,
        count(review_scores_value) FILTER ({case} NOT IN (0, 2)) AS n_valued,
        count(*) FILTER ({case} = 0) AS n_rejected
 FROM snapshot GROUP BY 1"""
@@ -455,6 +517,18 @@ FROM snapshot GROUP BY 1"""
     q["layer_reset_reload"] = with_prefix() + f"""
 SELECT {month_table} AS source_table, count(*) AS n_rows, CAST(sum(price) AS BIGINT) AS sum_price
 FROM snapshot WHERE CAST(substr(scraped_date, 6, 2) AS INTEGER) % 2 = 0 GROUP BY 1"""
+    odd = "scrape_id % 2 = 1"
+    q["src_infer_widened"] = with_prefix() + f"""
+SELECT {month_table} AS source_table, count(*) AS n_rows, CAST(sum(listing_id) AS BIGINT) AS sum_whole,
+       sum(price / 4) AS sum_ratio, CAST(sum(accommodates) FILTER (NOT {odd}) AS BIGINT) AS sum_some,
+       count(*) FILTER ({odd}) AS n_flag, max(scraped_date) AS last_day, count(*) FILTER ({odd}) AS n_mixed,
+       0 AS n_nothing, 'bigint' AS t_whole, 'double' AS t_ratio, CASE WHEN count(*) FILTER (NOT {odd}) > 0 THEN 'bigint' ELSE 'string' END AS t_some_null,
+       'boolean' AS t_flag, 'string' AS t_day, CASE WHEN count(*) FILTER ({odd}) > 0 THEN 'string' ELSE 'bigint' END AS t_mixed,
+       'string' AS t_nothing
+FROM snapshot GROUP BY 1"""
+    q["layer_named_tables"] = with_prefix() + f"""
+SELECT layer, {month_table} AS source_table, count(*) AS n_rows, CAST(sum(price) AS BIGINT) AS sum_price
+FROM snapshot, (VALUES ('raw'), ('staging'), ('datawarehouse')) l(layer) GROUP BY 1, 2"""
     marts12 = {"dm_listing_neighbourhood": ["listing_neighbourhood"],
                "dm_property_type": ["property_type", "room_type", "accommodates"]}
     q["mart_tables_roundtrip"] = " UNION ALL ".join(

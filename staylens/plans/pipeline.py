@@ -72,13 +72,16 @@ def load_raw(spark: SparkSession, wh: Warehouse, source_root: str,
         ok, rejected[name] = csv_ingest.load_reference(spark, source_root, name)
         wh.write("raw", name, ok.drop(csv_ingest.TABLE_COL))
     # any other CSV file is loaded too, with an inferred (widened) schema
-    for name, paths in sorted(found.items()):
-        if "listing" in name or name.lower() in REFERENCE_TABLES:
-            continue
-        schema = csv_ingest.infer_raw_schema(spark, paths)
-        ok, rejected[name] = csv_ingest.parse_typed(
-            csv_ingest.read_text_fields(spark, {name: paths}, schema.fieldNames()), schema)
-        wh.write("raw", name, ok.drop(csv_ingest.TABLE_COL))
+    others = {name: paths for name, paths in sorted(found.items())
+              if "listing" not in name and name.lower() not in REFERENCE_TABLES}
+    if others:
+        scan = csv_ingest.scan_files(spark, [p for paths in others.values() for p in paths])
+        for name, schema in csv_ingest.infer_raw_schemas(spark, others, scan).items():
+            if not schema.fields:
+                continue  # an empty file
+            ok, rejected[name] = csv_ingest.parse_typed(csv_ingest.read_text_fields(
+                spark, {name: others[name]}, schema.fieldNames(), scan=scan), schema)
+            wh.write("raw", name, ok.drop(csv_ingest.TABLE_COL))
     return wh.write("raw", REJECTS, reduce(DataFrame.unionByName, (
         reject_rows(name, bad) for name, bad in rejected.items())))
 

@@ -4,8 +4,8 @@ Rules of the modelled load (one file format for every file):
   * files are found in the source folder and one level below it;
   * a file's table name is its base name up to the first '.'
     (for Spark-written part files: the name of their folder);
-  * ',' delimiter, one header line, '"' quotes honoured, gzip read
-    transparently;
+  * ',' delimiter, one header line, '"' quotes honoured (a quoted field may hold
+    line breaks), gzip read transparently;
   * columns are bound by header name, in any letter case and order; columns the
     schema does not name are left out, a missing one is an error (or null if the
     caller calls it optional). Only the LGA code file is read by position;
@@ -15,8 +15,9 @@ Rules of the modelled load (one file format for every file):
   * a row with a value that does not parse as its column's type is rejected
     and the load continues (rejects are returned, not lost).
 
-Tables with the same header are read in one distributed scan; Spark checks every
-file's own header against it. The fields are read as text, then each typed
+The first lines of all files come from one distributed read, which also finds the
+files with quoted line breaks (``csv_records``). Files with the same header are
+then read in one distributed scan. The fields are read as text, then each typed
 column is a ``try_cast``; a row is rejected when some non-null text failed to
 cast.
 """
@@ -29,6 +30,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from staylens.sources.csv_records import Scan, quoted_records, scan_files
+
 NULL_TOKENS = ("NULL", "null")
 TABLE_COL = "source_table"
 REJECT_COL = "reject_columns"
@@ -69,43 +72,63 @@ def list_tables(spark: SparkSession, root: str) -> dict[str, list[str]]:
     return tables
 
 
+def _qualified(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """Paths with their file system, as rows' metadata name them."""
+    path, conf = spark.sparkContext._jvm.org.apache.hadoop.fs.Path, spark.sparkContext._jsc.hadoopConfiguration()
+    return [p if ":/" in p else path(p).getFileSystem(conf).makeQualified(path(p)).toString() for p in paths]
+
+
 def _csv(spark: SparkSession):
     return (spark.read.option("header", True).option("mode", "PERMISSIVE")
             .option("quote", '"').option("escape", '"')
             .option("recursiveFileLookup", True))  # names come from paths, not partition discovery
 
 
-def header_of(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """Column names in a file's first line."""
-    return tuple(_csv(spark).csv(path).columns)
-
-
-def _cleaned(fields: DataFrame, picked: Sequence[Column]) -> DataFrame:
+def _cleaned(fields: DataFrame, picked: Sequence[Column], path: Column, columns: Sequence[str]) -> DataFrame:
     nulled = [F.when(c.isin(*NULL_TOKENS) | (c == ""), F.lit(None)).otherwise(c) for c in picked]
-    return fields.select(*nulled, table_name_of(F.col("_metadata.file_path")).alias(TABLE_COL))
+    return fields.select(*nulled, table_name_of(path).alias(TABLE_COL)).toDF(*columns, TABLE_COL)
 
 
 def read_text_fields(spark: SparkSession, tables: dict[str, list[str]], columns: Sequence[str],
-                     optional: Sequence[str] = (), by_position: bool = False) -> DataFrame:
+                     optional: Sequence[str] = (), by_position: bool = False,
+                     scan: Scan | None = None) -> DataFrame:
     """The fields of ``tables`` (name -> files) as text, plus the table name.
-    Columns are found by header name, or by position."""
+    Columns are found by header name, or by position. ``scan`` may cover more
+    files."""
     if not tables:
         raise FileNotFoundError("no CSV file to load")
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for name in sorted(tables):
-        header = tuple(columns) if by_position else header_of(spark, tables[name][0])
-        groups.setdefault(header, []).extend(tables[name])
+    paths = _qualified(spark, [p for name in sorted(tables) for p in tables[name]])
+    scan = scan or scan_files(spark, paths)
+    groups: dict[tuple[tuple[str, ...], bool], list[str]] = {}
+    for p in paths:
+        if not by_position and not scan.header(p):
+            continue  # an empty file
+        header = tuple(columns) if by_position else scan.header(p)
+        groups.setdefault((header, scan.is_broken(p)), []).append(p)
     parts = []
-    for header, paths in groups.items():
-        schema = T.StructType([T.StructField(c, T.StringType(), True) for c in header])
-        fields = _csv(spark).schema(schema).option("enforceSchema", by_position).csv(paths)
-        found = {c.strip().lower(): c for c in reversed(header)}
-        missing = [c for c in columns if c.lower() not in found and c not in optional]
+    for (header, broken), files in groups.items():
+        place = {c.strip().lower(): k for k, c in reversed(list(enumerate(header)))}
+        missing = [c for c in columns if c.lower() not in place and c not in optional]
         if missing:
-            raise ValueError(f"{paths[0]}: no column {', '.join(missing)} in its header")
-        picked = [F.col(f"`{found[c.lower()]}`") if c.lower() in found else F.lit(None).cast("string")
+            raise ValueError(f"{files[0]}: no column {', '.join(missing)} in its header")
+        # columns by place, as a header may name one twice
+        plain = len(place) == len(header) and all(c.strip() and "`" not in c for c in header)
+        names = list(header) if plain else [f"c{k}" for k in range(len(header))]
+        schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+        if broken:
+            record = F.from_csv("value", schema.toDDL(), {"quote": '"', "escape": '"', "mode": "PERMISSIVE"})
+            fields = quoted_records(spark, files, scan).select(record.alias("r"), "file").select(
+                "r.*", F.col("file").alias("file of the record"))
+            path = F.col("`file of the record`")
+        else:
+            fields = _csv(spark).schema(schema).csv(files)
+            path = F.col("_metadata.file_path")
+        picked = [F.col(f"`{names[place[c.lower()]]}`") if c.lower() in place else F.lit(None).cast("string")
                   for c in columns]
-        parts.append(_cleaned(fields, picked).toDF(*columns, TABLE_COL))
+        parts.append(_cleaned(fields, picked, path, columns))
+    if not parts:
+        empty = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, TABLE_COL)])
+        return spark.createDataFrame([], empty)
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -158,23 +181,57 @@ def load_reference(spark: SparkSession, root: str, name: str) -> tuple[DataFrame
                                         by_position=name == "nsw_lga_code"), schema)
 
 
+def infer_raw_schemas(spark: SparkSession, tables: dict[str, list[str]],
+                      scan: Scan | None = None) -> dict[str, T.StructType]:
+    """Schemas of files without a declared one, by table: the type that all values
+    of a column parse as, widened the way the raw layer stores it (whole numbers ->
+    bigint, other numbers -> double, true / false -> boolean, all else and columns
+    without a value -> text; dates stay text in every layer). The rows are read
+    once for all tables with the same header; declared schemas
+    (schemas.RAW_SCHEMAS, SNAPSHOT_SCHEMA) skip it."""
+    tables = {name: _qualified(spark, paths) for name, paths in tables.items()}
+    scan = scan or scan_files(spark, [p for ps in tables.values() for p in ps])
+    groups: dict[tuple[str, ...], dict[str, list[str]]] = {}
+    for name, paths in tables.items():
+        header = next((h for p in paths if (h := scan.header(p))), ())
+        groups.setdefault(tuple(c.strip().lower() for c in header), {})[name] = paths
+    out = {name: T.StructType([]) for name in tables}
+    for header, group in groups.items():
+        columns = list(dict.fromkeys(c for c in header if c))
+        if not columns:
+            continue
+        text = read_text_fields(spark, group, columns, scan=scan)
+        checks = []
+        for k, c in enumerate(columns):
+            value = F.col(f"`{c}`")
+            checks += [F.count(value).alias(f"n{k}"), F.count(value.try_cast("bigint")).alias(f"whole{k}"),
+                       F.count(value.try_cast("double")).alias(f"number{k}"),
+                       F.count_if(F.lower(value).isin("true", "false")).alias(f"flag{k}"),
+                       F.count_if(value.contains(".")).alias(f"point{k}")]
+        for r in text.groupBy(TABLE_COL).agg(*checks).collect():  # a row per table
+            fields = []
+            for k, c in enumerate(columns):
+                n, t = r[f"n{k}"], T.StringType()
+                if n and r[f"flag{k}"] == n:
+                    t = T.BooleanType()
+                elif n and r[f"whole{k}"] == n and not r[f"point{k}"]:  # '1.5' casts to 1
+                    t = T.LongType()
+                elif n and r[f"number{k}"] == n:
+                    t = T.DoubleType()
+                fields.append(T.StructField(c, t, True))
+            out[r[TABLE_COL]] = T.StructType(fields)
+        for name in group:  # no row at all: text
+            if not out[name].fields:
+                out[name] = T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
+    return out
+
+
 def infer_raw_schema(spark: SparkSession, paths: Sequence[str]) -> T.StructType:
-    """Schema of an arbitrary CSV file set, for files without a declared
-    schema: inferred column types widened the way the raw layer stores them
-    (integers -> bigint, floating -> double, dates and timestamps -> text,
-    since dates stay text in every layer). Inference reads all rows once; declared schemas (schemas.RAW_SCHEMAS, SNAPSHOT_SCHEMA) skip it."""
-    inferred = _csv(spark).option("inferSchema", True).csv(list(paths)).schema
-    widened = []
-    for f in inferred.fields:
-        t = f.dataType
-        if isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-            t = T.LongType()
-        elif isinstance(t, (T.FloatType, T.DoubleType, T.DecimalType)):
-            t = T.DoubleType()
-        elif not isinstance(t, T.BooleanType):
-            t = T.StringType()
-        widened.append(T.StructField(f.name.lower(), t, True))
-    return T.StructType(widened)
+    """``infer_raw_schemas`` of one table's files."""
+    names = {p.rsplit("/", 1)[-1].split(".", 1)[0] for p in paths}
+    found = infer_raw_schemas(spark, {name: [p for p in paths if p.rsplit("/", 1)[-1].split(".", 1)[0] == name]
+                                      for name in sorted(names)})
+    return next(iter(found.values()))
 
 
 def csv_writer(df: DataFrame):
