@@ -35,6 +35,8 @@ from staylens.llm.words import slices
 CAPACITY = 2048
 END_ID = 0
 CHUNK = 4096
+#: Weights of the token, document and attention-cost residuals.
+WEIGHTS = (1.0, 0.3, 0.3)
 PIECE = "doc_id long, piece int, start long, length long, ids binary"
 PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
@@ -98,12 +100,14 @@ def best_fit(lengths: np.ndarray, capacity: int, max_docs: int, max_cost: int,
 
 
 def pack(rows: DataFrame, capacity: int = CAPACITY, max_docs: int | None = None,
-         max_cost: int | None = None, weights: tuple[float, float, float] = (1.0, 0.0, 0.0),
+         max_cost: int | None = None, weights: tuple[float, float, float] = WEIGHTS,
          by: str = "norm", order: tuple[str, ...] = ()) -> DataFrame:
     """Place pieces (doc_id, piece, start, length, ids_crc32) in sequences. The
     document and cost limits default to what the token limit implies. ``order``:
     columns whose order the sequences follow, chunk by chunk."""
-    rows = _numbered(rows, order) if order else stored(rows, "pieces")
+    rows = stored(rows, "pieces")  # before anything that reads it twice
+    if order:
+        rows = _numbered(rows, order)
     chunks = max(1, round(rows.count() / CHUNK))
     max_docs = max_docs or capacity
     max_cost = max_cost or capacity ** 2

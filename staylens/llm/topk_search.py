@@ -15,7 +15,8 @@ tasks' results merge by a window on query_id.
 Edge cases: vectors that are null or hold null or non-finite components, and null
 ids, take no part; a vector is compared with those of its own length only; rows
 that share the query's id count as its own; equal scores go to the smaller
-vec_id; fewer than k candidates give fewer rows; scores must fit a long. Other
+vec_id; fewer than k candidates give fewer rows; scores are exact integers up to
+the limits of a long, one beyond them is an error. Other
 columns are ignored; an empty table gives an empty result.
 """
 from __future__ import annotations
@@ -38,7 +39,8 @@ CHUNK = 2048
 #: A node's children cover it at 1 / BASE of its radius; smaller nodes are leaves.
 BASE = 1.3
 LEAF = 24
-_LOWEST = -np.inf
+#: No score yet; its negative is a long too.
+_LOWEST = np.iinfo(np.int64).min + 1
 
 
 @dataclass
@@ -101,9 +103,10 @@ class TopK:
 
     def __init__(self, tree: CoverTree, k: int):
         self.tree, self.k = tree, k
-        self.score = np.full((len(tree.ids), k), _LOWEST)
+        self.score = np.full((len(tree.ids), k), _LOWEST, np.int64)
         self.id = np.full((len(tree.ids), k), np.iinfo(np.int64).max)
-        self.least = np.full(len(tree.ids), _LOWEST)  # known lower bounds of the k-th score
+        #: known lower bounds of the k-th score; rounding to a float keeps their order
+        self.least = np.full(len(tree.ids), -np.inf)
 
     def offer(self, lo: int, hi: int, ids: np.ndarray, points: np.ndarray) -> None:
         s = _products(self.tree.points[lo:hi], points)
@@ -115,16 +118,20 @@ class TopK:
         i = np.concatenate((self.id[lo:hi], np.broadcast_to(ids[some], (hi - lo, some.sum()))), 1)
         best = np.lexsort((i, -s))[:, : self.k]
         self.score[lo:hi], self.id[lo:hi] = np.take_along_axis(s, best, 1), np.take_along_axis(i, best, 1)
-        self.least[lo:hi] = np.maximum(self.least[lo:hi], self.score[lo:hi, -1])
+        worst = self.score[lo:hi, -1]
+        self.least[lo:hi] = np.maximum(self.least[lo:hi], np.where(worst > _LOWEST, worst, -np.inf))
 
 
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products of integer vectors, exact in floating point."""
+    """Inner products of integer vectors (held as floats), exact."""
     size = max(1, a.shape[1]) * float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0))
     if size < 2**53:
-        return a @ b.T
-    exact = a.astype(object) @ b.astype(object).T
-    return exact.astype(float)
+        return (a @ b.T).astype(np.int64)
+    if size < 2**63:
+        return a.astype(np.int64) @ b.astype(np.int64).T
+    whole = np.frompyfunc(int, 1, 1)
+    exact = np.asarray(whole(a) @ whole(b).T, object).reshape(len(a), len(b))
+    return exact.astype(np.int64)  # an OverflowError where a score is no long
 
 
 def search(found: TopK, data: CoverTree) -> None:
@@ -230,7 +237,7 @@ def _against(groups, k: int, scale: int):
         for top in best:
             row, col = np.nonzero(top.score > _LOWEST)
             yield pd.DataFrame({"query_id": top.tree.ids[row], "vec_id": top.id[row, col],
-                                "score": top.score[row, col].astype(np.int64)})
+                                "score": top.score[row, col]})
     return run
 
 

@@ -73,6 +73,20 @@ def test_pruning_skips_far_clusters():
     assert sum(offered) <= 200 * len(offered) and sum(offered) < 400
 
 
-def test_large_components_stay_exact():
-    a = np.array([[2.0**40, 1.0]])
-    assert topk_search._products(a, a)[0, 0] == float(2**80 + 1)
+def test_large_scores_are_exact(spark):
+    """Scores between 2**53 and 2**63, which no float holds."""
+    rng = np.random.default_rng(7)
+    rows = [(k, (2.0 ** 29 + rng.integers(0, 1000, 2)).tolist()) for k in range(200)]
+    want = _brute(rows, 5, 20, scale=1)
+    assert min(s for *_, s in want) > 2**53 and any(int(float(s)) != s for *_, s in want)
+    data = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, topk_search.top_k(data, k=5, scale=1).collect())) == want
+
+
+def test_products_of_large_components():
+    a, b = np.array([[2.0**31 + 1, 2.0**31 + 3]]), np.array([[2.0**30 + 1, 2.0**30 + 7]])
+    assert topk_search._products(a, b)[0, 0] == (2**31 + 1) * (2**30 + 1) + (2**31 + 3) * (2**30 + 7)
+    c = np.array([[2.0**40, -2.0**40, 1.0]])
+    assert topk_search._products(c, np.array([[2.0**40, 2.0**40, 5.0]]))[0, 0] == 5
+    with pytest.raises(OverflowError):
+        topk_search._products(c, c)
