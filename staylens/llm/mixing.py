@@ -8,15 +8,21 @@ the earliest deadline among the released ones first. Unit jobs of such windows
 always meet them, so after every slot each source has had its weighted share of
 blocks to within less than one block (as long as no source has run out).
 
+The target weights are the integer shares. Whole-number weights whose sum (in lowest
+terms) is at most ``period`` are shares as they are, so a mix of 3 : 2 : 1 stays so
+for ever. Other weights, as the square roots of the sources' sizes, are first
+rounded to shares of about ``period`` slots in all: against the weights before
+rounding the mix can be off by 1 / (2 period) of the slots.
+
 The windows repeat after D slots, so the order is computed once for one period
 of D = sum of shares slots, a table bounded by ``period`` and the number of
 sources and not by the data, and every block looks up its slot in it. All rows
 are kept: the slots of a source that has run out stay empty, the others keep
 their order.
 
-Within a source, documents come in the order of md5(doc_id). They are numbered
-in shards of that order (sizes summed first), so a source with a third of all
-rows is spread over many tasks.
+Within a source, documents come in the order of an md5 over doc_id and text. They
+are numbered in shards of that order (sizes summed first), so a source with a third
+of all rows, or an id that many texts share, is spread over many tasks.
 
 Edge cases: a null source is a source of its own; null and repeated doc_ids are
 rows like others (ties by text); weights that name only some sources give the
@@ -42,11 +48,30 @@ def _key(source):
     return F.coalesce(F.concat(F.lit("s:"), source.cast("string")), F.lit("null"))
 
 
+def _whole_shares(weights: dict[str, float] | None, period: int) -> dict[str, int]:
+    """Positive whole-number weights in lowest terms, if their sum fits a period."""
+    if not weights or any(w <= 0 or w != int(w) for w in weights.values()):
+        return {}
+    least = math.gcd(*(int(w) for w in weights.values()))
+    made = {k: int(w) // least for k, w in weights.items()}
+    return made if sum(made.values()) <= period else {}
+
+
+def _place_key(doc_id, text):
+    """Order of a source's documents: a hash of id and text, as hexadecimal digits."""
+    return F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"),
+                          F.md5(F.coalesce(text, F.lit("")).cast("binary"))).cast("binary"))
+
+
 def shares(docs: DataFrame, weights: dict[str, float] | None = None,
            period: int = PERIOD) -> DataFrame:
     """(key, share): integer shares, at least 1, proportional to ``weights`` or,
     without them, to the square root of each source's number of rows."""
     sources = docs.groupBy(_key(F.col("source")).alias("key")).agg(F.count("*").alias("n"))
+    whole = _whole_shares(weights, period)
+    if whole:
+        given = F.create_map(*[x for k, q in sorted(whole.items()) for x in (F.lit(f"s:{k}"), F.lit(q))])
+        return sources.select("key", F.coalesce(given[F.col("key")], F.lit(1)).cast("bigint").alias("share"))
     if weights:
         given = F.create_map(*[x for k, w in sorted(weights.items())
                                for x in (F.lit(f"s:{k}"), F.lit(float(w)))])
@@ -92,10 +117,10 @@ def place(docs: DataFrame, weights: dict[str, float] | None = None,
     digits = max(1, math.ceil(math.log(max(2, docs.count() / ROWS_PER_SHARD), 16)))
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     row = (row.withColumn("key", _key(F.col("row.source")))
-           .withColumn("h", F.md5(F.coalesce(F.col("row.doc_id").cast("string"), F.lit("")).cast("binary")))
+           .withColumn("h", _place_key(F.col("row.doc_id"), F.col("row.text")))
            .withColumn("shard", F.substring("h", 1, digits)))
-    sizes = (docs.select(_key(F.col("source")).alias("key"), F.substring(F.md5(
-                 F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, digits).alias("shard"))
+    sizes = (docs.select(_key(F.col("source")).alias("key"),
+                         F.substring(_place_key(F.col("doc_id"), F.col("text")), 1, digits).alias("shard"))
              .groupBy("key", "shard").agg(F.count("*").alias("n")))
     before = Window.partitionBy("key").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("key", "shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
@@ -151,7 +176,7 @@ step(t, i, j, due_c) AS (
         FROM step s, total WHERE s.t + 1 < d)),
 numbered AS (
   SELECT doc_id, source, coalesce('s:' || source, 'null') AS key,
-         row_number() OVER (PARTITION BY source ORDER BY md5(coalesce(doc_id::VARCHAR, '')), doc_id, text) - 1 AS pos
+         row_number() OVER (PARTITION BY source ORDER BY md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))), doc_id, text) - 1 AS pos
   FROM documents)
 SELECT n.doc_id, n.source, pos // {BLOCK_ROWS} AS block,
        ((pos // {BLOCK_ROWS}) // q.share) * d + s.t AS slot, (pos % {BLOCK_ROWS})::INTEGER AS "offset"

@@ -76,5 +76,36 @@ def test_mix_weights_ties_and_empty(spark, documents):
     got = mixing.mix(documents(rows), {"a": 3.0, "b": 1.0}, block_rows=1, period=8).collect()
     assert len(got) == 41 and len({r["slot"] for r in got}) == 41
     first = sorted(got, key=lambda r: r["slot"])[:8]
+    assert abs(Counter(r["source"] for r in first)["a"] - 8 * 3 / 5) < 1  # shares 3, 1 and 1 for the source not named
+    got = mixing.mix(documents(rows), {"a": 0.75, "b": 0.25}, block_rows=1, period=8).collect()
+    first = sorted(got, key=lambda r: r["slot"])[:8]
     assert abs(Counter(r["source"] for r in first)["a"] - 8 * 18 / 25) < 1  # shares 18, 6, 1 of 24 slots
     assert mixing.mix(documents([])).count() == 0
+
+
+def test_whole_weights_hold_over_a_hundred_periods(spark, documents):
+    rows = [(i, f"t{i}", "abc"[0 if i % 6 < 3 else 1 if i % 6 < 5 else 2]) for i in range(1200)]
+    got = mixing.mix(documents(rows), {"a": 30.0, "b": 20.0, "c": 10.0}, block_rows=2).collect()
+    weight = {"a": 3 / 6, "b": 2 / 6, "c": 1 / 6}
+    blocks = sorted({(r["slot"], r["source"]) for r in got})
+    assert [t for t, _ in blocks] == list(range(600))  # 100 periods of 6 slots, none empty
+    given = Counter()
+    for t, source in blocks:
+        given[source] += 1
+        assert all(abs(given[s] - w * (t + 1)) < 1 for s, w in weight.items())
+
+
+def test_shares_of_whole_weights():
+    assert mixing._whole_shares({"a": 4, "b": 6.0}, 1000) == {"a": 2, "b": 3}
+    assert mixing._whole_shares({"a": 1, "b": 1000}, 1000) == mixing._whole_shares({"a": 1.5}, 1000) == {}
+    assert mixing._whole_shares(None, 1000) == mixing._whole_shares({"a": 0, "b": 1}, 1000) == {}
+
+
+def test_an_id_of_many_texts_is_spread_over_shards(spark, documents, monkeypatch):
+    monkeypatch.setattr(mixing, "ROWS_PER_SHARD", 10)
+    rows = [(7, f"t{i}", "a") for i in range(300)]
+    got = mixing.mix(documents(rows), block_rows=4).collect()
+    assert sorted((r["slot"], r["offset"]) for r in got) == [(i // 4, i % 4) for i in range(300)]
+    docs = documents(rows)
+    keys = docs.select(mixing._place_key(docs.doc_id, docs.text).substr(1, 2).alias("k"))
+    assert keys.distinct().count() > 100

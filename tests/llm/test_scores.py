@@ -116,7 +116,6 @@ def _base(rows):
 
 def test_lm_base_scores_match_counts_and_model_learns(spark, documents, monkeypatch):
     monkeypatch.setattr(lm_score, "WARM_STEPS", 150)
-    monkeypatch.setattr(lm_score, "SHARE", 2)
     monkeypatch.setattr(lm_score, "BLOCK_BYTES", (1 << 13, 1 << 13))
     rng = random.Random(4)
     # "never" always follows "seven": context helps
