@@ -99,6 +99,20 @@ def _forward(p: dict, x: np.ndarray, doc: np.ndarray, n: int) -> dict:
     return {"h": h, "t": t, "g": g, "a": a, "z": z, "s": sigmoid(z @ p["c"] + p["d"][0]), "start": start}
 
 
+def _backward(p: dict, f: dict, x: np.ndarray, doc: np.ndarray, y: np.ndarray, weight: np.ndarray) -> dict:
+    """Gradients of the weighted logistic loss, from what ``_forward`` gave."""
+    ds = (f["s"] - y) * weight
+    dz = ds[:, None] * p["c"]
+    da = (dz[doc] * f["h"]).sum(1)
+    de = f["a"] * (da - np.add.reduceat(f["a"] * da, f["start"])[doc])
+    dtg = de[:, None] * p["w"]
+    dt, dg = dtg * f["g"] * (1 - f["t"] ** 2), dtg * f["t"] * f["g"] * (1 - f["g"])
+    dh = f["a"][:, None] * dz[doc] + dt @ p["V"].T + dg @ p["U"].T
+    dh *= 1 - f["h"] ** 2
+    return {"W": x.T @ dh, "b": dh.sum(0), "V": f["h"].T @ dt, "U": f["h"].T @ dg,
+            "w": (f["t"] * f["g"]).T @ de, "c": f["z"].T @ ds, "d": ds.sum(keepdims=True)}
+
+
 def fit(texts: list[str], labels: np.ndarray, steps: int = 160, seed: int = 7) -> dict:
     """Fitted arrays; only a constant if a class is missing."""
     y = np.asarray(labels, np.float32)
@@ -118,16 +132,7 @@ def fit(texts: list[str], labels: np.ndarray, steps: int = 160, seed: int = 7) -
     adam = Adam(p, 0.01, 0.02)
     for _ in range(steps):
         f = _forward(p, x, doc, len(y))
-        ds = (f["s"] - y) * weight
-        dz = ds[:, None] * p["c"]
-        da = (dz[doc] * f["h"]).sum(1)
-        de = f["a"] * (da - np.add.reduceat(f["a"] * da, f["start"])[doc])
-        dtg = de[:, None] * p["w"]
-        dt, dg = dtg * f["g"] * (1 - f["t"] ** 2), dtg * f["t"] * f["g"] * (1 - f["g"])
-        dh = f["a"][:, None] * dz[doc] + dt @ p["V"].T + dg @ p["U"].T
-        dh *= 1 - f["h"] ** 2
-        adam.step({"W": x.T @ dh, "b": dh.sum(0), "V": f["h"].T @ dt, "U": f["h"].T @ dg,
-                   "w": (f["t"] * f["g"]).T @ de, "c": f["z"].T @ ds, "d": ds.sum(keepdims=True)})
+        adam.step(_backward(p, f, x, doc, y, weight))
     return p | {"mean": mean, "std": std}
 
 
