@@ -21,6 +21,7 @@ columns are ignored; an empty table gives no pieces.
 """
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,16 +38,18 @@ END_ID = 0
 CHUNK = 4096
 #: Weights of the token, document and attention-cost residuals.
 WEIGHTS = (1.0, 0.3, 0.3)
-PIECE = "doc_id long, piece int, start long, length long, ids binary"
+PIECE = ["doc_id long", "piece int", "start long", "length long"]
 PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID,
-           vocabulary: str | None = None, order: tuple[str, ...] = ()) -> DataFrame:
-    """One row per piece; ``ids`` holds little-endian unsigned 32-bit ids. The
-    integer columns ``order`` go along."""
+           vocabulary: str | None = None, order: tuple[str, ...] = (), digest: bool = False) -> DataFrame:
+    """One row per piece; ``ids`` holds little-endian unsigned 32-bit ids, or with
+    ``digest`` ``ids_crc32`` their crc32. The integer columns ``order`` go along."""
     with open(vocabulary or default_vocabulary(), encoding="utf-8") as f:
         file = docs.sparkSession.sparkContext.broadcast(f.read())  # fixed size, 1.7 MB
+    schema = [*PIECE, "ids_crc32 long" if digest else "ids binary"]
+    columns = [c.split()[0] for c in schema] + list(order)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = loaded(file.value)
@@ -60,13 +63,14 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID,
                     ids = np.append(flat[lo:hi], end_id).astype("<u4")
                     for k, s in enumerate(range(0, len(ids), capacity)):
                         part = ids[s: s + capacity]
-                        rows.append((batch["doc_id"].iat[at + i], k, s, len(part), part.tobytes(),
+                        raw = part.tobytes()
+                        rows.append((batch["doc_id"].iat[at + i], k, s, len(part), zlib.crc32(raw) if digest else raw,
                                      *(batch[c].iat[at + i] for c in order)))
-                yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids", *order]).astype(
+                yield pd.DataFrame(rows, columns=columns).astype(
                     {"doc_id": "Int64"})
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *order).mapInPandas(
-        cut, ", ".join([PIECE, *(f"{c} long" for c in order)]))
+        cut, ", ".join([*schema, *(f"{c} long" for c in order)]))
 
 
 def best_fit(lengths: np.ndarray, capacity: int, max_docs: int, max_cost: int,
@@ -151,6 +155,4 @@ def _numbered(rows: DataFrame, order: tuple[str, ...]) -> DataFrame:
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, order: tuple[str, ...] = (), **options) -> DataFrame:
     """Digest of the packed sequences: one row per piece with its place."""
-    digest = pieces(docs, capacity, order=order).select(
-        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), *order)
-    return pack(digest, capacity, order=order, **options)
+    return pack(pieces(docs, capacity, order=order, digest=True), capacity, order=order, **options)
