@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from staylens.llm.common import shuffle_partitions, stored
 from staylens.llm.subwords import default_vocabulary, loaded
-from staylens.llm.words import slices
+from staylens.llm.words import runs
 
 CAPACITY = 2048
 END_ID = 0
@@ -54,9 +54,10 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID,
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = loaded(file.value)
         for batch in batches:
-            texts = batch["text"].tolist()
-            for at, run in slices(texts):
-                flat, counts = bpe.ids_of(texts[at: at + len(run)])
+            texts, doc_ids = batch["text"].tolist(), batch["doc_id"].tolist()
+            places = list(zip(*(batch[c].tolist() for c in order))) if order else [()] * len(texts)
+            for at, end in runs(texts):
+                flat, counts = bpe.ids_of(texts[at:end])
                 ends = np.cumsum(counts)
                 rows = []
                 for i, (lo, hi) in enumerate(zip(ends - counts, ends)):
@@ -64,8 +65,8 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID,
                     for k, s in enumerate(range(0, len(ids), capacity)):
                         part = ids[s: s + capacity]
                         raw = part.tobytes()
-                        rows.append((batch["doc_id"].iat[at + i], k, s, len(part), zlib.crc32(raw) if digest else raw,
-                                     *(batch[c].iat[at + i] for c in order)))
+                        rows.append((doc_ids[at + i], k, s, len(part), zlib.crc32(raw) if digest else raw,
+                                     *places[at + i]))
                 yield pd.DataFrame(rows, columns=columns).astype(
                     {"doc_id": "Int64"})
 

@@ -16,8 +16,9 @@ from itertools import repeat
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Words remembered by a worker before it starts anew (about 220 MB).
-CACHE_WORDS = 1_200_000
+#: Words remembered by a worker (about 110 MB). When they are too many, those met
+#: only once since the last time are forgotten.
+CACHE_WORDS = 600_000
 #: Longer words go to the library.
 LONG_BYTES = 64
 _NONE = np.iinfo(np.int32).max
@@ -98,6 +99,21 @@ class WordBpe:
         self.known: dict[str, int] = {}
         self.flat = np.zeros(1 << 16, np.uint16)
         self.offsets = np.zeros(1 << 14, np.int64)
+        self.uses = np.zeros(1 << 14, np.int64)
+
+    def _trim(self) -> None:
+        """Forget the words met once; all, if most are met more often."""
+        n = len(self.known)
+        kept = np.flatnonzero(self.uses[:n] > 1)
+        if 4 * len(kept) > 3 * CACHE_WORDS:
+            self.reset()
+            return
+        keep = (self.uses[:n] > 1).tolist()
+        size = self.offsets[kept + 1] - self.offsets[kept]
+        flat = _ragged(self.flat, self.offsets, size, kept, sizes_taken=True)
+        words = [w for w, k in zip(self.known, keep) if k]  # numbers follow the order of entry
+        self.reset()
+        self._add(words, flat, np.cumsum(size))
 
     def _merge(self, words: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
         """Symbols (padded) and their number for words of ``size`` bytes."""
@@ -164,12 +180,17 @@ class WordBpe:
         unit = np.fromiter(map(distinct.__getitem__, units), np.int64, len(units))
         flat = _ragged(ids, np.cumsum(counts) - counts, counts, unit)
         ends = np.concatenate(([0], np.cumsum(counts[unit])))[np.cumsum(n_units)]
+        self._add(words, flat, ends)
+
+    def _add(self, words: list[str], flat: np.ndarray, ends: np.ndarray) -> None:
+        """Remember words by their ids, one after the other, and where each ends."""
         n0 = len(self.known)
         base = self.offsets[n0]
         while len(self.flat) < base + len(flat):
             self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
         while len(self.offsets) < n0 + len(words) + 1:
             self.offsets = np.concatenate((self.offsets, np.zeros_like(self.offsets)))
+            self.uses = np.concatenate((self.uses, np.zeros_like(self.uses)))
         self.flat[base: base + len(flat)] = flat
         self.offsets[n0 + 1: n0 + len(words) + 1] = base + ends
         self.known.update(zip(words, range(n0, n0 + len(words))))
@@ -194,10 +215,13 @@ class WordBpe:
             lost = [words[i] for i in missing]
             new = list(dict.fromkeys(lost))
             if self.known and len(self.known) + len(new) > CACHE_WORDS:
-                self.reset()
+                self._trim()
+                if len(self.known) + len(new) > CACHE_WORDS:
+                    self.reset()
                 return self.ids_of(texts)
             self._learn(new)
             code[missing] = np.fromiter(map(self.known.__getitem__, lost), np.int64, len(lost))
+        self.uses[: len(self.known)] += np.bincount(code, minlength=len(self.known))
         size = self.offsets[code + 1] - self.offsets[code]
         ids = _ragged(self.flat, self.offsets, size, code, sizes_taken=True)
         bounds = np.concatenate(([0], np.cumsum(size)))[np.concatenate(([0], np.cumsum(n_words)))]

@@ -73,6 +73,20 @@ def slices(texts: Sequence[str | None], limit: int = SLICE_BYTES) -> Iterator[tu
         yield at, run
 
 
+def runs(texts: Sequence[str | None], limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """(begin, end) of consecutive runs of about ``limit`` characters; a longer text
+    stands alone."""
+    at = size = 0
+    for i, t in enumerate(texts):
+        n = len(t) if isinstance(t, str) else 0
+        if i > at and size + n > limit:
+            yield at, i
+            at, size = i, 0
+        size += n
+    if at < len(texts):
+        yield at, len(texts)
+
+
 def words_of(texts: list[bytes], between: np.ndarray = _SPACE) -> Words:
     """Words of encoded texts; ``between`` marks the bytes that part words."""
     buf = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
