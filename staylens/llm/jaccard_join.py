@@ -39,8 +39,11 @@ from staylens.llm.words import distinct_shingles, slices, words_of
 
 WIDTH = 4
 PERCENT = 85
-#: Text of one block (a task's group): a 64th of the whole, in these bounds.
-BLOCK_BYTES = (1 << 20, 32 << 20)
+#: Text of one block (a task's group): a 128th of the whole, in these bounds.
+BLOCK_BYTES = (1 << 20, 8 << 20)
+#: Text whose shingles one hash range is sized for; every block sends a row to every
+#: range, so ranges are larger than blocks and fewer.
+RANGE_BYTES = (1 << 20, 48 << 20)
 SETS = ("doc_id long, n long, key_hi long, key_lo long, prefix array<long>, pos array<int>, "
         "shingles array<long>")
 
@@ -64,10 +67,11 @@ def shingle_sets(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     """One row per document with its set, prefix and positions (``SETS``);
     ``shingles`` is null where no prefix shingle is shared."""
     size = docs.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
-    low, high = BLOCK_BYTES
-    parts = max(1, round(size / min(high, max(low, size / 64))))
+    (low, high), (least, most) = BLOCK_BYTES, RANGE_BYTES
+    blocks = max(1, round(size / min(high, max(low, size / 128))))
+    parts = max(1, round(size / min(most, max(least, size / 64))))
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-            .withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts))))
+            .withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))))
 
     def split(block: pd.DataFrame) -> pd.DataFrame:
         _, h = _block_sets(block["text"].tolist(), width)
