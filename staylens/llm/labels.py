@@ -20,14 +20,16 @@ FIT_CHARS = 20_000
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int,
                     rows: int = FIT_ROWS, chars: int = FIT_CHARS) -> DataFrame:
     """(doc_id, text, label) of at most ``rows`` labels a class, outside the held-out
-    fold and with texts up to ``chars``, chosen by a hash of doc_id."""
+    fold and with texts up to ``chars``, chosen by a hash of doc_id. Of an id that
+    several texts share one enters, the first in byte order."""
     known = labels.select(F.col("doc_id").alias("id"), F.col(label).cast("int").alias("label")).where(
         "id is not null and label in (0, 1)").where(crc_mod(F.col("id"), folds) != held_out)
     by_hash = [F.xxhash64("id", F.lit(label)), "id"]
     picked = [known.where(F.col("label") == c).orderBy(*by_hash).limit(rows) for c in (0, 1)]
     ids = F.broadcast(picked[0].unionByName(picked[1]))  # at most 2 x rows
     texts = docs.select("doc_id", "text").where(f"text is not null and length(text) <= {chars}")
-    return texts.join(ids, F.col("doc_id") == F.col("id")).select("doc_id", "text", "label")
+    return (texts.join(ids, F.col("doc_id") == F.col("id")).groupBy("id", "label").agg(F.min("text").alias("text"))
+            .select(F.col("id").alias("doc_id"), "text", "label"))
 
 
 def fitted(sample: DataFrame, fit: Callable[[list[str], np.ndarray], dict]) -> dict:

@@ -74,6 +74,13 @@ def test_sample_is_bounded_and_leaves_the_fold_out(spark, documents):
     assert 0 < len(got) <= 40 and all(_fold(r["doc_id"], 5) != 0 and len(r["text"]) <= 500 for r in got)
 
 
+def test_sample_takes_one_text_of_an_id(spark, documents):
+    docs = documents([(3, f"text {k}") for k in range(50)] + [(4, "four")])
+    table = spark.createDataFrame([(3, 1), (4, 0)], "doc_id long, quality int")
+    got = labels.labelled_sample(docs, table, "quality", 5, 9).collect()
+    assert sorted(map(tuple, got)) == [(3, "text 0", 1), (4, "four", 0)]
+
+
 def test_recurrent_gradients_match_differences():
     rng = np.random.default_rng(0)
     p = {k: v.astype(float) for k, v in toxicity._start(1).items()}
