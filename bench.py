@@ -2,7 +2,7 @@
 
 Each query is planned and fully executed into the no-op sink (no collect),
 file reads included; the raw snapshot every query reads is built from the
-driver tables, cached once and timed as ``stage_raw_snapshot``. A warm-up pass on
+driver tables, stored once and timed as ``stage_raw_snapshot``. A warm-up pass on
 sf0.01 runs first (untimed). Prints one JSON line.
 """
 from __future__ import annotations
@@ -51,7 +51,7 @@ def main() -> None:
             qs[n](spark, warm_dir).write.format("noop").mode("overwrite").save()
     spark.read.parquet(f"{sf_dir}/nation.parquet").count()
     times: dict[str, float] = {}
-    # the raw snapshot rows every query reads (adapter joins, cached once)
+    # the raw snapshot rows every query reads (adapter joins, stored once)
     from staylens.sources.testdata import staged_snapshot
     t0 = time.perf_counter()
     staged_snapshot(spark, sf_dir).write.format("noop").mode("overwrite").save()
