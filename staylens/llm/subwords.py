@@ -16,9 +16,9 @@ from itertools import repeat
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Words remembered by a worker (about 110 MB). When they are too many, those met
+#: Words remembered by a worker (about 200 MB). When they are too many, those met
 #: only once since the last time are forgotten.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 1_100_000
 #: Longer words go to the library.
 LONG_BYTES = 64
 _NONE = np.iinfo(np.int32).max
