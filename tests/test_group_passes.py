@@ -1,6 +1,8 @@
 """Distinct hosts as bits, the weighted median and marts that share their passes."""
 import random
+from bisect import bisect_right
 from collections import Counter, defaultdict
+from itertools import accumulate
 from statistics import median
 
 import pytest
@@ -8,7 +10,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from staylens.operators import fanout
-from staylens.operators.median import bucket_of, paired_median
+from staylens.operators.median import PAIRS, _cuts, bucket_of, paired_median
 from staylens.plans import marts
 from tests import brute
 from tests.helpers import dims, rows_of, snap_row as r
@@ -40,6 +42,56 @@ def test_selection_and_percentile_give_the_median_of_the_pairs(spark, left_rows,
         assert {(x["g"], x["m"]): x["med"] for x in got} == want and len(got) == len(want)
 
 
+def test_medians_of_groups_that_batches_cut(spark):
+    """Rows of a group in several batches, a hot key, weights far apart."""
+    rng = random.Random(7)
+    left_rows = [(0 if k % 2 else rng.randrange(9), rng.choice(["a", "b", "c", None]), rng.randrange(-50, 2000),
+                  rng.choice([1, 3, 1000])) for k in range(400)]
+    right_rows = [(k, m, rng.choice([1, 2, 500])) for k in range(8) for m in (1, 2, 3, None) if rng.random() < 0.8]
+    left = spark.createDataFrame(left_rows, "k int, g string, v long, l_n long")
+    right = spark.createDataFrame(right_rows, "k int, m int, r_n long")
+    values = defaultdict(Counter)
+    for k, g, v, n in left_rows:
+        for j, m, w in right_rows:
+            if k == j:
+                values[g, m][v] += n * w
+
+    def middle(weights):
+        ordered = sorted(weights)
+        upto = list(accumulate(weights[v] for v in ordered))
+        low, high = (ordered[bisect_right(upto, rank)] for rank in ((upto[-1] - 1) // 2, upto[-1] // 2))
+        return (low + high) / 2
+
+    want = {key: middle(c) for key, c in values.items()}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2)
+    try:
+        for small in (0, 100):
+            got = paired_median(left, right, "k", ["g"], ["m"], "v", "l_n", "r_n", "med", small).collect()
+            assert {(x["g"], x["m"]): x["med"] for x in got} == want and len(got) == len(want)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_pairs_of_the_median_are_no_rows_of_a_join(spark):
+    """The right side meets the values as one array a key, and no aggregate holds a
+    map of a group's values."""
+    left = spark.createDataFrame([(1, "a", v, 1) for v in range(30)], "k int, g string, v long, l_n long")
+    right = spark.createDataFrame([(1, m, 1) for m in range(20)], "k int, m int, r_n long")
+    made = paired_median(left, right, "k", ["g"], ["m"], "v", "l_n", "r_n", "med")
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "percentile" not in plan and plan.count("Join Inner") == 1
+    assert [x["med"] for x in made.collect()] == [14.5] * 20
+
+
+def test_cuts_bound_the_pairs_of_a_run():
+    import numpy as np
+    n = np.array([PAIRS // 2, PAIRS // 2, 5, 3 * PAIRS, 1, 1])
+    cuts = _cuts(n)
+    assert cuts[0] == 0 and cuts[-1] == len(n)
+    sums = [n[a:b].sum() for a, b in zip(cuts, cuts[1:])]
+    assert all(x <= PAIRS + n.max() for x in sums) and sum(sums) == n.sum()
+
+
 def test_buckets_never_fall(spark):
     rows = spark.range(-70_000, 70_000).select(F.col("id").alias("v"))
     big = spark.createDataFrame([(s * (1 << k) + d,) for k in range(3, 62) for s in (1, -1) for d in (-1, 0, 1)], "v long")
