@@ -5,10 +5,12 @@ from statistics import median
 
 from pyspark.sql import functions as F
 
+from staylens import registry
 from staylens.operators import fanout
 from staylens.operators import median as med
+from staylens.plans import marts
 from tests import brute
-from tests.helpers import dims, snap_row as r
+from tests.helpers import dims, rows_of, snap_row as r, snapshot_df
 
 
 def _plan(df):
@@ -61,3 +63,19 @@ def test_the_right_side_meets_a_key_once(spark, monkeypatch):
     met = med._met(rows, "k", ["_group", "v"], arrays, hot, ["_group", "v"]).collect()
     assert sum(len(x["_n"]) for x in met) == 300 and max(len(x["_n"]) for x in met) < 40
     assert len(med._met(rows, "k", ["_group", "v"], arrays, None, []).collect()) == 6
+
+
+def test_stored_marts_share_the_host_side(spark, monkeypatch):
+    rows = [r(k % 7, f"2020-0{1 + k % 3}", nb="AB"[k % 2], host=f"h{k % 5}", superhost="tf"[k % 2],
+              active="ttf"[k % 3], price=50 + k, ptype="XY"[k % 2], acc=k % 2) for k in range(90)]
+    snapshot = snapshot_df(spark, rows)
+    monkeypatch.setattr(registry.Ctx, "snapshot", lambda self: snapshot)
+    tags, kept = [], fanout.stored
+    monkeypatch.setattr(fanout, "stored", lambda df, tag: tags.append(tag) or kept(df, tag))
+    got = registry.queries()["mart_tables_roundtrip"](spark, "")
+    assert tags.count("host-months") == 1
+    ld, hd = dims(spark, rows)
+    for name, keys in (("dm_listing_neighbourhood", marts.NEIGHBOURHOOD_KEYS), ("dm_property_type", marts.PROPERTY_KEYS)):
+        want = registry.presentable(marts.listing_mart(ld, hd, keys))
+        assert sorted(map(str, got.where(F.col("mart") == name).drop("mart").collect())) == sorted(map(str, want.collect()))
+        assert len(rows_of(want)) > 2
