@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import types as T
 
 from staylens import schemas
-from staylens.sources import csv_ingest
+from staylens.sources import csv_ingest, csv_records
 from staylens.sources.csv_records import scan_files
 
 NAMES = [n for n, _ in schemas.SNAPSHOT_FIELDS]
@@ -104,3 +104,22 @@ def test_inferred_types(spark, tmpdir_path):
     assert [f.dataType for f in found["a"]] == [long, real, flag, text, text, text, text, real, real]
     assert [f.dataType for f in found["b"]][:3] == [text, long, text]  # every table by its own values
     assert found["c"].simpleString() == "struct<only:string,header:string>" and not found["empty"].fields
+
+
+def test_the_scan_sorts_no_lines(spark, tmpdir_path, monkeypatch):
+    """A sort that spills does not keep the order of a file's lines: any of them came
+    out as the first one, the header."""
+    for k in range(3):
+        _write(f"{tmpdir_path}/t{k}.csv", [f"Id{k}", "v"], [[n, 'a "q"' if n % 2 else "b\nc"] for n in range(25_000)])
+    plans, keep = [], csv_records.stored
+    monkeypatch.setattr(csv_records, "stored", lambda df, tag: (plans.append(df), keep(df, tag))[1])
+    paths = [p for ps in csv_ingest.list_tables(spark, tmpdir_path).values() for p in ps]
+    scan = scan_files(spark, paths)
+    assert sorted(scan.header(p) for p in paths) == [(f"Id{k}", "v") for k in range(3)] and len(scan.broken) == 3
+    plan = plans[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "Exchange" not in plan
+    for r in plans[0].collect():  # several batches a file
+        with open("/" + r["file"].partition(":")[2].lstrip("/")) as fh:
+            lines = fh.read().split("\n")
+        assert (r["first"], r["odd"], r["quotes"]) == (
+            lines[0], sum(x.count('"') % 2 for x in lines), sum(x.count('"') for x in lines))
